@@ -83,6 +83,11 @@ def scan_jsonl_labels(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _channel_sum(levels: str, channel: int):
+    own = F.filter(levels, lambda v, i: i % 3 == channel)
+    return F.aggregate(own, F.lit(0).cast("bigint"), lambda total, v: total + v)
+
+
 @query("scan_images", """
 WITH px AS (SELECT vec_id, least(greatest(CAST(floor(CAST(embedding[i] AS DOUBLE) * 127 + 128) AS BIGINT), 0), 255) AS g
   FROM embeddings CROSS JOIN range(1, 65) t(i))
@@ -98,22 +103,19 @@ def scan_images(spark: SparkSession, folder: str) -> DataFrame:
     side = derived_inputs.PICTURE_SIZE
     pixels = images.image_features(sizes, side, side, keep=("name", "h", "w", "channels"))
     levels = F.transform("pixels", lambda v: F.round(v * 255).cast("bigint"))
-    totals = [
-        F.aggregate(F.filter("levels", lambda v, i, c=c: i % 3 == c), F.lit(0).cast("bigint"), lambda acc, v: acc + v).alias(n)
-        for c, n in enumerate(["red", "green", "blue"])
-    ]
+    totals = [_channel_sum("levels", i).alias(name) for i, name in enumerate(["red", "green", "blue"])]
     return pixels.withColumn("levels", levels).select(
         "name", F.col("h").alias("height"), F.col("w").alias("width"), "channels", *totals
     )
 
 
 @query("scan_history_long", DAILY_SQL + """
-SELECT CAST(row_number() OVER (PARTITION BY metric ORDER BY epoch) AS INTEGER) AS epoch, metric,
-  round(value, 4) AS value FROM history""")
+SELECT CAST(row_number() OVER (PARTITION BY metric ORDER BY epoch) AS INTEGER) AS epoch, metric, value
+FROM history""")
 def scan_history_long(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "history-arrays")
     write_history_arrays(derived_inputs.daily_metrics(spark, folder), "epoch", history.METRICS, path)
-    return history.read_history(spark, path).withColumn("value", F.round("value", 4))
+    return history.read_history(spark, path)
 
 
 @query("sql_select_star", "SELECT * FROM customer")
