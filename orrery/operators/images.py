@@ -15,9 +15,8 @@ from orrery.operators.supervised import batch_predict
 _BATCH_BYTES = 32 * 1024 * 1024
 
 
-@lru_cache(maxsize=256)
-def resize_weights(size: int, target: int) -> np.ndarray:
-    """``target x size`` matrix of linear interpolation with half-pixel centres, no antialiasing."""
+def _linear_weights(size: int, target: int) -> np.ndarray:
+    """Linear interpolation with half-pixel centres, no antialiasing."""
     place = (np.arange(target) + 0.5) * (size / target) - 0.5
     low = np.floor(place)
     share = place - low
@@ -28,20 +27,52 @@ def resize_weights(size: int, target: int) -> np.ndarray:
     return weights
 
 
+def _cubic_weights(size: int, target: int) -> np.ndarray:
+    """Cubic convolution (a = -1/2), widened when shrinking; rows add up to one."""
+    scale = size / target
+    widen = max(scale, 1.0)
+    center = (np.arange(target) + 0.5)[:, None] * scale
+    far = np.abs((np.arange(size) + 0.5)[None, :] - center) / widen
+    near = (1.5 * far - 2.5) * far * far + 1
+    tail = ((-0.5 * far + 2.5) * far - 4) * far + 2
+    weights = np.where(far < 1, near, np.where(far < 2, tail, 0.0))
+    return weights / weights.sum(axis=1, keepdims=True)
+
+
+@lru_cache(maxsize=256)
+def resize_weights(size: int, target: int, method: str = "bilinear") -> np.ndarray:
+    """``target x size`` matrix of one resize direction."""
+    return {"bilinear": _linear_weights, "bicubic": _cubic_weights}[method](size, target)
+
+
 def to_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     """Stored bytes (grey, BGR or BGRA) to ``height x width x 3`` in RGB order."""
     raw = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
     return np.repeat(raw, 3, axis=2) if channels == 1 else raw[:, :, 2::-1]
 
 
-def scaled_pixels(data: bytes, height: int, width: int, channels: int, out_height: int, out_width: int) -> np.ndarray:
-    rgb = to_rgb(data, height, width, channels).astype(np.float64)
-    rows, columns = resize_weights(height, out_height), resize_weights(width, out_width)
-    resized = np.einsum("ih,hwc,jw->ijc", rows, rgb, columns, optimize=True)
+def resize(rgb: np.ndarray, height: int, width: int, method: str = "bilinear") -> np.ndarray:
+    """Resized picture: floats for ``bilinear`` (the training path), whole levels for
+    ``bicubic`` (the inference path, which keeps 8-bit pictures after each direction)."""
+    rows, columns = resize_weights(rgb.shape[0], height, method), resize_weights(rgb.shape[1], width, method)
+    if method == "bilinear":
+        return np.einsum("ih,hwc,jw->ijc", rows, rgb.astype(np.float64), columns, optimize=True)
+    levels = rgb.astype(np.float64)
+    if width != rgb.shape[1]:
+        levels = np.clip(np.floor(np.einsum("hwc,jw->hjc", levels, columns) + 0.5), 0, 255)
+    if height != rgb.shape[0]:
+        levels = np.clip(np.floor(np.einsum("ih,hjc->ijc", rows, levels) + 0.5), 0, 255)
+    return levels
+
+
+def scaled_pixels(data: bytes, size: tuple[int, int, int], target: tuple[int, int], method: str = "bilinear") -> np.ndarray:
+    """Flat RGB floats in [0, 1]; ``size`` is height, width, channels."""
+    resized = resize(to_rgb(data, *size), *target, method)
     return (resized / 255.0).astype(np.float32).reshape(-1)
 
 
-def image_features(df: DataFrame, height: int, width: int, image: str = "image", keep: tuple[str, ...] = ()) -> DataFrame:
+def image_features(df: DataFrame, height: int, width: int, image: str = "image", keep: tuple[str, ...] = (),
+                   method: str = "bilinear") -> DataFrame:
     """(``keep``, origin, height, width, pixels): RGB floats in [0, 1], row by row.
 
     Runs per Arrow batch on the executors. Spark hands over batches by row
@@ -60,7 +91,7 @@ def image_features(df: DataFrame, height: int, width: int, image: str = "image",
             for start in range(0, whole.num_rows, slice_rows):
                 part = whole.slice(start, slice_rows)
                 inputs = [part.column(f"_{f}").to_pylist() for f in ("data", "height", "width", "nChannels")]
-                pixels = [scaled_pixels(d, h, w, c, height, width) for d, h, w, c in zip(*inputs)]
+                pixels = [scaled_pixels(d, (h, w, c), (height, width), method) for d, h, w, c in zip(*inputs)]
                 values = pa.array(np.concatenate(pixels), type=pa.float32())
                 offsets = pa.array(np.arange(len(pixels) + 1, dtype=np.int32) * (height * width * 3))
                 n = part.num_rows

@@ -52,6 +52,9 @@ def lookup_join(
     if broadcast_ok:
         return left.join(F.broadcast(right), on, how)
 
+    if how in ("left_semi", "left_anti"):
+        # Only presence counts; one row per key keeps a frequent right key harmless.
+        right = right.select(on).distinct()
     hot = hot_keys(left, on, hot_share)
     key = F.col(on)
     keyed = left.filter(key.isNotNull())
@@ -73,15 +76,15 @@ def lookup_join(
 
 def keep_existing(records: DataFrame, listing: DataFrame, key: str) -> DataFrame:
     """Records whose key occurs in ``listing``."""
-    return lookup_join(records, listing.select(key).distinct(), key, "left_semi")
+    return lookup_join(records, listing.select(key), key, "left_semi")
 
 
 def report_missing(records: DataFrame, listing: DataFrame, key: str) -> DataFrame:
     """Both complements: labelled but not listed, and listed but not labelled."""
-    unlisted = lookup_join(records, listing.select(key).distinct(), key, "left_anti").select(
+    unlisted = lookup_join(records, listing.select(key), key, "left_anti").select(
         key, F.lit("labelled_not_listed").alias("reason")
     )
-    unlabelled = lookup_join(listing, records.select(key).distinct(), key, "left_anti").select(
+    unlabelled = lookup_join(listing, records.select(key), key, "left_anti").select(
         key, F.lit("listed_not_labelled").alias("reason")
     )
     return unlisted.unionByName(unlabelled)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orrery.functions.nested import argmax
 from orrery.functions.numbers import floor_div
+from orrery.runtime import freeze
 
 # Fixed value: probabilities are kept this far from 0 and 1 before the logarithm.
 PROBABILITY_EDGE = 1e-7
@@ -23,40 +24,43 @@ def silhouette_rows(df: DataFrame, columns: list[str], cluster: str = "cluster")
 
     The mean distance from x to a cluster with n rows, vector sum Y and sum of
     squared norms P is |x|^2 + P/n - 2 x.Y/n, so one aggregate per cluster is
-    enough. Each cluster's row also carries all clusters' figures, which makes
-    the lookup an equi-join; its size is k x k and does not grow with the data.
+    enough. Those k rows are written once and reach the second pass as one
+    array value; rows are neither shuffled nor joined, however uneven the
+    clusters are.
     """
-    stats = df.groupBy(cluster).agg(
-        F.count(F.lit(1)).cast("double").alias("_n"),
-        F.sum(_squared_norm(columns)).alias("_p"),
-        F.array(*[F.sum(c) for c in columns]).alias("_y"),
+    stats = freeze(
+        df.groupBy(cluster).agg(
+            F.count(F.lit(1)).cast("double").alias("n"),
+            F.sum(_squared_norm(columns)).alias("p"),
+            F.array(*[F.sum(F.col(c).cast("double")) for c in columns]).alias("y"),
+        ),
+        "cluster-stats",
     )
-    everything = stats.agg(F.collect_list(F.struct(F.col(cluster).alias("c"), "_n", "_p", "_y")).alias("all"))
-    lookup = stats.select(cluster, F.col("_n"), everything.scalar().alias("_all"))
-
-    norm = _squared_norm(columns)
-    x = F.array(*[F.col(c).cast("double") for c in columns])
+    clusters = stats.agg(F.collect_list(F.struct(F.col(cluster).alias("c"), "n", "p", "y"))).scalar()
 
     def mean_distance(s: Column) -> Column:
-        dot = F.aggregate(F.zip_with(F.col("_x"), s["_y"], lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-        return F.col("_norm") + s["_p"] / s["_n"] - F.lit(2.0) * dot / s["_n"]
+        dot = F.aggregate(F.zip_with("_x", s["y"], lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)
+        return F.col("_norm") + s["p"] / s["n"] - F.lit(2.0) * dot / s["n"]
 
-    others = F.filter("_all", lambda s: s["c"] != F.col(cluster))
-    own = F.element_at(F.filter("_all", lambda s: s["c"] == F.col(cluster)), 1)
-    inside = mean_distance(own) * F.col("_n") / (F.col("_n") - 1)
-    outside = F.array_min(F.transform(others, mean_distance))
+    own = F.element_at(F.filter("_clusters", lambda s: s["c"] == F.col(cluster)), 1)
+    others = F.filter("_clusters", lambda s: s["c"] != F.col(cluster))
+    inside = mean_distance(F.col("_own")) * F.col("_own.n") / (F.col("_own.n") - 1)
     score = (
-        F.when(F.col("_n") == 1, F.lit(0.0))
+        F.when(F.col("_own.n") == 1, F.lit(0.0))
         .when(F.col("_a") < F.col("_b"), 1 - F.col("_a") / F.col("_b"))
         .when(F.col("_a") > F.col("_b"), F.col("_b") / F.col("_a") - 1)
         .otherwise(F.lit(0.0))
     )
     return (
-        df.withColumns({"_x": x, "_norm": norm})
-        .join(lookup, cluster)
-        .withColumns({"_a": F.when(F.col("_n") > 1, inside), "_b": outside})
+        df.withColumns({
+            "_x": F.array(*[F.col(c).cast("double") for c in columns]),
+            "_norm": _squared_norm(columns),
+            "_clusters": clusters,
+        })
+        .withColumns({"_own": own, "_b": F.array_min(F.transform(others, mean_distance))})
+        .withColumn("_a", F.when(F.col("_own.n") > 1, inside))
         .withColumn("silhouette", score)
-        .drop("_x", "_norm", "_n", "_all", "_a", "_b")
+        .drop("_x", "_norm", "_clusters", "_own", "_a", "_b")
     )
 
 

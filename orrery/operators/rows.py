@@ -10,7 +10,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from orrery.functions.numbers import floor_div
 from orrery.runtime import SMALL_ROWS, freeze
@@ -40,7 +40,8 @@ def dense_index(
     partition is broadcast.
     """
     if order_by:
-        keys = [F.col(c) for c in order_by] + [F.xxhash64(*df.columns)]
+        hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        keys = [F.col(c) for c in order_by] + [F.xxhash64(*hashable)]
         df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     placed = freeze(df.withColumn("_place", F.monotonically_increasing_id()), "index")
     part = F.shiftright("_place", _POSITION_BITS).alias("_part")
@@ -155,7 +156,9 @@ def exact_split(
         place -= row["n"]
     edge_hash, edge_key, ties = row["hash"], row[key], row["n"]
     at_edge = F.col(key).eqNullSafe(F.lit(edge_key))
-    before = (hashed < edge_hash) | ((hashed == edge_hash) & F.coalesce(F.col(key) < edge_key, F.lit(False)))
+    kind = df.schema[key].dataType
+    edge = F.struct(F.lit(edge_hash).alias("hash"), F.lit(edge_key).cast(kind).alias("key"))
+    before = F.struct(hashed.alias("hash"), F.col(key).alias("key")) < edge
     if place == 0:
         return df.filter(before), df.filter(~before)
     warnings.warn(f"split key {key} repeats {ties} times at the boundary; dividing its rows by arrival")
