@@ -13,7 +13,7 @@ _SPECIAL = r"^(?i)[+-]?(?:inf|infinity|nan)$"
 
 
 def parse_number(c: Column) -> Column:
-    """Text to double by the rules of Python's ``float``; NULL when it would raise.
+    """Stripped text to double by the rules of Python's ``float``; NULL when it would raise.
 
     ``try_cast`` alone also accepts ``1.5d`` and ``3f`` and refuses ``1_000``.
     """

@@ -13,8 +13,11 @@ _SALTS = 64
 
 
 def hot_keys(df: DataFrame, key: str, share: float = _HOT_SHARE) -> list:
-    """Values of ``key`` that hold more than ``share`` of the rows, by one sketch pass."""
-    row = df.agg(
+    """Values of ``key`` that hold more than ``share`` of the rows, by one sketch pass.
+
+    NULL is left out: it matches nothing and is treated apart.
+    """
+    row = df.filter(F.col(key).isNotNull()).agg(
         F.count(key).alias("n"),
         F.expr(f"approx_top_k(`{key}`, {_HOT_CANDIDATES}, {_TRACKED_ITEMS})").alias("top"),
     ).first()

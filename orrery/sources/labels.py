@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from orrery.functions.text import is_image_name, strip
 from orrery.operators.clean import require_rows
-from orrery.operators.joins import keep_existing
+from orrery.operators.joins import keep_existing, lookup_join
+from orrery.runtime import fits_broadcast
 from orrery.sources.image_files import list_files, read_images
 
 LABEL_FILE = "clean_labels.jsonl"
@@ -72,5 +73,8 @@ def read_image_dataset(spark: SparkSession, folder: str) -> DataFrame:
         labelled_points(labels, list_files(spark, folder).select(F.col("name").alias("image"))),
         "no valid labelled images were parsed",
     )
-    pictures = read_images(spark, folder)
-    return points.join(pictures.select(F.col("name").alias("image"), F.col("image").alias("picture")), "image")
+    pictures = read_images(spark, folder).select(F.col("name").alias("image"), F.col("image").alias("picture"))
+    if fits_broadcast(points):
+        # The label rows travel; the pictures stay where they were decoded.
+        return pictures.join(F.broadcast(points), "image").select("image", "x_px", "y_px", "picture")
+    return lookup_join(points, pictures, "image", broadcast_ok=False)
