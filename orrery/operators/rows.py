@@ -19,7 +19,11 @@ SEED = 1337
 
 # A hash bucket is four hex digits, so there are never more than 65,536 of them.
 _DIGITS = 4
+# A bucket of up to this many rows is ranked at once instead of being divided again.
+_LEAF_ROWS = 10_000
 _POSITION_BITS = 33
+SPREAD_ROWS = 1_000_000
+SPREAD_STEP = 12_500
 
 
 def _running_offsets(counts: DataFrame, bucket: str) -> DataFrame:
@@ -128,9 +132,9 @@ def exact_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Split off exactly ``size(n)`` rows: those last in the seeded permutation.
 
-    The permutation itself is not built. Two histograms of the key's hash (at
-    most 65,536 counts each) and the few keys of one leaf give the boundary key;
-    both parts are then plain filters on the input. A key that repeats across
+    The permutation itself is not built. One or two histograms of the key's hash
+    (at most 65,536 counts each) and the few distinct keys of one leaf give the
+    boundary key; both parts are then plain filters on the input. A key that repeats across
     the boundary is divided by arrival position.
     """
     hashed = row_hash(F.col(key), seed)
@@ -142,12 +146,13 @@ def exact_split(
         return df.limit(0), df
     if head >= n:
         return df, df.limit(0)
-    first, place = _locate(top, head)
-    inside = keys.filter(hashed.startswith(first))
-    second, place = _locate(_histogram(inside, hashed, 1 + _DIGITS), place)
+    prefix, place = _locate(top, head)
+    inside = keys.filter(hashed.startswith(prefix))
+    if dict(top)[prefix] > _LEAF_ROWS:
+        second, place = _locate(_histogram(inside, hashed, 1 + _DIGITS), place)
+        inside = inside.filter(hashed.startswith(prefix + second))
     leaf = (
-        inside.filter(hashed.startswith(first + second))
-        .groupBy(hashed.alias("hash"), key).agg(F.count(F.lit(1)).alias("n"))
+        inside.groupBy(hashed.alias("hash"), key).agg(F.count(F.lit(1)).alias("n"))
         .orderBy("hash", key).collect()
     )
     for row in leaf:
@@ -252,6 +257,18 @@ def spread(df: DataFrame, partitions: int = 16) -> DataFrame:
     return df.repartition(partitions)
 
 
+def spread_small(df: DataFrame, n_rows: int) -> DataFrame:
+    """Spread a table of few rows, which tends to arrive in one file, before iterative work.
+
+    Larger tables keep the partitions they were read in and are not shuffled.
+    The number of partitions follows from the data alone, so results do not
+    depend on the machine.
+    """
+    if n_rows > SPREAD_ROWS:
+        return df
+    return spread(df, max(1, min(16, -(-n_rows // SPREAD_STEP))))
+
+
 def zip_by_index(left: DataFrame, right: DataFrame, index: str = "idx") -> DataFrame:
     """Positional zip of two equally long sequences that carry a dense index."""
     return left.join(right, index)

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from orrery.operators.clean import NUMERIC_COLUMNS, complete_cases, require_rows
 from orrery.operators.encode import label_encode, vocabulary
 from orrery.operators.metrics import classification_metrics, regression_metrics
-from orrery.operators.rows import SEED, holdout_split
+from orrery.operators.rows import SEED, holdout_split, spread_small
+from orrery.runtime import freeze
 
 # Sizes of the hidden layers.
 HIDDEN_LAYERS = [16, 32, 64]
@@ -36,8 +37,8 @@ def labelled_rows(
     df: DataFrame, features: list[str] = NUMERIC_COLUMNS, label: str = "subpopulation"
 ) -> tuple[DataFrame, DataFrame]:
     """(encoded rows, vocabulary) of the complete, labelled rows."""
-    rows = require_rows(complete_cases(df, features, label), "no valid rows in the dataset")
-    vocab = vocabulary(rows, label, "label_idx")
+    rows = complete_cases(df, features, label)
+    vocab = require_rows(vocabulary(rows, label, "label_idx"), "no valid rows in the dataset")
     return label_encode(rows, label, vocab=vocab), vocab
 
 
@@ -55,7 +56,8 @@ def train_classifier(
     Inputs are standardised because the network's hidden units are sigmoids.
     """
     encoded, vocab = labelled_rows(df, features, label)
-    encoded = encoded.select(key, "label_idx", *features)
+    # One narrow copy serves the split's key-only passes, training and evaluation.
+    encoded = freeze(encoded.select(key, "label_idx", *features), "labelled")
     training, validation = holdout_split(encoded, key, fraction, seed=seed)
     classes = int(vocab.agg(F.max("label_idx").alias("m")).first()["m"]) + 1
     stages = Pipeline(stages=[
@@ -64,11 +66,12 @@ def train_classifier(
     ])
     training = training.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        prepared = stages.fit(training)
+        evened = spread_small(training, training.count())
+        prepared = stages.fit(evened)
         network = MultilayerPerceptronClassifier(
             layers=[len(features), *HIDDEN_LAYERS, max(2, classes)], labelCol="label_idx",
             maxIter=max_iter, seed=seed,
-        ).fit(prepared.transform(training))
+        ).fit(prepared.transform(evened))
     finally:
         training.unpersist()
     model = PipelineModel([*prepared.stages, network])

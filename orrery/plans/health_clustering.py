@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orrery.operators import clustering
+from orrery.operators.clean import present
 from orrery.operators.clustering import Fitted, KMeansConfig
 from orrery.plans.health_view import health_view
+from orrery.runtime import freeze
 from orrery.sources.delimited import read_csv_inferred, read_csv_missing
 from orrery.sources.jdbc import JdbcConfig, KeyRange, read_jdbc
 
@@ -31,10 +33,16 @@ def cluster(source: DataFrame, cfg: KMeansConfig, score: bool = False, save_to:
 
 
 def cluster_jdbc(spark: SparkSession, db: JdbcConfig | None = None, cfg: KMeansConfig | None = None,
-                 split: KeyRange | str | None = "derived") -> ClusteringResult:
-    """Database table to weighted clusters."""
+                 split: KeyRange | str | None = "derived", save_to: str | None = None) -> ClusteringResult:
+    """Database table to weighted clusters.
+
+    Training needs two passes, so the table is copied once to scratch (the
+    columns in use only) instead of being read from the database twice.
+    """
+    cfg = cfg or KMeansConfig.from_env()
     source = read_jdbc(spark, db or JdbcConfig.from_env(), split)
-    return cluster(source, cfg or KMeansConfig.from_env())
+    needed = [cfg.category, *present(source, cfg.numeric)]
+    return cluster(freeze(source.select(*needed), "table"), cfg, save_to=save_to)
 
 
 def cluster_csv(spark: SparkSession, path: str, cfg: KMeansConfig | None = None, infer_types: bool = False,

@@ -38,7 +38,8 @@ def health_view(spark: SparkSession, folder: str) -> DataFrame:
     """
     nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    people = lookup_join(customers, nations, "c_nationkey").select(
+    # No hint here: Spark broadcasts the nations only if the file size it sees is small.
+    people = customers.join(nations, "c_nationkey").select(
         F.col("c_custkey").alias("user_id"), "n_name", "c_mktsegment"
     )
     events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value")

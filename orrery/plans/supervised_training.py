@@ -12,6 +12,7 @@ from orrery.operators.encode import feature_vector
 from orrery.operators.images import image_features
 from orrery.operators.metrics import history_long
 from orrery.operators.rows import dense_index, holdout_split
+from orrery.runtime import freeze
 from orrery.sinks.files import write_history, write_label_map
 from orrery.sources.delimited import read_csv_rows
 from orrery.sources.labels import read_image_dataset
@@ -60,7 +61,8 @@ def train_points_from_folder(
 ) -> TrainingReport:
     """Labelled pictures to a regressor of (x_px, y_px); the targets stay in original pixels."""
     output = output.rstrip("/")
-    rows = image_vectors(read_image_dataset(spark, folder), height, width)
+    # Pictures are decoded once; the split then reads the names only.
+    rows = freeze(image_vectors(read_image_dataset(spark, folder), height, width), "pixels")
     training, validation = holdout_split(rows, "image", fraction, clamp_to_rest=True)
     regressor = supervised.train_point_regressor(training, reg=reg)
     for name, model in (("x", regressor.x), ("y", regressor.y)):

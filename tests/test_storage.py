@@ -335,10 +335,13 @@ def test_loader_and_delete(spark, csv_file, tmp_path):
 
 # --- files ---
 
-def test_label_map_and_copies(spark, tmp_path):
+def test_label_map_and_copies(spark, tmp_path, monkeypatch):
     vocab = spark.createDataFrame([(0, "ä"), (1, 'b"c')], "i int, label string")
     files.write_label_map(vocab, "label", "i", str(tmp_path / "map"))
     assert json.loads(spark.read.text(str(tmp_path / "map")).first()[0]) == {"0": "ä", "1": 'b"c'}
+    monkeypatch.setattr(files, "SMALL_ROWS", 1)
+    files.write_label_map(vocab, "label", "i", str(tmp_path / "long"))
+    assert {(r["index"], r["label"]) for r in spark.read.json(str(tmp_path / "long")).collect()} == {(0, "ä"), (1, 'b"c')}
     for kind in ("csv", "parquet"):
         files.copy_dataset(vocab, str(tmp_path / kind), kind)
         assert spark.read.format(kind).option("header", True).load(str(tmp_path / kind)).count() == 2
@@ -392,3 +395,27 @@ def test_stream_scores_like_a_batch(spark, data, tmp_path):
     got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))
     want = sorted(map(tuple, infer(rows, fitted).select(*rows.columns, "prediction").collect()))
     assert got == want and len(got) == 7
+
+
+# --- command line ---
+
+def test_jobs_from_the_command_line(spark, data, tmp_path, capsys, monkeypatch):
+    from orrery.plans import cli
+
+    path = derived_inputs.write_csv(health_view(spark, data), "cli-csv")
+    monkeypatch.setenv("MODEL_OUTPUT_DIR", str(tmp_path / "models"))
+    result = cli.run(spark, cli.parser().parse_args(["cluster-csv", "--path", path]))
+    assert "Silhouette" in capsys.readouterr().out and (tmp_path / "models").exists()
+    assert len(result.fitted.model.clusterCenters()) == 5
+    args = cli.parser().parse_args(["load-csv", "--path", path, "--database", "cli_db", "--location", str(tmp_path / "db")])
+    assert spark.table(cli.run(spark, args)).count() == result.fitted.profile.rows
+    monkeypatch.setenv("RUN_INFERENCE", "no")
+    assert cli.parser().parse_args(["cluster-table"]).probe is False
+
+
+def test_table_clustering_reads_the_database_once(spark, data, monkeypatch):
+    source = health_view(spark, data)
+    asked = []
+    monkeypatch.setattr(health_clustering, "read_jdbc", lambda s, db, split: asked.append(split) or source)
+    result = health_clustering.cluster_jdbc(spark, cfg=KMeansConfig(k=3, max_iter=5))
+    assert asked == ["derived"] and result.fitted.profile.rows == source.count()
