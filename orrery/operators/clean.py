@@ -71,6 +71,12 @@ def impute_mean(df: DataFrame, columns: Iterable[str] = NUMERIC_COLUMNS) -> Data
     return fill_missing(df, {c: means[f"{c}_mean"] for c in names})
 
 
+def numbers_from_text(df: DataFrame, columns: Iterable[str] = NUMERIC_COLUMNS) -> DataFrame:
+    """Parse those of the listed columns that are text, as after a type inference that met ``NA``."""
+    texts = [c for c in present(df, columns) if isinstance(df.schema[c].dataType, T.StringType)]
+    return df.withColumns({c: parse_feature(F.col(c)) for c in texts}) if texts else df
+
+
 def complete_cases(
     df: DataFrame, features: Iterable[str] = NUMERIC_COLUMNS, label: str = "subpopulation"
 ) -> DataFrame:
@@ -82,14 +88,11 @@ def complete_cases(
     names = list(features)
     if label not in df.columns or any(c not in df.columns for c in names):
         return df.limit(0)
-    texts = [c for c in names if isinstance(df.schema[c].dataType, T.StringType)]
-    rows = rows_labelled(df, label)
-    if texts:
-        rows = rows.withColumns({c: parse_feature(F.col(c)) for c in texts})
     kept = F.lit(True)
     for c in names:
-        kept = kept & (F.col(c).isNotNull() if c in texts else is_valid(F.col(c)))
-    return rows.filter(kept)
+        parsed = isinstance(df.schema[c].dataType, T.StringType)
+        kept = kept & (F.col(c).isNotNull() if parsed else is_valid(F.col(c)))
+    return numbers_from_text(rows_labelled(df, label), names).filter(kept)
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orrery.functions.nested import argmax
 from orrery.functions.numbers import floor_div
-from orrery.runtime import freeze
 
 # Fixed value: probabilities are kept this far from 0 and 1 before the logarithm.
 PROBABILITY_EDGE = 1e-7
@@ -22,46 +23,39 @@ def _squared_norm(columns: list[str]) -> Column:
 def silhouette_rows(df: DataFrame, columns: list[str], cluster: str = "cluster") -> DataFrame:
     """Silhouette of every row with squared Euclidean distance, in linear time.
 
-    The mean distance from x to a cluster with n rows, vector sum Y and sum of
-    squared norms P is |x|^2 + P/n - 2 x.Y/n, so one aggregate per cluster is
-    enough. Those k rows are written once and reach the second pass as one
-    array value; rows are neither shuffled nor joined, however uneven the
-    clusters are.
+    The mean distance from x to a cluster with n rows, mean m and mean squared
+    norm p is |x|^2 + p - 2 x.m, so one aggregate per cluster is enough. Its k
+    rows, as many as the cluster centres, go to the executors with the second
+    pass, where one matrix product per Arrow batch gives all distances. Rows are
+    neither shuffled nor joined, however uneven the clusters are.
     """
-    stats = freeze(
-        df.groupBy(cluster).agg(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.sum(_squared_norm(columns)).alias("p"),
-            F.array(*[F.sum(F.col(c).cast("double")) for c in columns]).alias("y"),
-        ),
-        "cluster-stats",
-    )
-    clusters = stats.agg(F.collect_list(F.struct(F.col(cluster).alias("c"), "n", "p", "y"))).scalar()
-
-    def mean_distance(s: Column) -> Column:
-        dot = F.aggregate(F.zip_with("_x", s["y"], lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)
-        return F.col("_norm") + s["p"] / s["n"] - F.lit(2.0) * dot / s["n"]
-
-    own = F.element_at(F.filter("_clusters", lambda s: s["c"] == F.col(cluster)), 1)
-    others = F.filter("_clusters", lambda s: s["c"] != F.col(cluster))
-    inside = mean_distance(F.col("_own")) * F.col("_own.n") / (F.col("_own.n") - 1)
-    score = (
-        F.when(F.col("_own.n") == 1, F.lit(0.0))
-        .when(F.col("_a") < F.col("_b"), 1 - F.col("_a") / F.col("_b"))
-        .when(F.col("_a") > F.col("_b"), F.col("_b") / F.col("_a") - 1)
-        .otherwise(F.lit(0.0))
-    )
-    return (
-        df.withColumns({
-            "_x": F.array(*[F.col(c).cast("double") for c in columns]),
-            "_norm": _squared_norm(columns),
-            "_clusters": clusters,
-        })
-        .withColumns({"_own": own, "_b": F.array_min(F.transform(others, mean_distance))})
-        .withColumn("_a", F.when(F.col("_own.n") > 1, inside))
-        .withColumn("silhouette", score)
-        .drop("_x", "_norm", "_clusters", "_own", "_a", "_b")
-    )
+    stats = df.groupBy(F.col(cluster).alias("c")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(_squared_norm(columns)).alias("p"),
+        F.array(*[F.avg(F.col(c).cast("double")) for c in columns]).alias("m"),
+    ).orderBy("c").collect()
+    if len(stats) < 2:
+        raise ValueError("a silhouette needs at least two clusters")
+    names = np.array([row["c"] for row in stats])
+    sizes = np.array([row["n"] for row in stats], dtype=np.float64)
+    norms = np.array([row["p"] for row in stats], dtype=np.float64)
+    means = np.array([row["m"] for row in stats], dtype=np.float64)
+
+    @F.pandas_udf("double")
+    def score(own: pd.Series, *features: pd.Series) -> pd.Series:
+        x = np.column_stack([f.to_numpy(dtype=np.float64) for f in features])
+        mine = np.searchsorted(names, own.to_numpy())
+        at = np.arange(len(x))
+        distance = (x * x).sum(axis=1)[:, None] + norms - 2.0 * (x @ means.T)
+        size = sizes[mine]
+        inside = distance[at, mine] * size / np.maximum(size - 1, 1)
+        distance[at, mine] = np.inf
+        outside = distance.min(axis=1)
+        longest = np.maximum(inside, outside)
+        spread = np.divide(outside - inside, longest, out=np.zeros_like(longest), where=longest > 0)
+        return pd.Series(np.where(size == 1, 0.0, spread))
+
+    return df.withColumn("silhouette", score(F.col(cluster), *[F.col(c).cast("double") for c in columns]))
 
 
 def silhouette(df: DataFrame, columns: list[str], cluster: str = "cluster") -> DataFrame:

@@ -109,6 +109,11 @@ def holdout_size(n: int, fraction: float, clamp_to_rest: bool = False) -> int:
     return max(1, size)
 
 
+def training_steps(n: int, batch_size: int, fraction: float = 0.0) -> int:
+    """Whole batches per epoch of the rows left after the hold-out, at least one."""
+    return max(1, max(1, n - int(n * fraction)) // batch_size)
+
+
 def _histogram(df: DataFrame, hashed: Column, at: int) -> list[tuple[str, int]]:
     bucket = F.substring(hashed, at, _DIGITS).alias("bucket")
     rows = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).collect()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orrery.operators import clustering
-from orrery.operators.clean import present
+from orrery.operators.clean import numbers_from_text, present
 from orrery.operators.clustering import Fitted, KMeansConfig
 from orrery.plans.health_view import health_view
 from orrery.runtime import freeze
@@ -48,8 +48,9 @@ def cluster_jdbc(spark: SparkSession, db: JdbcConfig | None = None, cfg: KMeansC
 def cluster_csv(spark: SparkSession, path: str, cfg: KMeansConfig | None = None, infer_types: bool = False,
                 save_to: str | None = None) -> ClusteringResult:
     """CSV to five scored clusters. A declared schema saves the pass that inference needs."""
+    cfg = cfg or KMeansConfig.unweighted()
     source = read_csv_inferred(spark, path) if infer_types else read_csv_missing(spark, path)
-    return cluster(source, cfg or KMeansConfig.unweighted(), score=True, save_to=save_to)
+    return cluster(numbers_from_text(source, cfg.numeric), cfg, score=True, save_to=save_to)
 
 
 def cluster_summary(spark: SparkSession, folder: str, cfg: KMeansConfig | None = None) -> DataFrame:

@@ -73,6 +73,11 @@ def test_holdout_size(n, fraction, clamped, want):
     assert rows.holdout_size(n, fraction, clamped) == want
 
 
+def test_training_steps():
+    assert [rows.training_steps(n, 32, 0.2) for n in (0, 10, 100, 1000)] == [1, 1, 2, 25]
+    assert rows.training_steps(100, 32) == 3
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 997, 10_000])
 def test_split_is_exact_and_disjoint(spark, n):
     training, validation = rows.holdout_split(sequence(spark, n), "id")

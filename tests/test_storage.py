@@ -147,6 +147,13 @@ def test_pixels_come_out_in_rgb(spark, image_folder):
     assert np.array_equal(np.round(np.array(row["pixels"]) * 255).reshape(6, 8, 3), picture(6, 8, 0))
 
 
+def test_names_with_special_characters(spark, tmp_path):
+    name = "x y+%41é.png"
+    (tmp_path / name).write_bytes(derived_inputs.png_bytes(bytes(12), 2, 2))
+    assert image_files.list_files(spark, str(tmp_path)).first()["name"] == name
+    assert image_files.read_images(spark, str(tmp_path)).first()["name"] == name
+
+
 def naive_bilinear(rgb, height, width):
     h, w, _ = rgb.shape
     out = np.zeros((height, width, 3))
@@ -386,6 +393,14 @@ def test_clustering_job_from_csv(spark, data):
     assert declared.silhouette == pytest.approx(inferred.silhouette, abs=1e-9)
 
 
+def test_inferred_text_numbers_still_cluster(spark, tmp_path):
+    path = tmp_path / "na.csv"
+    lines = [f"{'abc'[i % 3]},{i if i % 5 else 'NA'},{i / 2},{i * 2}" for i in range(60)]
+    path.write_text("\n".join(["measure_name,value,lower_ci,upper_ci", *lines]))
+    result = health_clustering.cluster_csv(spark, str(path), KMeansConfig.unweighted(k=2), infer_types=True)
+    assert result.predictions.count() == 60 and result.fitted.profile.means["value"] == pytest.approx(30)
+
+
 def test_stream_scores_like_a_batch(spark, data, tmp_path):
     fitted = fit_kmeans(health_view(spark, data), KMeansConfig.unweighted())
     rows = probe_rows(spark).selectExpr("measure_name", "double(value)", "double(lower_ci)", "double(upper_ci)")
