@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from orrery.operators.supervised import batch_predict
-
 # Output rows per Arrow batch are chosen so that a batch stays near this size.
 _BATCH_BYTES = 32 * 1024 * 1024
 
@@ -39,7 +37,6 @@ def _cubic_weights(size: int, target: int) -> np.ndarray:
     return weights / weights.sum(axis=1, keepdims=True)
 
 
-@lru_cache(maxsize=256)
 def resize_weights(size: int, target: int, method: str = "bilinear") -> np.ndarray:
     """``target x size`` matrix of one resize direction."""
     return {"bilinear": _linear_weights, "bicubic": _cubic_weights}[method](size, target)
@@ -105,7 +102,30 @@ def image_features(df: DataFrame, height: int, width: int, image: str = "image",
     return flat.mapInArrow(convert, schema)
 
 
-def image_predictions(features: DataFrame, load: Callable, width: int, batch_size: int = 64) -> DataFrame:
-    """(origin, x_px, y_px) of a two-output model over image pixels."""
-    scored = features.withColumn("_point", batch_predict(F.col("pixels"), load, width, batch_size))
-    return scored.select("origin", F.element_at("_point", 1).alias("x_px"), F.element_at("_point", 2).alias("y_px"))
+def image_predictions(
+    df: DataFrame, load: Callable, height: int, width: int, image: str = "image", method: str = "bilinear",
+    batch_size: int = 64,
+) -> DataFrame:
+    """(origin, x_px, y_px) of a two-output model over resized pictures.
+
+    Resizing and prediction share one Python stage: stored bytes go in, two
+    numbers come out, and the float pixels never leave the worker. ``load``
+    returns a function of a ``batch x pixels`` array and runs once per worker.
+    """
+
+    def start() -> Callable:
+        predict = load()
+
+        def run(data: np.ndarray, heights: np.ndarray, widths: np.ndarray, channels: np.ndarray) -> np.ndarray:
+            pixels = [
+                scaled_pixels(d, (int(h), int(w), int(c)), (height, width), method)
+                for d, h, w, c in zip(data, heights, widths, channels)
+            ]
+            return predict(np.stack(pixels))
+
+        return run
+
+    udf = predict_batch_udf(start, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size)
+    parts = [F.col(f"{image}.{f}") for f in ("data", "height", "width", "nChannels")]
+    scored = df.select(F.col(f"{image}.origin").alias("origin"), udf(*parts).alias("point"))
+    return scored.select("origin", F.element_at("point", 1).alias("x_px"), F.element_at("point", 2).alias("y_px"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.operators.images import image_features, image_predictions
+from orrery.operators.images import image_predictions
 from orrery.sinks.files import write_image_predictions
 from orrery.sources.image_files import read_images
 
@@ -16,6 +16,6 @@ def predict_folder(
     pattern: str = "*.[pP][nN][gG]", method: str = "bicubic",
 ) -> DataFrame:
     """(origin, x_px, y_px) of all PNG files, written as parquet. ``load`` returns the model's predict function."""
-    features = image_features(read_images(spark, folder, pattern), height, width, method=method)
-    write_image_predictions(image_predictions(features, load, height * width * 3), output)
+    pictures = read_images(spark, folder, pattern)
+    write_image_predictions(image_predictions(pictures, load, height, width, method=method), output)
     return spark.read.parquet(output)

@@ -467,8 +467,7 @@ SELECT concat('vec_', CAST(vec_id AS VARCHAR), '.png') AS origin,
 FROM half GROUP BY vec_id""")
 def image_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions of a fixed linear model over the pixels, written and read back."""
-    features = images.image_features(derived_inputs.pictures(spark, folder), 4, 4)
     load = supervised.linear_predictor([[float(i + 1) for i in range(48)], [float(48 - i) for i in range(48)]], [0.0, 0.0])
     path = scratch_path(spark, "image-predictions")
-    write_image_predictions(images.image_predictions(features, load, 48), path)
+    write_image_predictions(images.image_predictions(derived_inputs.pictures(spark, folder), load, 4, 4), path)
     return spark.read.parquet(path).select("origin", F.round("x_px", 3).alias("x_px"), F.round("y_px", 3).alias("y_px"))
