@@ -33,20 +33,23 @@ def _running_offsets(counts: DataFrame, bucket: str) -> DataFrame:
 
 
 def dense_index(
-    df: DataFrame, order_by: Sequence[str] | None = None, name: str = "idx", start: int = 0
+    df: DataFrame, order_by: Sequence[str] | None = None, name: str = "idx", start: int = 0,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``start .. start+n-1`` without gaps.
 
     Without ``order_by`` rows are numbered as they are read and nothing is
-    shuffled. With it they are range-partitioned and sorted; a row hash breaks
-    ties so that a frequent value does not fill one partition. Positions are
+    shuffled. With it they are range-partitioned (into ``partitions`` parts, or as
+    many as the session shuffles into) and sorted; a row hash breaks ties so that
+    a frequent value does not fill one partition. Positions are
     fixed by one write to scratch, after which only a table with one row per
     partition is broadcast.
     """
     if order_by:
         hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
         keys = [F.col(c) for c in order_by] + [F.xxhash64(*hashable)]
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+        df = ranged.sortWithinPartitions(*keys)
     placed = freeze(df.withColumn("_place", F.monotonically_increasing_id()), "index")
     part = F.shiftright("_place", _POSITION_BITS).alias("_part")
     offsets = _running_offsets(placed.groupBy(part).agg(F.count(F.lit(1)).alias("n")), "_part")

@@ -23,6 +23,9 @@ from orrery.runtime import freeze
 # Sizes of the hidden layers.
 HIDDEN_LAYERS = [16, 32, 64]
 
+# Rows stacked into one matrix by the network trainer.
+BLOCK_ROWS = 1024
+
 
 @dataclass(frozen=True)
 class TrainedClassifier:
@@ -70,7 +73,7 @@ def train_classifier(
         prepared = stages.fit(evened)
         network = MultilayerPerceptronClassifier(
             layers=[len(features), *HIDDEN_LAYERS, max(2, classes)], labelCol="label_idx",
-            maxIter=max_iter, seed=seed,
+            maxIter=max_iter, seed=seed, blockSize=BLOCK_ROWS,
         ).fit(prepared.transform(evened))
     finally:
         training.unpersist()

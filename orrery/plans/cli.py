@@ -35,7 +35,8 @@ def parser() -> argparse.ArgumentParser:
     table = jobs.add_parser("cluster-table", help="database table to weighted clusters (DB_*, MEASURE_NAME_WEIGHT)")
     table.add_argument("--k", type=int, default=25)
     table.add_argument("--max-iter", type=int, default=1000)
-    table.add_argument("--fixed-range", action="store_true", help="ids 1 to 1,000,000 in 16 parts, bounds not asked for")
+    table.add_argument("--split", choices=["derived", "balanced", "fixed", "none"], default="derived",
+                       help="parts of the read; fixed: ids 1 to 1,000,000 in 16 parts")
     table.add_argument("--probe", type=_yes, default=_yes(_env("RUN_INFERENCE", "true")), help="RUN_INFERENCE")
     table.add_argument("--save-to", default=_env("MODEL_OUTPUT_DIR") or None, help="MODEL_OUTPUT_DIR")
 
@@ -76,7 +77,7 @@ def run(spark: SparkSession, args: argparse.Namespace):
         return rows
     if args.job == "cluster-table":
         cfg = KMeansConfig.from_env(k=args.k, max_iter=args.max_iter)
-        split = KeyRange() if args.fixed_range else "derived"
+        split = {"fixed": KeyRange(), "none": None}.get(args.split, args.split)
         result = health_clustering.cluster_jdbc(spark, cfg=cfg, split=split, save_to=args.save_to)
         if args.probe:
             infer(probe_rows(spark), result.fitted).select("measure_name", "prediction").show(truncate=False)

@@ -425,6 +425,51 @@ def regressor_eval(spark: SparkSession, folder: str) -> DataFrame:
     return supervised.evaluate_regressor(validation, regressor)
 
 
+_SPLIT_SQL = """
+WITH p AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y,
+    CAST(embedding[3] AS DOUBLE) AS f, count(*) OVER () AS n,
+    row_number() OVER (ORDER BY md5(concat('1337:', CAST(vec_id AS VARCHAR))), vec_id) - 1 AS place FROM embeddings),
+s AS (SELECT *, place >= n - greatest(1, least(n - 1, CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT))) AS held FROM p),
+c AS (SELECT regr_slope(x, f) AS bx, regr_intercept(x, f) AS ax, regr_slope(y, f) AS by_, regr_intercept(y, f) AS ay
+  FROM s WHERE NOT held)
+"""
+
+
+@query("regressor_fit_check", _SPLIT_SQL + """
+SELECT round(avg((abs(ax + bx * f - x) + abs(ay + by_ * f - y)) / 2), 6) AS mae,
+  round(avg((pow(ax + bx * f - x, 2) + pow(ay + by_ * f - y, 2)) / 2), 6) AS mse, count(*) AS n
+FROM s CROSS JOIN c WHERE held""")
+def regressor_fit_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Split, fit and score with a single feature, where SQL knows the least-squares line."""
+    e = F.col("embedding")
+    points = encode.feature_vector(
+        table(spark, folder, "embeddings").select(
+            "vec_id", e[0].cast("double").alias("x_px"), e[1].cast("double").alias("y_px"),
+            F.array(e[2].cast("double")).alias("x"),
+        ), "x",
+    )
+    training, validation = rows.holdout_split(points, "vec_id", 0.2, clamp_to_rest=True)
+    scored = supervised.evaluate_regressor(validation, supervised.train_point_regressor(training))
+    return scored.select(F.round("mae", 6).alias("mae"), F.round("mse", 6).alias("mse"), "n")
+
+
+@query("classifier_check", over_health("""
+, c AS (SELECT count(*) AS n, count(DISTINCT trim(subpopulation)) AS classes FROM hv
+  WHERE trim(subpopulation) <> '' AND value IS NOT NULL AND NOT isnan(value)
+    AND lower_ci IS NOT NULL AND upper_ci IS NOT NULL)
+SELECT greatest(1, CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT)) AS n_rows,
+  greatest(1, CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT)) AS n_sum_one, classes FROM c"""))
+def classifier_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact hold-out size, one probability per class, probabilities that add up to one."""
+    trained = supervised.train_classifier(health_view(spark, folder), "id", max_iter=3)
+    scored = supervised.predict_probabilities(trained.validation, trained.model)
+    total = F.aggregate("probabilities", F.lit(0.0), lambda acc, p: acc + p)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs(total - 1) < 1e-9).alias("n_sum_one"),
+        F.max(F.size("probabilities")).cast("bigint").alias("classes"),
+    )
+
+
 @query("batch_predict", """
 WITH w AS (SELECT vec_id, embedding, range(1, 65) AS r FROM embeddings)
 SELECT vec_id, round(list_dot_product(CAST(embedding AS DOUBLE[]), list_transform(r, lambda i: i / 64.0::DOUBLE)) + 0.5, 5) AS x_px,

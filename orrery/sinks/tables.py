@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orrery.operators.clean import INSERT_COLUMNS, project
 from orrery.operators.rows import dense_index
-from orrery.runtime import scratch_path
 
 # Columns, lengths and default of the health table.
 HEALTH_COLUMNS = """
@@ -79,12 +80,20 @@ def kept_rows(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return rows.first()["data_type"].rstrip("/")
+
+
 def delete_where(spark: SparkSession, name: str, condition: Column, location: str | None = None) -> str:
-    """Rewrite the kept rows to a new location, then point the table there.
+    """Rewrite the kept rows next to the table's files, then point the table there.
 
-    Readers see the old files until the switch. Returns the new location.
+    Readers see the old files until the switch; the old files stay until
+    someone removes them. Returns the new location.
     """
-    location = location or scratch_path(spark, name.replace(".", "-"))
+    if location is None:
+        base = table_location(spark, name).split("--rewrite-")[0]
+        location = f"{base}--rewrite-{uuid.uuid4().hex}"
     kept_rows(spark.table(name), condition).write.parquet(location)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.catalog.refreshTable(name)

@@ -80,11 +80,58 @@ def derive_range(spark: SparkSession, cfg: JdbcConfig, column: str = "id", **lim
     return range_from(None if low is None else int(low), None if high is None else int(high), int(total), column, **limits)
 
 
+def cell_query(table: str, column: str, low: int, width: int) -> str:
+    """Rows per cell of ``width`` consecutive keys."""
+    return (f"(SELECT FLOOR(({column} - {low}) / {width}) AS cell, COUNT(*) AS total FROM {table} "
+            f"WHERE {column} IS NOT NULL GROUP BY FLOOR(({column} - {low}) / {width})) key_cells")
+
+
+def balanced_cuts(cells: list[tuple[int, int]], low: int, width: int, partitions: int) -> list[int]:
+    """Keys at which to cut so that neighbouring cells form parts of about equal row counts."""
+    target = max(1, -(-sum(n for _, n in cells) // partitions))
+    cuts, filled = [], 0
+    for cell, n in sorted(cells):
+        if filled and filled + n > target:
+            cuts.append(low + cell * width)
+            filled = 0
+        filled += n
+    return cuts
+
+
+def cut_predicates(column: str, cuts: list[int]) -> list[str]:
+    """One condition per part; together they hold for every row, new and NULL keys included."""
+    if not cuts:
+        return ["1 = 1"]
+    first, last = f"{column} < {cuts[0]} OR {column} IS NULL", f"{column} >= {cuts[-1]}"
+    return [first, *[f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])], last]
+
+
+def balanced_predicates(spark: SparkSession, cfg: JdbcConfig, column: str = "id", cells_per_partition: int = 64,
+                        **limits) -> list[str]:
+    """Conditions for parts of even size when the keys have gaps or cluster.
+
+    Equal key ranges are uneven then: most rows may lie in one. Two small
+    queries, one row and at most a few thousand counts, find better cuts.
+    """
+    keys = derive_range(spark, cfg, column, **limits)
+    if keys is None:
+        return cut_predicates(column, [])
+    width = max(1, -(-(keys.upper - keys.lower) // (keys.partitions * cells_per_partition)))
+    query = cell_query(cfg.table, column, keys.lower, width)
+    rows = spark.read.format("jdbc").options(**cfg.options(query)).load().collect()
+    cells = [(int(r[0]), int(r[1])) for r in rows]
+    return cut_predicates(column, balanced_cuts(cells, keys.lower, width, keys.partitions))
+
+
 def read_jdbc(spark: SparkSession, cfg: JdbcConfig, split: KeyRange | str | None = None) -> DataFrame:
-    """Scan ``cfg.table``: in one partition, by a given key range, or by ``"derived"`` bounds.
+    """Scan ``cfg.table``: in one partition, by a given key range, by ``"derived"`` bounds
+    (equal key ranges between the limits present) or ``"balanced"`` (equal row counts).
 
     Filters and column choices made on the result are pushed into the database query.
     """
+    if split == "balanced":
+        properties = {k: v for k, v in cfg.options().items() if k in ("user", "password", "driver")}
+        return spark.read.jdbc(cfg.url, cfg.table, predicates=balanced_predicates(spark, cfg), properties=properties)
     if split == "derived":
         split = derive_range(spark, cfg)
     reader = spark.read.format("jdbc").options(**cfg.options())

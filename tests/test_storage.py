@@ -275,6 +275,44 @@ def test_jdbc_range_grows_with_the_table():
     assert jdbc.range_from(4, 6, 3).partitions == 3
 
 
+def test_jdbc_parts_are_even_when_keys_cluster():
+    """Nine tenths of the rows in the last percent of the key range."""
+    import duckdb
+
+    keys = list(range(1, 99_000, 99)) + list(range(99_000, 108_000))
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE t AS SELECT unnest(?) AS id UNION ALL SELECT NULL", [keys])
+    span = jdbc.range_from(min(keys), max(keys), len(keys))
+    width = -(-(span.upper - span.lower) // (span.partitions * 64))
+    cells = duck.execute(f"SELECT * FROM {jdbc.cell_query('t', 'id', span.lower, width)}").fetchall()
+    cuts = jdbc.balanced_cuts([(int(c), n) for c, n in cells], span.lower, width, span.partitions)
+    parts = jdbc.cut_predicates("id", cuts)
+    sizes = [duck.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in parts]
+    assert sum(sizes) == len(keys) + 1
+    assert len(parts) >= 15 and max(sizes) < 2 * len(keys) / span.partitions
+    assert jdbc.cut_predicates("id", jdbc.balanced_cuts([], 0, 1, 16)) == ["1 = 1"]
+
+
+def test_jdbc_balanced_read():
+    class Rows(FakeReader):
+        def collect(self):
+            return [(0, 5), (1, 5), (2, 90)]
+
+        def jdbc(self, url, table, predicates, properties):
+            self.given.update(url=url, table=table, predicates=predicates, properties=properties)
+            return self
+
+    class Session(FakeSession):
+        @property
+        def read(self):
+            self.readers.append(Rows(self.row))
+            return self.readers[-1]
+
+    read = jdbc.read_jdbc(Session((1, 3, 100)), jdbc.JdbcConfig(), "balanced")
+    assert read.given["predicates"] == ["id < 3 OR id IS NULL", "id >= 3"]
+    assert set(read.given["properties"]) == {"user", "password", "driver"}
+
+
 def test_jdbc_environment(monkeypatch):
     for name, value in {"DB_HOST": "h", "DB_PORT": "1", "DB_USER": "u", "DB_PASSWORD": "w", "DB_NAME": "n", "DB_TABLE": "t"}.items():
         monkeypatch.setenv(name, value)
@@ -324,6 +362,9 @@ def test_messages(spark, tmp_path):
     tables.ensure_table(spark, "test.messages", tables.MESSAGE_COLUMNS)
     tables.insert_rows(spark, "test.messages", [("hello",), ("it's",)])
     assert sorted(r[0] for r in spark.sql("SELECT * FROM test.messages").collect()) == ["hello", "it's"]
+    tables.delete_where(spark, "test.messages", F.col("message") == "hello")
+    tables.insert_rows(spark, "test.messages", [("again",)])
+    assert sorted(r[0] for r in spark.table("test.messages").collect()) == ["again", "it's"]
 
 
 def test_loader_and_delete(spark, csv_file, tmp_path):
@@ -334,7 +375,8 @@ def test_loader_and_delete(spark, csv_file, tmp_path):
     assert sorted(r["id"] for r in rows.collect()) == list(range(1, 9))
     assert rows.filter("created_at is null").count() == 0
     assert [c for c, _ in rows.dtypes][0] == "id" and dict(rows.dtypes)["value"] == "float"
-    tables.delete_where(spark, name, F.col("lower_ci") >= 0)
+    moved = tables.delete_where(spark, name, F.col("lower_ci") >= 0)
+    assert where in moved and tables.table_location(spark, name).endswith(moved.split("/")[-1])
     assert spark.table(name).filter("lower_ci is null").count() == spark.table(name).count() == 6
     tables.delete_where(spark, name, F.col("id") >= 1)
     assert spark.table(name).count() == 0
@@ -425,7 +467,7 @@ def test_jobs_from_the_command_line(spark, data, tmp_path, capsys, monkeypatch):
     args = cli.parser().parse_args(["load-csv", "--path", path, "--database", "cli_db", "--location", str(tmp_path / "db")])
     assert spark.table(cli.run(spark, args)).count() == result.fitted.profile.rows
     monkeypatch.setenv("RUN_INFERENCE", "no")
-    assert cli.parser().parse_args(["cluster-table"]).probe is False
+    assert cli.parser().parse_args(["cluster-table", "--split", "balanced"]).probe is False
 
 
 def test_table_clustering_reads_the_database_once(spark, data, monkeypatch):
