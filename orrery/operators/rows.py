@@ -7,6 +7,7 @@ row numbers plus offsets; a split needs no sort at all.
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Callable, Sequence
 
@@ -40,16 +41,18 @@ def dense_index(
 
     Without ``order_by`` rows are numbered as they are read and nothing is
     shuffled. With it they are range-partitioned (into ``partitions`` parts, or as
-    many as the session shuffles into) and sorted; a row hash breaks ties so that
-    a frequent value does not fill one partition. Positions are
+    many as the session shuffles into) and sorted; a row hash, and for equal rows
+    the partition they were read in, break ties so that a frequent value does not
+    fill one partition. Positions are
     fixed by one write to scratch, after which only a table with one row per
     partition is broadcast.
     """
     if order_by:
         hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-        keys = [F.col(c) for c in order_by] + [F.xxhash64(*hashable)]
+        df = df.withColumn("_read_in", F.spark_partition_id())
+        keys = [F.col(c) for c in order_by] + [F.xxhash64(*hashable), F.col("_read_in")]
         ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-        df = ranged.sortWithinPartitions(*keys)
+        df = ranged.sortWithinPartitions(*keys).drop("_read_in")
     placed = freeze(df.withColumn("_place", F.monotonically_increasing_id()), "index")
     part = F.shiftright("_place", _POSITION_BITS).alias("_part")
     offsets = _running_offsets(placed.groupBy(part).agg(F.count(F.lit(1)).alias("n")), "_part")
@@ -78,30 +81,47 @@ def row_hash(key: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
-def _with_key(df: DataFrame, key: str | None) -> tuple[DataFrame, str]:
-    return (df, key) if key else (dense_index(df, name="_arrival"), "_arrival")
+def _bucket_counts(df: DataFrame, hashed: Column) -> DataFrame:
+    """Rows per hash bucket, from one pass over the key; written once since it is used twice."""
+    bucket = F.substring(hashed, 1, _DIGITS).alias("_bucket")
+    return freeze(df.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")), "buckets")
+
+
+def _uneven(counts: DataFrame) -> bool:
+    """Whether a bucket is larger than chance allows, so that some key must repeat a lot."""
+    row = counts.agg(F.max("n").alias("most"), F.sum("n").alias("n")).first()
+    expected = (row["n"] or 0) / 16**_DIGITS
+    return (row["most"] or 0) > expected + 10 * math.sqrt(expected) + 100
+
+
+def _even_key(df: DataFrame, key: str | None, seed: int) -> tuple[DataFrame, str, DataFrame]:
+    """(rows, key, bucket counts); arrival positions replace a missing or often repeated key."""
+    if key is not None:
+        counts = _bucket_counts(df, row_hash(F.col(key), seed))
+        if not _uneven(counts):
+            return df, key, counts
+    df = dense_index(df, name="_arrival")
+    return df, "_arrival", _bucket_counts(df, row_hash(F.col("_arrival"), seed))
 
 
 def permute(df: DataFrame, key: str | None, seed: int = SEED, name: str = "idx") -> DataFrame:
     """Add the place of each row in a seeded permutation.
 
-    ``key`` must tell rows apart; pass ``None`` when no column does, and arrival
-    positions are used. Buckets of the hash are even by construction, so each
-    window partition holds about n/65,536 rows. The place is a function of the
-    data alone and is the same after any task is run again.
+    ``key`` should tell rows apart; without one, or if a key repeats so much that
+    hash buckets become uneven, arrival positions are used. Each window partition
+    holds about n/65,536 rows. With a unique key the place depends on the data
+    alone and is the same after any task is run again.
     """
-    df, key = _with_key(df, key)
+    df, key, counts = _even_key(df, key, seed)
     keyed = df.withColumn("_hash", row_hash(F.col(key), seed)).withColumn(
         "_bucket", F.substring("_hash", 1, _DIGITS)
     )
-    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
     in_bucket = Window.partitionBy("_bucket").orderBy("_hash", key)
-    placed = (
+    return (
         keyed.join(F.broadcast(_running_offsets(counts, "_bucket")), "_bucket")
         .withColumn(name, F.col("_offset") + F.row_number().over(in_bucket) - 1)
-        .drop("_bucket", "_offset", "_hash")
+        .drop("_bucket", "_offset", "_hash", "_arrival")
     )
-    return placed.drop("_arrival")
 
 
 def holdout_size(n: int, fraction: float, clamp_to_rest: bool = False) -> int:
@@ -239,11 +259,12 @@ def epoch_batches(df: DataFrame, size: int, epochs: int, index: str = "idx") ->
     )
 
 
-def shuffle_epoch(df: DataFrame, key: str, epochs: int, seed: int = SEED) -> DataFrame:
+def shuffle_epoch(df: DataFrame, key: str | None, epochs: int, seed: int = SEED) -> DataFrame:
     """A fresh full permutation per epoch: columns ``epoch`` and ``position``.
 
     Stronger than a bounded shuffle buffer, where a row cannot move far.
     """
+    df, key, _ = _even_key(df, key, seed)
     turns = repeat(df, epochs, "epoch")
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.col("epoch").cast("string"), F.lit(":"),
                             F.coalesce(F.col(key).cast("string"), F.lit(""))))
@@ -256,7 +277,7 @@ def shuffle_epoch(df: DataFrame, key: str, epochs: int, seed: int = SEED) -> Dat
     return (
         keyed.join(offsets, ["epoch", "_bucket"])
         .withColumn("position", F.col("_offset") + F.row_number().over(in_bucket) - 1)
-        .drop("_hash", "_bucket", "_offset")
+        .drop("_hash", "_bucket", "_offset", "_arrival")
     )
 
 

@@ -86,7 +86,7 @@ def run(spark: SparkSession, args: argparse.Namespace):
         cfg = KMeansConfig.unweighted(k=args.k)
         result = health_clustering.cluster_csv(spark, args.path or data_path(), cfg, args.infer_types, args.save_to)
         result.predictions.select("features", "prediction").show(5)
-        center_rows(result.fitted.model, spark).show(args.k * 4)
+        center_rows(result.fitted.model, spark).show(1000)
         print(f"Silhouette with squared Euclidean distance = {result.silhouette}")
         return result
     if args.job == "load-csv":

@@ -60,6 +60,23 @@ def test_permutation_without_key(spark):
     assert ids(permuted, "idx") == list(range(500))
 
 
+def test_permutation_with_a_key_that_repeats(spark):
+    df = sequence(spark, 6000).withColumn("k", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")))
+    permuted = rows.permute(df, "k")
+    assert permuted.columns == ["id", "k", "idx"]
+    assert ids(permuted, "idx") == list(range(6000)) and ids(permuted) == list(range(6000))
+    shuffled = rows.shuffle_epoch(df, "k", 2)
+    assert ids(shuffled.filter("epoch = 1"), "position") == list(range(6000))
+
+
+def test_equal_rows_are_spread(spark):
+    df = sequence(spark, 8000, 8).select(F.lit("same").alias("v"))
+    indexed = rows.dense_index(df, ["v"], partitions=8)
+    assert indexed.columns == ["v", "idx"] and ids(indexed, "idx") == list(range(8000))
+    ranged = df.withColumn("_p", F.spark_partition_id()).repartitionByRange(8, "v", "_p")
+    assert max(r["count"] for r in ranged.groupBy(F.spark_partition_id()).count().collect()) < 4000
+
+
 def test_permutation_moves_no_row_through_one_task(spark):
     plan = rows.permute(sequence(spark, 100), "id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SinglePartition") == 1  # the offsets: at most 65,536 rows
