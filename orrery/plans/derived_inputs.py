@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orrery.functions.text import MISSING_TOKENS
 from orrery.operators.clean import INSERT_COLUMNS, NUMERIC_COLUMNS
 from orrery.plans.health_view import health_view
-from orrery.runtime import scratch_path
+from orrery.runtime import freeze, scratch_path
 from orrery.sources.paths import table
 
 PICTURE_SIZE = 8
@@ -132,14 +132,17 @@ def png_bytes(bgr: bytes, height: int, width: int) -> bytes:
 
 
 def write_pictures(df: DataFrame, name: str = "pictures") -> str:
-    """Write one PNG per row from the executors; a task run again writes the same bytes."""
-    folder = scratch_path(df.sparkSession, name)
-    uri = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
+    """Write one PNG per row from the executors; a task run again writes the same bytes.
+
+    The folder's full URI, store included, is taken from what Spark itself wrote.
+    """
+    stored = freeze(df.select("image"), name)
+    folder = stored.inputFiles()[0].rsplit("/", 1)[0] + "-files"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(uri)
+        store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
         for batch in batches:
             for picture in batch.column("image").to_pylist():
@@ -147,5 +150,5 @@ def write_pictures(df: DataFrame, name: str = "pictures") -> str:
                     out.write(png_bytes(picture["data"], picture["height"], picture["width"]))
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["written"])
 
-    df.select("image").mapInArrow(write, "written bigint").agg(F.sum("written")).first()
+    stored.mapInArrow(write, "written bigint").agg(F.sum("written")).first()
     return folder

@@ -1,6 +1,7 @@
 """Readers and writers, each run on data derived from the given tables.
 
-JDBC scans need a database server and are covered by tests of their options only.
+JDBC scans need a database server. Their options are covered by tests; here the
+conditions that divide such a scan are checked on the health rows.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from orrery.registry.learning import DAILY_SQL
 from orrery.runtime import scratch_path
 from orrery.sinks import tables
 from orrery.sinks.files import write_history_arrays
-from orrery.sources import delimited, history, image_files, labels
+from orrery.sources import delimited, history, image_files, jdbc, labels
 from orrery.sources.paths import table
 
 
@@ -25,6 +26,32 @@ def _no_nan(column: str):
     return F.when(~F.isnan(column), F.col(column)).alias(column)
 
 
+@query("jdbc_parts_cover", over_health("""
+SELECT count(*) AS n_rows, count(*) AS n_in_one_part, true AS parts_even FROM hv"""))
+def jdbc_parts_cover(spark: SparkSession, folder: str) -> DataFrame:
+    """The 16 conditions of a balanced scan: each row meets exactly one, and no part is twice its share.
+
+    Half the ids are moved far up, which would leave equal key ranges uneven.
+    """
+    ids = health_view(spark, folder).select(
+        F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.col("id") + 50_000_000).alias("id")
+    )
+    limits = ids.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("id").alias("n")).first()
+    keys = jdbc.range_from(limits["low"], limits["high"], limits["n"])
+
+    def count(low: int, high: int, width: int) -> list[tuple[int, int]]:
+        cell = F.floor((F.col("id") - low) / width).alias("cell")
+        cells = ids.filter(F.col("id").between(low, high - 1)).groupBy(cell).agg(F.count(F.lit(1)).alias("n"))
+        return [(r["cell"], r["n"]) for r in cells.collect()]
+
+    cuts = jdbc.balanced_cuts(count, keys, limits["n"])
+    parts = [F.expr(p).cast("int") for p in jdbc.cut_predicates("id", cuts)]
+    return ids.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(sum(parts[1:], parts[0]) == 1).alias("n_in_one_part"),
+        (F.greatest(*[F.sum(p) for p in parts]) <= 2 * F.count(F.lit(1)) / keys.partitions).alias("parts_even"),
+    )
+
+
 @query("scan_csv_infer", over_health("""
 SELECT id, CAST(edition AS INTEGER) AS edition, measure_name, subpopulation,
   CASE WHEN NOT isnan(value) THEN value END AS value, coalesce(isnan(value), false) AS value_is_nan, source_date FROM hv"""))

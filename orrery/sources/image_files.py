@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orrery.functions.text import basename, is_image_name
+from orrery.functions.text import basename
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
@@ -27,6 +27,3 @@ def read_images(spark: SparkSession, folder: str, pattern: str | None = None) ->
     name = F.url_decode(F.replace(basename(F.col("image.origin")), F.lit("+"), F.lit("%2B")))
     return reader.load(folder).select(name.alias("name"), "image")
 
-
-def keep_image_names(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(is_image_name(F.col(column)))

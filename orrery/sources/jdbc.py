@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Cells per counting query.
+_CELLS = 1024
+
 
 @dataclass(frozen=True)
 class JdbcConfig:
@@ -71,28 +75,47 @@ def range_from(low: int | None, high: int | None, rows: int, column: str = "id",
     return KeyRange(column, low, high + 1, max(1, min(wanted, high + 1 - low)))
 
 
-def derive_range(spark: SparkSession, cfg: JdbcConfig, column: str = "id", **limits) -> KeyRange | None:
-    """Ask the database for the key's limits: one row comes back."""
+def key_limits(spark: SparkSession, cfg: JdbcConfig, column: str = "id") -> tuple[int | None, int | None, int]:
+    """Lowest key, highest key and row count, asked of the database: one row comes back."""
     query = (f"(SELECT MIN({column}) AS low, MAX({column}) AS high, COUNT(*) AS total "
              f"FROM {cfg.table}) key_limits")
-    row = spark.read.format("jdbc").options(**cfg.options(query)).load().first()
-    low, high, total = row[0], row[1], row[2]
-    return range_from(None if low is None else int(low), None if high is None else int(high), int(total), column, **limits)
+    low, high, total = tuple(spark.read.format("jdbc").options(**cfg.options(query)).load().first())
+    return None if low is None else int(low), None if high is None else int(high), int(total)
+
+
+def derive_range(spark: SparkSession, cfg: JdbcConfig, column: str = "id", **limits) -> KeyRange | None:
+    return range_from(*key_limits(spark, cfg, column), column, **limits)
 
 
-def cell_query(table: str, column: str, low: int, width: int) -> str:
-    """Rows per cell of ``width`` consecutive keys."""
-    return (f"(SELECT FLOOR(({column} - {low}) / {width}) AS cell, COUNT(*) AS total FROM {table} "
-            f"WHERE {column} IS NOT NULL GROUP BY FLOOR(({column} - {low}) / {width})) key_cells")
+def cell_query(table: str, column: str, low: int, high: int, width: int) -> str:
+    """Rows per cell of ``width`` consecutive keys in [low, high)."""
+    cell = f"FLOOR(({column} - {low}) / {width})"
+    return (f"(SELECT {cell} AS cell, COUNT(*) AS total FROM {table} "
+            f"WHERE {column} >= {low} AND {column} < {high} GROUP BY {cell}) key_cells")
 
 
-def balanced_cuts(cells: list[tuple[int, int]], low: int, width: int, partitions: int) -> list[int]:
-    """Keys at which to cut so that neighbouring cells form parts of about equal row counts."""
-    target = max(1, -(-sum(n for _, n in cells) // partitions))
+def balanced_cuts(count: Callable[[int, int, int], list[tuple[int, int]]], keys: KeyRange, rows: int) -> list[int]:
+    """Keys at which to cut so that the parts hold about equally many rows.
+
+    ``count(low, high, width)`` gives the rows per cell. Cells with more than
+    half a part's share are counted again in narrower cells, so that keys packed
+    into a sliver of the range are divided too.
+    """
+    share = max(1, -(-rows // keys.partitions))
+    cells, heavy = [], [(keys.lower, keys.upper)]
+    while heavy:
+        low, high = heavy.pop()
+        width = -(-(high - low) // _CELLS)
+        for cell, n in count(low, high, width):
+            start = low + cell * width
+            if n > share / 2 and width > 1:
+                heavy.append((start, min(high, start + width)))
+            else:
+                cells.append((start, n))
     cuts, filled = [], 0
-    for cell, n in sorted(cells):
-        if filled and filled + n > target:
-            cuts.append(low + cell * width)
+    for start, n in sorted(cells):
+        if filled and filled + n > share:
+            cuts.append(start)
             filled = 0
         filled += n
     return cuts
@@ -106,21 +129,23 @@ def cut_predicates(column: str, cuts: list[int]) -> list[str]:
     return [first, *[f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])], last]
 
 
-def balanced_predicates(spark: SparkSession, cfg: JdbcConfig, column: str = "id", cells_per_partition: int = 64,
-                        **limits) -> list[str]:
+def balanced_predicates(spark: SparkSession, cfg: JdbcConfig, column: str = "id", **limits) -> list[str]:
     """Conditions for parts of even size when the keys have gaps or cluster.
 
-    Equal key ranges are uneven then: most rows may lie in one. Two small
-    queries, one row and at most a few thousand counts, find better cuts.
+    Equal key ranges are uneven then: most rows may lie in one. A few grouped
+    counts on the key, made by the database, find better cuts.
     """
-    keys = derive_range(spark, cfg, column, **limits)
+    low, high, total = key_limits(spark, cfg, column)
+    keys = range_from(low, high, total, column, **limits)
     if keys is None:
         return cut_predicates(column, [])
-    width = max(1, -(-(keys.upper - keys.lower) // (keys.partitions * cells_per_partition)))
-    query = cell_query(cfg.table, column, keys.lower, width)
-    rows = spark.read.format("jdbc").options(**cfg.options(query)).load().collect()
-    cells = [(int(r[0]), int(r[1])) for r in rows]
-    return cut_predicates(column, balanced_cuts(cells, keys.lower, width, keys.partitions))
+
+    def count(low: int, high: int, width: int) -> list[tuple[int, int]]:
+        query = cell_query(cfg.table, column, low, high, width)
+        rows = spark.read.format("jdbc").options(**cfg.options(query)).load().collect()
+        return [(int(r[0]), int(r[1])) for r in rows]
+
+    return cut_predicates(column, balanced_cuts(count, keys, total))
 
 
 def read_jdbc(spark: SparkSession, cfg: JdbcConfig, split: KeyRange | str | None = None) -> DataFrame:

@@ -20,7 +20,10 @@ def read_row_stream(spark: SparkSession, path: str, schema: str = ROW_SCHEMA, fi
 
 
 def score_stream(rows: DataFrame, fitted: Fitted, output: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Write (input columns, prediction) as parquet with exactly-once file commits."""
+    """Write (input columns, prediction) as parquet with exactly-once file commits.
+
+    Pass a lasting ``checkpoint`` folder if the query is to go on after a restart.
+    """
     scored = infer(rows, fitted).select(*rows.columns, "prediction")
     checkpoint = checkpoint or scratch_path(rows.sparkSession, "scoring")
     return (
