@@ -110,6 +110,16 @@ def test_split_takes_the_tail_of_the_permutation(spark):
     assert validation == tail
 
 
+@pytest.mark.parametrize("leaf", [0, 1, 10_000])
+def test_split_by_two_histograms_is_the_same(spark, leaf, monkeypatch):
+    df = sequence(spark, 3000)
+    monkeypatch.setattr(rows, "_DIGITS", 1)  # about 190 rows per bucket
+    monkeypatch.setattr(rows, "_LEAF_ROWS", leaf)
+    training, validation = rows.holdout_split(df, "id")
+    assert ids(validation) == ids(rows.permute(df, "id").filter("idx >= 2400"))
+    assert training.count() == 2400
+
+
 def test_split_shuffles_nothing(spark):
     for part in rows.holdout_split(sequence(spark, 3000), "id"):
         assert "Exchange" not in part._jdf.queryExecution().executedPlan().toString()

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from orrery import runtime
@@ -295,6 +296,25 @@ def test_jdbc_parts_are_even_when_keys_cluster():
     assert jdbc.cut_predicates("id", []) == ["1 = 1"]
 
 
+@settings(max_examples=150, database=None, deadline=None)
+@given(st.sets(st.one_of(st.integers(-50, 5000), st.integers(10**6, 10**6 + 300), st.integers(0, 10**12)), min_size=1, max_size=400),
+       st.integers(1, 40))
+def test_jdbc_parts_of_any_keys(keys, partitions):
+    def count(low, high, width):
+        found = {}
+        for k in keys:
+            if low <= k < high:
+                found[(k - low) // width] = found.get((k - low) // width, 0) + 1
+        return list(found.items())
+
+    span = jdbc.range_from(min(keys), max(keys), len(keys), partitions=partitions)
+    cuts = jdbc.balanced_cuts(count, span, len(keys))
+    assert cuts == sorted(set(cuts))
+    edges = [float("-inf"), *cuts, float("inf")]
+    sizes = [sum(a <= k < b for k in keys) for a, b in zip(edges, edges[1:])]
+    assert sum(sizes) == len(keys) and max(sizes) <= -(-len(keys) // span.partitions) + 1
+
+
 def test_jdbc_balanced_read():
     class Rows(FakeReader):
         def collect(self):
