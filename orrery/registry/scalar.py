@@ -102,9 +102,10 @@ def fn_array(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("fn_map", """
-SELECT event_id, CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'view' THEN 2 END AS idx FROM events""")
+SELECT event_id, CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'view' THEN 2 ELSE -1 END AS idx
+FROM events""")
 def fn_map(spark: SparkSession, folder: str) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(k), F.lit(v)) for v, k in enumerate(["click", "error", "view"])])
     return table(spark, folder, "events").select(
-        "event_id", F.try_element_at(F.map_from_entries(pairs), F.col("event_type")).alias("idx")
+        "event_id", F.coalesce(F.try_element_at(F.map_from_entries(pairs), F.col("event_type")), F.lit(-1)).alias("idx")
     )

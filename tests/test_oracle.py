@@ -24,7 +24,7 @@ def _cell(value):
     if isinstance(value, bool):
         return (1, str(value))
     if isinstance(value, (int, float)):
-        return (2, "nan" if isinstance(value, float) and math.isnan(value) else repr(float(value) + 0.0))
+        return (2, "nan" if isinstance(value, float) and math.isnan(value) else repr(float(value)))
     return (3, str(value))
 
 
