@@ -38,3 +38,34 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-file")
     write_tokens(table(spark, folder, "documents"), path)
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def _mixing(spark: SparkSession, folder: str) -> DataFrame:
+    from orrery.llm.mixing import mix
+
+    return mix(table(spark, folder, "documents"))
+
+
+def _licenses(spark: SparkSession, folder: str) -> DataFrame:
+    from orrery.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, folder, "documents")).drop("spans")
+
+
+@query("op9_simhash_vantage_trees")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    from orrery.llm.simhash import simhash_groups
+
+    groups = simhash_groups(table(spark, folder, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _add_sql_queries() -> None:
+    from orrery.llm.licenses import LICENSE_SQL
+    from orrery.llm.mixing import MIX_SQL
+
+    query("op5_mix_poisson", MIX_SQL)(_mixing)
+    query("op8_license_diagonals", LICENSE_SQL)(_licenses)
+
+
+_add_sql_queries()
