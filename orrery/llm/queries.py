@@ -60,6 +60,34 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Sorting by words in SQL is quick enough for whole tables of a few hundred MB.
+SUBSTRING_SQL = """
+WITH tokens AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, p, array_to_string(words[p : p + 34], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 34)) AS p FROM tokens)
+), repeated AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY w) AS n FROM windows) WHERE n > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT q) AS places FROM (SELECT doc_id, unnest(generate_series(p, p + 34)) AS q FROM repeated) GROUP BY doc_id
+), cut AS (
+  SELECT doc_id, words, coalesce(len(places), 0) AS n_removed,
+    [w FOR w, i IN words IF places IS NULL OR NOT list_contains(places, i)] AS kept
+  FROM tokens LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM cut
+"""
+
+
+@query("op7_substring_super_kmers", SUBSTRING_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    from orrery.llm.substrings import substring_dedup
+
+    cut = substring_dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _add_sql_queries() -> None:
     from orrery.llm.licenses import LICENSE_SQL
     from orrery.llm.mixing import MIX_SQL
