@@ -88,6 +88,52 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+EMBEDDING_SQL = """
+WITH RECURSIVE able AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.98
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), least AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a
+), counts AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM least LEFT JOIN counts USING (vec_id)
+"""
+
+TOPK_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_dot_product(q.v, d.v)::BIGINT AS score FROM whole q JOIN whole d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op3_embedding_projection_forest", EMBEDDING_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    from orrery.llm.embedding_dedup import embedding_groups
+
+    return embedding_groups(table(spark, folder, "embeddings"))
+
+
+@query("op6_topk_voronoi", TOPK_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    from orrery.llm.topk import top_k
+
+    rows = table(spark, folder, "embeddings")
+    return top_k(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def _add_sql_queries() -> None:
     from orrery.llm.licenses import LICENSE_SQL
     from orrery.llm.mixing import MIX_SQL
