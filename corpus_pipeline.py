@@ -10,6 +10,10 @@ from orrery.sources.paths import table
 
 #: Name and function of each stage; each takes (spark, docs, sf_dir).
 STAGES = [
+    ("language_id", stages.language_stage),
+    ("simhash_dedup", stages.simhash_stage),
+    ("substring_dedup", stages.substring_stage),
+    ("mix_sources", stages.mixing_stage),
     ("pack", stages.packing_stage),
 ]
 

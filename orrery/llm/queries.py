@@ -31,6 +31,25 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query("op2_quality_discriminant")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    from orrery.llm.language import held_out
+    from orrery.llm.quality import quality_scores
+
+    labels = table(spark, folder, "labels").filter(~held_out("doc_id", 3, 1))
+    scored = quality_scores(table(spark, folder, "documents"), labels)
+    return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op4_language_byte_network")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    from orrery.llm.language import fit_language, held_out, identify
+
+    docs = table(spark, folder, "documents")
+    net = fit_language(docs.filter(~held_out("doc_id", 4, 2)))
+    return identify(docs.select("doc_id", "text"), net).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 @query("op10_token_file_rans")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     from orrery.llm.token_file import read_tokens, write_tokens

@@ -1,10 +1,54 @@
-"""The operators as stages of the corpus pipeline: (spark, docs, sf_dir) -> documents."""
+"""The operators as stages of the corpus pipeline: (spark, docs, sf_dir) -> documents.
+
+Every stage works on all rows of ``docs`` and, the last apart, returns the columns it was
+given. Null and empty texts have no language and go in the first stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+from orrery.llm.common import col
+
+#: Texts whose likeliest language is less sure than this are rejected.
+LEAST_SURE = 0.3
+
+
+def _as_given(out: DataFrame, docs: DataFrame) -> DataFrame:
+    return out.select(*[col(c) for c in docs.columns])
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the network knows; the prediction becomes ``lang``."""
+    from orrery.llm.language import fit_language, identify
+
+    named = identify(docs.withColumnsRenamed({"lang": "_lang"}), fit_language(docs))
+    kept = named.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SURE))
+    return _as_given(kept.withColumn("lang", F.col("lang_pred")), docs)
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id."""
+    from orrery.llm.simhash import near_duplicates_removed
+
+    return _as_given(near_duplicates_removed(docs), docs)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of repeated passages; a text without any is left as it was."""
+    from orrery.llm.substrings import substring_dedup
+
+    cut = substring_dedup(docs, keep_text=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    cut = cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
+    return _as_given(cut, docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated or left out so that sources weigh as the square root of their size."""
+    from orrery.llm.mixing import mix
+
+    return _as_given(mix(docs), docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

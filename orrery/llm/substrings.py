@@ -287,44 +287,44 @@ def repeated_ranges(rows: DataFrame, window: int = WINDOW, minimiser: int = MINI
 
 
 def _cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Kept words of each text, joined by one space."""
+    """Kept words of each text, joined by one space; the other columns as they are."""
     kept, before, removed = [], [], []
     for text, starts, stops in zip(batch["text"], batch["starts"].to_pylist(), batch["stops"].to_pylist()):
         line = words_line(text.as_py())
-        words = line.split() if line else []
-        gone = np.zeros(len(words) + 1, np.int64)
+        n = line.count(b" ") + 1 if line else 0
+        gone = 0
         if starts:
-            np.add.at(gone, starts, 1)
-            np.add.at(gone, stops, -1)
-            inside = np.cumsum(gone)[:-1] > 0
-            line = b" ".join([w for w, out in zip(words, inside) if not out])
-            removed.append(int(inside.sum()))
-        else:
-            removed.append(0)
-        before.append(len(words))
+            edges = np.zeros(n + 1, np.int64)
+            np.add.at(edges, starts, 1)
+            np.add.at(edges, stops, -1)
+            inside = np.cumsum(edges)[:-1] > 0
+            line = b" ".join([w for w, out in zip(line.split(), inside.tolist()) if not out])
+            gone = int(inside.sum())
+        before.append(n)
+        removed.append(gone)
         kept.append(line.decode("utf-8", "surrogatepass"))
-    rest = [batch.column(i) for i, name in enumerate(batch.schema.names) if name not in ("text", "starts", "stops")]
-    names = [name for name in batch.schema.names if name not in ("text", "starts", "stops")]
-    yield pa.RecordBatch.from_arrays([*rest, pa.array(kept, pa.string()), pa.array(before, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "kept", "n_words", "n_removed"])
+    rest = {name: batch.column(i) for i, name in enumerate(batch.schema.names) if name not in ("text", "starts", "stops")}
+    new = {"kept": pa.array(kept, pa.string()), "n_words": pa.array(before, pa.int64()), "n_removed": pa.array(removed, pa.int64())}
+    yield pa.RecordBatch.from_pydict(rest | new)
 
 
-def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
-    """All columns of ``docs`` but the text, then kept (words joined by one space), n_words, n_removed.
+def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, minimiser: int = MINIMISER, keep_text: bool = False) -> DataFrame:
+    """The columns of ``docs`` and kept (words joined by one space), n_words, n_removed.
 
-    Where ``docs`` has columns of these names, they are left out. Texts travel once more, to
-    meet the ranges of their own row; the ranges of a row are bounded by its words.
+    The text itself is left out unless ``keep_text``; columns of ``docs`` with the names of the
+    new ones give way to them. Texts travel once more, to meet the ranges of their own row;
+    the ranges of a row are bounded by its words.
     """
-    others = [c for c in docs.columns if c not in (text, "kept", "n_words", "n_removed")]
-    h = F.xxhash64(F.coalesce(col(text), F.lit("")))
-    rows = docs.select(col(doc_id).cast("long").alias("doc_id"), h.alias("h"), F.coalesce(col(text), F.lit("")).alias("text"))
+    others = [c for c in docs.columns if c not in ("kept", "n_words", "n_removed") and (c != text or keep_text)]
+    whole = F.coalesce(col(text), F.lit(""))
+    rows = docs.select(col(doc_id).cast("long").alias("doc_id"), F.xxhash64(whole).alias("h"), whole.alias("text"))
     ranges = repeated_ranges(rows, window, minimiser)
     ranges = ranges.groupBy("doc_id", "h").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
-    ranges = ranges.withColumnsRenamed({"doc_id": "_range_id", "h": "_range_h"})
-    left = docs.withColumn("_h", h)
-    same = col(doc_id).cast("long").eqNullSafe(F.col("_range_id")) & (F.col("_h") == F.col("_range_h"))
-    joined = left.join(ranges, same, "left").select(*[col(c) for c in others], F.coalesce(col(text), F.lit("")).alias("text"), "starts", "stops")
+    ranges = ranges.withColumnsRenamed({"doc_id": "range_id", "h": "range_h"})
     named = {c: f"c{i}" for i, c in enumerate(others)}
-    joined = joined.select(*[col(c).alias(a) for c, a in named.items()], "text", "starts", "stops")
+    left = docs.select(*[col(c).alias(a) for c, a in named.items()], col(doc_id).cast("long").alias("own_id"), F.xxhash64(whole).alias("own_h"), whole.alias("text"))
+    same = F.col("own_id").eqNullSafe(F.col("range_id")) & (F.col("own_h") == F.col("range_h"))
+    joined = left.join(ranges, same, "left").select(*named.values(), "text", "starts", "stops")
     fields = [f"{a} {joined.schema[a].dataType.simpleString()}" for a in named.values()]
     cut = joined.mapInArrow(each_batch(_cut), ", ".join([*fields, "kept string", "n_words long", "n_removed long"]))
     return cut.select(*[F.col(a).alias(c) for c, a in named.items()], "kept", "n_words", "n_removed")
