@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from orrery.llm.common import col, each_batch, keep, per_worker
 
 WINDOW = 35
-MINIMISER = 8
+MINIMISER = 5
 #: Bytes of packed strings that a bucket holds on average.
 BUCKET_BYTES = 24 << 20
 #: Bytes of text whose strings a map task packs together.
@@ -127,7 +127,7 @@ def _packer(buckets: int, frequent: frozenset, window: int, minimiser: int):
     import zstandard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
         piles: dict[int, dict[bytes, list]] = defaultdict(dict)
         held = 0
 
