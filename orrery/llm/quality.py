@@ -150,7 +150,10 @@ def fit_discriminant(rows: DataFrame, to_pooled: float = TO_POOLED, to_sphere: f
     scatter = [totals[c][1:, 1:] - counts[c] * np.outer(means[c], means[c]) for c in (0, 1)]
     pooled = sum(scatter) / sum(counts)
     centre = sum(n * m for n, m in zip(counts, means)) / sum(counts)
-    spread = np.sqrt(np.maximum(np.diag(pooled), 1e-12))
+    # Spread over both classes: a statistic may be constant in each and yet tell them apart.
+    between = sum(n * np.outer(m - centre, m - centre) for n, m in zip(counts, means)) / sum(counts)
+    spread = np.sqrt(np.maximum(np.diag(pooled + between), 0))
+    spread[spread < 1e-6] = 1.0
     pooled = pooled / np.outer(spread, spread)
     factors, log_dets = [], []
     for c in (0, 1):
