@@ -18,7 +18,7 @@ _SPACE = r"[\s\x1c-\x1f]"
 _EDGE_SPACE = rf"(?U)^{_SPACE}+|{_SPACE}+\z"
 # Last dot of the last path element, when a non-dot character precedes it there.
 _EXTENSION = r"[^./][^/]*(\.[^./]*)$"
-_OCTET = r"^0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])$"
+_OCTET = r"^0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])\z"
 
 
 def strip(c: Column) -> Column:
@@ -40,6 +40,11 @@ def extension(c: Column) -> Column:
     return F.lower(F.regexp_extract(c, _EXTENSION, 1))
 
 
+def image_pattern() -> str:
+    """Glob for file names with an accepted extension in any case."""
+    return "*.{" + ",".join("".join(f"[{c}{c.upper()}]" for c in e[1:]) for e in IMAGE_EXTENSIONS) + "}"
+
+
 def is_image_name(c: Column) -> Column:
     return extension(c).isin(IMAGE_EXTENSIONS)
 

@@ -13,33 +13,49 @@ from pyspark.sql import DataFrame, functions as F, types as T
 _BATCH_BYTES = 32 * 1024 * 1024
 
 
-def _linear_weights(size: int, target: int) -> np.ndarray:
+# Taps of one resize direction: source places and weights, each ``target x taps``.
+Taps = tuple[np.ndarray, np.ndarray]
+
+
+def _linear_taps(size: int, target: int) -> Taps:
     """Linear interpolation with half-pixel centres, no antialiasing."""
     place = (np.arange(target) + 0.5) * (size / target) - 0.5
     low = np.floor(place)
     share = place - low
-    weights = np.zeros((target, size))
-    rows = np.arange(target)
-    np.add.at(weights, (rows, np.clip(low, 0, size - 1).astype(int)), 1 - share)
-    np.add.at(weights, (rows, np.clip(np.ceil(place), 0, size - 1).astype(int)), share)
-    return weights
+    places = np.clip(np.stack([low, np.ceil(place)], axis=1), 0, size - 1).astype(np.intp)
+    return places, np.stack([1 - share, share], axis=1).astype(np.float32)
 
 
-def _cubic_weights(size: int, target: int) -> np.ndarray:
-    """Cubic convolution (a = -1/2), widened when shrinking; rows add up to one."""
+def _cubic_taps(size: int, target: int) -> Taps:
+    """Cubic convolution (a = -1/2), widened when shrinking; weights add up to one."""
     scale = size / target
     widen = max(scale, 1.0)
-    center = (np.arange(target) + 0.5)[:, None] * scale
-    far = np.abs((np.arange(size) + 0.5)[None, :] - center) / widen
+    center = (np.arange(target) + 0.5) * scale
+    first = np.floor(center - 2 * widen).astype(np.intp)
+    places = first[:, None] + np.arange(int(np.ceil(4 * widen)) + 2)[None, :]
+    far = np.abs(places + 0.5 - center[:, None]) / widen
     near = (1.5 * far - 2.5) * far * far + 1
     tail = ((-0.5 * far + 2.5) * far - 4) * far + 2
     weights = np.where(far < 1, near, np.where(far < 2, tail, 0.0))
-    return weights / weights.sum(axis=1, keepdims=True)
+    weights[(places < 0) | (places >= size)] = 0.0
+    return np.clip(places, 0, size - 1), weights / weights.sum(axis=1, keepdims=True)
+
 
+def resize_taps(size: int, target: int, method: str = "bilinear", known: dict | None = None) -> Taps:
+    """Taps of one direction; ``known`` keeps those of sizes met before."""
+    known = {} if known is None else known
+    key = (size, target, method)
+    if key not in known:
+        known[key] = {"bilinear": _linear_taps, "bicubic": _cubic_taps}[method](size, target)
+    return known[key]
 
-def resize_weights(size: int, target: int, method: str = "bilinear") -> np.ndarray:
-    """``target x size`` matrix of one resize direction."""
-    return {"bilinear": _linear_weights, "bicubic": _cubic_weights}[method](size, target)
+
+def _along_rows(picture: np.ndarray, taps: Taps) -> np.ndarray:
+    places, weights = taps
+    out = np.zeros((len(places), *picture.shape[1:]), weights.dtype)
+    for k in range(places.shape[1]):
+        out += picture[places[:, k]] * weights[:, k, None, None]
+    return out
 
 
 def to_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
@@ -48,24 +64,31 @@ def to_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     return np.repeat(raw, 3, axis=2) if channels == 1 else raw[:, :, 2::-1]
 
 
-def resize(rgb: np.ndarray, height: int, width: int, method: str = "bilinear") -> np.ndarray:
+def resize(rgb: np.ndarray, height: int, width: int, method: str = "bilinear", known: dict | None = None) -> np.ndarray:
     """Resized picture: floats for ``bilinear`` (the training path), whole levels for
-    ``bicubic`` (the inference path, which keeps 8-bit pictures after each direction)."""
-    rows, columns = resize_weights(rgb.shape[0], height, method), resize_weights(rgb.shape[1], width, method)
+    ``bicubic`` (the inference path, which keeps 8-bit pictures after each direction).
+
+    Each direction gathers the few source rows or columns that a target needs; a large
+    picture stays in bytes until then.
+    """
+    rows, columns = resize_taps(rgb.shape[0], height, method, known), resize_taps(rgb.shape[1], width, method, known)
+    turned = lambda picture: picture.transpose(1, 0, 2)
     if method == "bilinear":
-        return np.einsum("ih,hwc,jw->ijc", rows, rgb.astype(np.float64), columns, optimize=True)
-    levels = rgb.astype(np.float64)
+        return turned(_along_rows(turned(_along_rows(rgb, rows)), columns))
+    whole = lambda levels: np.clip(np.floor(levels + 0.5), 0, 255).astype(np.uint8)
+    levels = rgb
     if width != rgb.shape[1]:
-        levels = np.clip(np.floor(np.einsum("hwc,jw->hjc", levels, columns) + 0.5), 0, 255)
+        levels = turned(whole(_along_rows(turned(levels), columns)))
     if height != rgb.shape[0]:
-        levels = np.clip(np.floor(np.einsum("ih,hjc->ijc", rows, levels) + 0.5), 0, 255)
-    return levels
+        levels = whole(_along_rows(levels, rows))
+    return levels.astype(np.float32)
 
 
-def scaled_pixels(data: bytes, size: tuple[int, int, int], target: tuple[int, int], method: str = "bilinear") -> np.ndarray:
+def scaled_pixels(data: bytes, size: tuple[int, int, int], target: tuple[int, int], method: str = "bilinear",
+                  known: dict | None = None) -> np.ndarray:
     """Flat RGB floats in [0, 1]; ``size`` is height, width, channels."""
-    resized = resize(to_rgb(data, *size), *target, method)
-    return (resized / 255.0).astype(np.float32).reshape(-1)
+    resized = resize(to_rgb(data, *size), *target, method, known)
+    return (resized / np.float32(255)).astype(np.float32, copy=False).reshape(-1)
 
 
 def image_features(df: DataFrame, height: int, width: int, image: str = "image", keep: tuple[str, ...] = (),
@@ -84,11 +107,12 @@ def image_features(df: DataFrame, height: int, width: int, image: str = "image",
     slice_rows = max(1, _BATCH_BYTES // (height * width * 3 * 4))
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
         for whole in batches:
             for start in range(0, whole.num_rows, slice_rows):
                 part = whole.slice(start, slice_rows)
                 inputs = [part.column(f"_{f}").to_pylist() for f in ("data", "height", "width", "nChannels")]
-                pixels = [scaled_pixels(d, (h, w, c), (height, width), method) for d, h, w, c in zip(*inputs)]
+                pixels = [scaled_pixels(d, (h, w, c), (height, width), method, known) for d, h, w, c in zip(*inputs)]
                 values = pa.array(np.concatenate(pixels), type=pa.float32())
                 offsets = pa.array(np.arange(len(pixels) + 1, dtype=np.int32) * (height * width * 3))
                 n = part.num_rows
@@ -114,11 +138,11 @@ def image_predictions(
     """
 
     def start() -> Callable:
-        predict = load()
+        predict, known = load(), {}
 
         def run(data: np.ndarray, heights: np.ndarray, widths: np.ndarray, channels: np.ndarray) -> np.ndarray:
             pixels = [
-                scaled_pixels(d, (int(h), int(w), int(c)), (height, width), method)
+                scaled_pixels(d, (int(h), int(w), int(c)), (height, width), method, known)
                 for d, h, w, c in zip(data, heights, widths, channels)
             ]
             return predict(np.stack(pixels))

@@ -1,13 +1,12 @@
 """Row organisation: dense index, permutation, exact split, shard, batch, repeat.
 
 Row numbers are never taken from one window over the whole input. A dense index
-comes from per-partition positions plus offsets; a permutation from per-bucket
-row numbers plus offsets; a split needs no sort at all.
+comes from per-partition positions plus offsets, in arrival order or over a range
+partitioning; a permutation is an index in hash order; a split needs no sort at all.
 """
 
 from __future__ import annotations
 
-import math
 import warnings
 from collections.abc import Callable, Sequence
 
@@ -18,13 +17,11 @@ from orrery.runtime import SMALL_ROWS, freeze
 
 SEED = 1337
 
-# A hash bucket is four hex digits, so there are never more than 65,536 of them.
+# A histogram bucket of a split is four hex digits, so there are never more than 65,536 of them.
 _DIGITS = 4
 # A bucket of up to this many rows is ranked at once instead of being divided again.
 _LEAF_ROWS = 10_000
 _POSITION_BITS = 33
-SPREAD_ROWS = 1_000_000
-SPREAD_STEP = 12_500
 
 
 def _running_offsets(counts: DataFrame, bucket: str) -> DataFrame:
@@ -33,24 +30,34 @@ def _running_offsets(counts: DataFrame, bucket: str) -> DataFrame:
     return counts.select(bucket, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
 
 
+def _hashable(kind: T.DataType) -> bool:
+    """Whether a column can be hashed: no map at any depth."""
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def dense_index(
     df: DataFrame, order_by: Sequence[str] | None = None, name: str = "idx", start: int = 0,
-    partitions: int | None = None,
+    partitions: int | None = None, hashed: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``start .. start+n-1`` without gaps.
 
     Without ``order_by`` rows are numbered as they are read and nothing is
     shuffled. With it they are range-partitioned (into ``partitions`` parts, or as
-    many as the session shuffles into) and sorted; a row hash, and for equal rows
-    the partition they were read in, break ties so that a frequent value does not
-    fill one partition. Positions are
+    many as the session shuffles into) and sorted; a hash of the row (of the columns
+    ``hashed``, if given), and for equal rows the partition they were read in, break
+    ties so that a frequent value does not fill one partition. Positions are
     fixed by one write to scratch, after which only a table with one row per
     partition is broadcast.
     """
     if order_by:
-        hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        hashable = [f.name for f in df.schema.fields if _hashable(f.dataType) and (hashed is None or f.name in hashed)]
         df = df.withColumn("_read_in", F.spark_partition_id())
-        keys = [F.col(c) for c in order_by] + [F.xxhash64(*hashable), F.col("_read_in")]
+        row = [F.xxhash64(*[F.col(f"`{c}`") for c in hashable])] if hashable else []
+        keys = [F.col(c) for c in order_by] + row + [F.col("_read_in")]
         ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
         df = ranged.sortWithinPartitions(*keys).drop("_read_in")
     placed = freeze(df.withColumn("_place", F.monotonically_increasing_id()), "index")
@@ -81,47 +88,18 @@ def row_hash(key: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
-def _bucket_counts(df: DataFrame, hashed: Column) -> DataFrame:
-    """Rows per hash bucket, from one pass over the key; written once since it is used twice."""
-    bucket = F.substring(hashed, 1, _DIGITS).alias("_bucket")
-    return freeze(df.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")), "buckets")
-
-
-def _uneven(counts: DataFrame) -> bool:
-    """Whether a bucket is larger than chance allows, so that some key must repeat a lot."""
-    row = counts.agg(F.max("n").alias("most"), F.sum("n").alias("n")).first()
-    expected = (row["n"] or 0) / 16**_DIGITS
-    return (row["most"] or 0) > expected + 10 * math.sqrt(expected) + 100
-
-
-def _even_key(df: DataFrame, key: str | None, seed: int) -> tuple[DataFrame, str, DataFrame]:
-    """(rows, key, bucket counts); arrival positions replace a missing or often repeated key."""
-    if key is not None:
-        counts = _bucket_counts(df, row_hash(F.col(key), seed))
-        if not _uneven(counts):
-            return df, key, counts
-    df = dense_index(df, name="_arrival")
-    return df, "_arrival", _bucket_counts(df, row_hash(F.col("_arrival"), seed))
-
-
-def permute(df: DataFrame, key: str | None, seed: int = SEED, name: str = "idx") -> DataFrame:
+def permute(df: DataFrame, key: str | None, seed: int = SEED, name: str = "idx", ties: Sequence[str] = ()) -> DataFrame:
     """Add the place of each row in a seeded permutation.
 
-    ``key`` should tell rows apart; without one, or if a key repeats so much that
-    hash buckets become uneven, arrival positions are used. Each window partition
-    holds about n/65,536 rows. With a unique key the place depends on the data
-    alone and is the same after any task is run again.
+    Rows are ordered by a hash of ``key``, rows of equal keys by ``ties`` and then by a
+    hash of the whole row, so a key may repeat as often as it likes and the place depends
+    on the data alone. Without a key, arrival positions take its part.
     """
-    df, key, counts = _even_key(df, key, seed)
-    keyed = df.withColumn("_hash", row_hash(F.col(key), seed)).withColumn(
-        "_bucket", F.substring("_hash", 1, _DIGITS)
-    )
-    in_bucket = Window.partitionBy("_bucket").orderBy("_hash", key)
-    return (
-        keyed.join(F.broadcast(_running_offsets(counts, "_bucket")), "_bucket")
-        .withColumn(name, F.col("_offset") + F.row_number().over(in_bucket) - 1)
-        .drop("_bucket", "_offset", "_hash", "_arrival")
-    )
+    columns = df.columns
+    if key is None:
+        df, key = dense_index(df, name="_arrival"), "_arrival"
+    keyed = df.withColumn("_hash", row_hash(F.col(key), seed))
+    return dense_index(keyed, ["_hash", key, *ties], name, hashed=columns).drop("_hash", "_arrival")
 
 
 def holdout_size(n: int, fraction: float, clamp_to_rest: bool = False) -> int:
@@ -157,13 +135,14 @@ def exact_split(
     key: str,
     size: Callable[[int], int],
     seed: int = SEED,
+    ties: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Split off exactly ``size(n)`` rows: those last in the seeded permutation.
 
     The permutation itself is not built. One or two histograms of the key's hash
     (at most 65,536 counts each) and the few distinct keys of one leaf give the
-    boundary key; both parts are then plain filters on the input. A key that repeats across
-    the boundary is divided by arrival position.
+    boundary key; both parts are then plain filters on the input. Rows of a key that
+    repeats across the boundary are divided as ``permute`` orders them.
     """
     hashed = row_hash(F.col(key), seed)
     keys = df.select(key)
@@ -187,15 +166,15 @@ def exact_split(
         if place < row["n"]:
             break
         place -= row["n"]
-    edge_hash, edge_key, ties = row["hash"], row[key], row["n"]
+    edge_hash, edge_key, repeats = row["hash"], row[key], row["n"]
     at_edge = F.col(key).eqNullSafe(F.lit(edge_key))
     kind = df.schema[key].dataType
     edge = F.struct(F.lit(edge_hash).alias("hash"), F.lit(edge_key).cast(kind).alias("key"))
     before = F.struct(hashed.alias("hash"), F.col(key).alias("key")) < edge
     if place == 0:
         return df.filter(before), df.filter(~before)
-    warnings.warn(f"split key {key} repeats {ties} times at the boundary; dividing its rows by arrival")
-    tied = dense_index(df.filter(at_edge), name="_tie")
+    warnings.warn(f"split key {key} repeats {repeats} times at the boundary; dividing its rows by their hash")
+    tied = dense_index(df.filter(at_edge), [key, *ties], "_tie")
     return (
         df.filter(before & ~at_edge).unionByName(tied.filter(F.col("_tie") < place).drop("_tie")),
         df.filter(~before & ~at_edge).unionByName(tied.filter(F.col("_tie") >= place).drop("_tie")),
@@ -231,6 +210,8 @@ def batch(df: DataFrame, size: int, index: str = "idx", name: str = "batch_id")
 
 def repeat(df: DataFrame, times: int, name: str = "pass") -> DataFrame:
     """Every row once per pass, made in place by a generator: no join, no shuffle."""
+    if times < 1:
+        return df.withColumn(name, F.lit(0)).limit(0)
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
 
 
@@ -259,26 +240,21 @@ def epoch_batches(df: DataFrame, size: int, epochs: int, index: str = "idx") ->
     )
 
 
-def shuffle_epoch(df: DataFrame, key: str | None, epochs: int, seed: int = SEED) -> DataFrame:
+def shuffle_epoch(df: DataFrame, key: str | None, epochs: int, seed: int = SEED, ties: Sequence[str] = ()) -> DataFrame:
     """A fresh full permutation per epoch: columns ``epoch`` and ``position``.
 
-    Stronger than a bounded shuffle buffer, where a row cannot move far.
+    Stronger than a bounded shuffle buffer, where a row cannot move far. All epochs are
+    ordered together, and each holds as many rows as the input.
     """
-    df, key, _ = _even_key(df, key, seed)
-    turns = repeat(df, epochs, "epoch")
+    columns = df.columns
+    if key is None:
+        df, key = dense_index(df, name="_arrival"), "_arrival"
+    n = df.count()
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.col("epoch").cast("string"), F.lit(":"),
                             F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    keyed = turns.withColumn("_hash", hashed).withColumn("_bucket", F.substring("_hash", 1, _DIGITS))
-    counts = keyed.groupBy("epoch", "_bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("epoch").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("epoch", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
-    in_bucket = Window.partitionBy("epoch", "_bucket").orderBy("_hash", key)
-    # The offsets stay below 65,536 rows per epoch; AQE measures them before choosing a join.
-    return (
-        keyed.join(offsets, ["epoch", "_bucket"])
-        .withColumn("position", F.col("_offset") + F.row_number().over(in_bucket) - 1)
-        .drop("_hash", "_bucket", "_offset", "_arrival")
-    )
+    turns = repeat(df, epochs, "epoch").withColumn("_hash", hashed)
+    placed = dense_index(turns, ["epoch", "_hash", key, *ties], "position", hashed=columns)
+    return placed.withColumn("position", F.col("position") - F.col("epoch") * F.lit(n)).drop("_hash", "_arrival")
 
 
 def spread(df: DataFrame, partitions: int = 16) -> DataFrame:
@@ -286,18 +262,6 @@ def spread(df: DataFrame, partitions: int = 16) -> DataFrame:
     return df.repartition(partitions)
 
 
-def spread_small(df: DataFrame, n_rows: int) -> DataFrame:
-    """Spread a table of few rows, which tends to arrive in one file, before iterative work.
-
-    Larger tables keep the partitions they were read in and are not shuffled.
-    The number of partitions follows from the data alone, so results do not
-    depend on the machine.
-    """
-    if n_rows > SPREAD_ROWS:
-        return df
-    return spread(df, max(1, min(16, -(-n_rows // SPREAD_STEP))))
-
-
 def zip_by_index(left: DataFrame, right: DataFrame, index: str = "idx") -> DataFrame:
     """Positional zip of two equally long sequences that carry a dense index."""
     return left.join(right, index)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from orrery.operators.clean import NUMERIC_COLUMNS, complete_cases, require_rows
 from orrery.operators.encode import label_encode, vocabulary
 from orrery.operators.metrics import classification_metrics, regression_metrics
-from orrery.operators.rows import SEED, holdout_split, spread_small
+from orrery.operators.rows import SEED, holdout_split
 from orrery.runtime import freeze
 
 # Sizes of the hidden layers.
@@ -69,12 +69,11 @@ def train_classifier(
     ])
     training = training.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        evened = spread_small(training, training.count())
-        prepared = stages.fit(evened)
+        prepared = stages.fit(training)
         network = MultilayerPerceptronClassifier(
             layers=[len(features), *HIDDEN_LAYERS, max(2, classes)], labelCol="label_idx",
             maxIter=max_iter, seed=seed, blockSize=BLOCK_ROWS,
-        ).fit(prepared.transform(evened))
+        ).fit(prepared.transform(training))
     finally:
         training.unpersist()
     model = PipelineModel([*prepared.stages, network])
@@ -118,6 +117,27 @@ def evaluate_regressor(df: DataFrame, regressor: PointRegressor, targets: tuple[
     return regression_metrics(scored, [(f"{t}_hat", t) for t in targets])
 
 
+def save_regressor(regressor: PointRegressor, base: str) -> None:
+    """Write both models below ``base``, replacing earlier ones."""
+    for name, model in (("x", regressor.x), ("y", regressor.y)):
+        model.write().overwrite().save(f"{base.rstrip('/')}/model_{name}")
+
+
+def load_regressor(base: str) -> PointRegressor:
+    return PointRegressor(*[LinearRegressionModel.load(f"{base.rstrip('/')}/model_{name}") for name in ("x", "y")])
+
+
+def load_classifier(base: str) -> PipelineModel:
+    """The classifier that ``train_classifier_from_csv`` wrote below ``base``."""
+    return PipelineModel.load(f"{base.rstrip('/')}/model")
+
+
+def regressor_loader(regressor: PointRegressor) -> Callable:
+    """A fitted regressor as the loader that batch prediction takes."""
+    models = (regressor.x, regressor.y)
+    return linear_predictor([m.coefficients.toArray().tolist() for m in models], [m.intercept for m in models])
+
+
 def linear_predictor(weights: list[list[float]], bias: list[float]) -> Callable:
     """Loader of a small linear model, run once per Python worker."""
 

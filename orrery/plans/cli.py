@@ -12,7 +12,9 @@ import os
 from pyspark.sql import SparkSession
 
 from orrery.operators.clustering import KMeansConfig, center_rows, infer, probe_rows
+from orrery.operators.supervised import load_regressor, regressor_loader
 from orrery.plans import health_clustering, load_health, supervised_training
+from orrery.plans.image_inference import predict_folder
 from orrery.sources.jdbc import JdbcConfig, KeyRange, read_jdbc
 from orrery.sources.paths import data_path
 
@@ -44,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
     file.add_argument("--path")
     file.add_argument("--k", type=int, default=5)
     file.add_argument("--infer-types", action="store_true")
+    file.add_argument("--no-multiline", dest="multiline", action="store_false", help="no line breaks inside quotes: files can be split")
     file.add_argument("--save-to", default=_env("MODEL_OUTPUT_DIR") or None, help="MODEL_OUTPUT_DIR")
 
     load = jobs.add_parser("load-csv", help="CSV to a catalog table, or to a database with --jdbc (DB_*)")
@@ -53,19 +56,26 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--location")
     load.add_argument("--jdbc", action="store_true")
     load.add_argument("--batch-size", type=int, default=1000)
-    load.add_argument("--multiline", action="store_true")
+    load.add_argument("--no-multiline", dest="multiline", action="store_false")
 
     train = jobs.add_parser("train-csv", help="labelled CSV to classifier (DATA_PATH, OUTPUT_DIR)")
     train.add_argument("--data-path", default=_env("DATA_PATH"), help="DATA_PATH")
     train.add_argument("--output-dir", default=_env("OUTPUT_DIR", "./model"), help="OUTPUT_DIR")
     train.add_argument("--max-iter", type=int, default=100)
-    train.add_argument("--multiline", action="store_true")
+    train.add_argument("--no-multiline", dest="multiline", action="store_false")
 
     pictures = jobs.add_parser("train-images", help="labelled image folder to point regressor (DATA_PATH, OUTPUT_DIR)")
     pictures.add_argument("--data-path", default=_env("DATA_PATH"), help="DATA_PATH")
     pictures.add_argument("--output-dir", default=_env("OUTPUT_DIR", "./model"), help="OUTPUT_DIR")
-    pictures.add_argument("--img-height", type=int, default=16)
-    pictures.add_argument("--img-width", type=int, default=20)
+    pictures.add_argument("--img-height", type=int, default=int(_env("IMG_HEIGHT", "256")), help="IMG_HEIGHT")
+    pictures.add_argument("--img-width", type=int, default=int(_env("IMG_WIDTH", "320")), help="IMG_WIDTH")
+
+    predict = jobs.add_parser("predict-images", help="saved point regressor to the positions in a picture folder")
+    predict.add_argument("--data-path", default=_env("DATA_PATH"), help="DATA_PATH")
+    predict.add_argument("--model-dir", default=_env("OUTPUT_DIR", "./model"), help="OUTPUT_DIR of train-images")
+    predict.add_argument("--output", required=True)
+    predict.add_argument("--img-height", type=int, default=int(_env("IMG_HEIGHT", "256")), help="IMG_HEIGHT")
+    predict.add_argument("--img-width", type=int, default=int(_env("IMG_WIDTH", "320")), help="IMG_WIDTH")
     return top
 
 
@@ -84,9 +94,10 @@ def run(spark: SparkSession, args: argparse.Namespace):
         return result
     if args.job == "cluster-csv":
         cfg = KMeansConfig.unweighted(k=args.k)
-        result = health_clustering.cluster_csv(spark, args.path or data_path(), cfg, args.infer_types, args.save_to)
+        result = health_clustering.cluster_csv(spark, args.path or data_path(), cfg, args.infer_types, args.save_to, args.multiline)
         result.predictions.select("features", "prediction").show(5)
-        center_rows(result.fitted.model, spark).show(1000)
+        centers = center_rows(result.fitted.model, spark)
+        centers.show(centers.count(), truncate=False)
         print(f"Silhouette with squared Euclidean distance = {result.silhouette}")
         return result
     if args.job == "load-csv":
@@ -99,6 +110,9 @@ def run(spark: SparkSession, args: argparse.Namespace):
         return supervised_training.train_classifier_from_csv(
             spark, args.data_path, args.output_dir, max_iter=args.max_iter, multiline=args.multiline
         )
+    if args.job == "predict-images":
+        load = regressor_loader(load_regressor(args.model_dir))
+        return predict_folder(spark, args.data_path, load, args.output, args.img_height, args.img_width)
     return supervised_training.train_points_from_folder(
         spark, args.data_path, args.output_dir, args.img_height, args.img_width
     )

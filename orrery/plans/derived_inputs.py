@@ -36,13 +36,15 @@ def write_csv(df: DataFrame, name: str) -> str:
 
 
 def health_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Health rows as text in which the missing tokens take turns for NULL numbers and categories."""
+    """Health rows as text: missing tokens take turns for NULL numbers and categories, and every
+    seventh state name holds a line break."""
     rows = health_view(spark, folder)
     token = F.element_at(
         F.array(*[F.lit(t) for t in MISSING_TOKENS]), (F.col("id") % len(MISSING_TOKENS) + 1).cast("int")
     )
     missing = {c: F.coalesce(F.col(c).cast("string"), token) for c in [*NUMERIC_COLUMNS, "measure_name"]}
-    return rows.withColumns(missing).select(*INSERT_COLUMNS, "id")
+    broken = F.when(F.col("id") % 7 == 0, F.concat("state_name", F.lit("\nsecond line"))).otherwise(F.col("state_name"))
+    return rows.withColumns(missing).withColumn("state_name", broken).select(*INSERT_COLUMNS, "id")
 
 
 def customer_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,7 +64,11 @@ def customer_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def label_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """One image label line per event; six of ten kinds are unusable in one way each or need care."""
+    """One image label line per event; most kinds are unusable in one way or need care.
+
+    Sizes are whole numbers, decimals or text, coordinates numbers or text, points objects,
+    empty lists or missing.
+    """
     e = F.col("event_id")
     kind = e % 10
     name = (
@@ -78,6 +84,9 @@ def label_lines(spark: SparkSession, folder: str) -> DataFrame:
     ))
     line = (
         F.when(kind == 0, F.lit("")).when(kind == 1, F.lit("{not json")).when(kind == 2, F.lit("[1,2]"))
+        .when(kind == 4, F.when(e % 20 == 4, record).otherwise(F.regexp_replace(record, r"\}$", ',"point":[]}')))
+        .when(kind == 7, F.regexp_replace(record, '"width":320', '"width":320.0'))
+        .when(kind == 9, F.regexp_replace(F.regexp_replace(record, '"x_px":([0-9.]+)', '"x_px":"$1"'), '"height":256', '"height":"tall"'))
         .otherwise(record)
     )
     return table(spark, folder, "events").select(line.alias("value"))

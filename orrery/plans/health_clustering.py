@@ -46,10 +46,10 @@ def cluster_jdbc(spark: SparkSession, db: JdbcConfig | None = None, cfg: KMeansC
 
 
 def cluster_csv(spark: SparkSession, path: str, cfg: KMeansConfig | None = None, infer_types: bool = False,
-                save_to: str | None = None) -> ClusteringResult:
+                save_to: str | None = None, multiline: bool = True) -> ClusteringResult:
     """CSV to five scored clusters. A declared schema saves the pass that inference needs."""
     cfg = cfg or KMeansConfig.unweighted()
-    source = read_csv_inferred(spark, path) if infer_types else read_csv_missing(spark, path)
+    source = read_csv_inferred(spark, path, multiline) if infer_types else read_csv_missing(spark, path, multiline=multiline)
     return cluster(numbers_from_text(source, cfg.numeric), cfg, score=True, save_to=save_to)
 
 

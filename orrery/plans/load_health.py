@@ -11,7 +11,7 @@ from orrery.sources.jdbc import JdbcConfig, write_jdbc
 
 
 def load_csv_to_table(spark: SparkSession, path: str, table: str, database: str | None = None,
-                      location: str | None = None, multiline: bool = False, dense: bool = True) -> str:
+                      location: str | None = None, multiline: bool = True, dense: bool = True) -> str:
     """Append a health CSV to a catalog table, creating database and table first. Returns the full name."""
     name = f"{database}.{table}" if database else table
     if database:
@@ -22,7 +22,7 @@ def load_csv_to_table(spark: SparkSession, path: str, table: str, database: str
 
 
 def load_csv_to_jdbc(spark: SparkSession, path: str, db: JdbcConfig | None = None, batch_size: int = 1000,
-                     multiline: bool = False) -> None:
+                     multiline: bool = True) -> None:
     """Append a health CSV to a database table that generates its own ids and times."""
     rows = project(read_csv_missing(spark, path, multiline=multiline))
     write_jdbc(rows, db or JdbcConfig.from_env(), batch_size)

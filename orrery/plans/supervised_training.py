@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from orrery.functions.text import image_pattern
 from orrery.operators import supervised
 from orrery.operators.clean import NUMERIC_COLUMNS
 from orrery.operators.encode import feature_vector
@@ -15,6 +16,7 @@ from orrery.operators.rows import dense_index, holdout_split
 from orrery.runtime import freeze
 from orrery.sinks.files import write_history, write_label_map
 from orrery.sources.delimited import read_csv_rows
+from orrery.sources.image_files import unreadable_images
 from orrery.sources.labels import read_image_dataset
 
 
@@ -23,6 +25,7 @@ class TrainingReport:
     metrics: dict[str, float]
     model_path: str
     history_path: str
+    unreadable_pictures: int = 0
 
 
 def train_classifier_from_csv(
@@ -32,7 +35,7 @@ def train_classifier_from_csv(
     features: list[str] = NUMERIC_COLUMNS,
     label: str = "subpopulation",
     max_iter: int = 100,
-    multiline: bool = False,
+    multiline: bool = True,
 ) -> TrainingReport:
     """Read, validate, encode, split, train, evaluate; write model, label map and history."""
     output = output.rstrip("/")
@@ -56,7 +59,7 @@ def image_vectors(dataset: DataFrame, height: int, width: int) -> DataFrame:
 
 
 def train_points_from_folder(
-    spark: SparkSession, folder: str, output: str, height: int = 16, width: int = 20,
+    spark: SparkSession, folder: str, output: str, height: int = 256, width: int = 320,
     fraction: float = 0.2, reg: float = 0.01,
 ) -> TrainingReport:
     """Labelled pictures to a regressor of (x_px, y_px); the targets stay in original pixels."""
@@ -65,9 +68,9 @@ def train_points_from_folder(
     rows = freeze(image_vectors(read_image_dataset(spark, folder), height, width), "pixels")
     training, validation = holdout_split(rows, "image", fraction, clamp_to_rest=True)
     regressor = supervised.train_point_regressor(training, reg=reg)
-    for name, model in (("x", regressor.x), ("y", regressor.y)):
-        model.write().overwrite().save(f"{output}/model_{name}")
+    supervised.save_regressor(regressor, output)
     scored = supervised.evaluate_regressor(validation, regressor)
     wide = scored.select(F.lit(1).alias("epoch"), "mae", "mse", F.col("mse").alias("loss"))
     write_history(history_long(wide, "epoch", ["loss", "mae", "mse"]), f"{output}/history")
-    return TrainingReport(scored.first().asDict(), f"{output}/model", f"{output}/history")
+    unreadable = unreadable_images(spark, folder, image_pattern()).count()
+    return TrainingReport(scored.first().asDict(), f"{output}/model", f"{output}/history", unreadable)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -272,7 +273,7 @@ def kmeans_weighted(spark: SparkSession, folder: str) -> DataFrame:
     source = health_view(spark, folder)
     cfg = KMeansConfig.unweighted(weight=5)
     scaled = clustering.fit_kmeans(source, cfg)
-    repeated = clustering.fit_kmeans_literal(source, cfg)
+    repeated = clustering.fit_kmeans(source, replace(cfg, weighting="repeated"))
     a, b = scaled.model.summary.trainingCost, repeated.model.summary.trainingCost
     return clustering.prepare(source, scaled, cfg).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
         "same_cost", F.lit(abs(a - b) <= 1e-6 * max(1.0, a))

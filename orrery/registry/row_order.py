@@ -32,6 +32,33 @@ def permute_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rows.permute(_events(spark, folder).select("event_id"), "event_id")
 
 
+_USER_HASH = "md5(concat('1337:', CAST(user_id AS VARCHAR(20))))"
+_BY_USER = f"""
+SELECT event_id, row_number() OVER (ORDER BY {_USER_HASH}, user_id, event_id) - 1 AS idx, count(*) OVER () AS n FROM events
+"""
+
+
+@query("permute_repeated_key", f"SELECT event_id, idx FROM ({_BY_USER})")
+def permute_repeated_key(spark: SparkSession, folder: str) -> DataFrame:
+    """The user is no unique key: its events follow one another by their ids."""
+    return rows.permute(_events(spark, folder).select("event_id", "user_id"), "user_id", ties=["event_id"]).drop("user_id")
+
+
+@query("split_repeated_key", f"SELECT event_id FROM ({_BY_USER}) WHERE idx >= {_HEAD}")
+def split_repeated_key(spark: SparkSession, folder: str) -> DataFrame:
+    events = _events(spark, folder).select("event_id", "user_id")
+    return rows.exact_split(events, "user_id", lambda n: rows.holdout_size(n, 0.2), ties=["event_id"])[1].select("event_id")
+
+
+@query("shuffle_repeated_key", """
+SELECT event_id, CAST(e AS INTEGER) AS epoch, row_number() OVER (PARTITION BY e ORDER BY
+  md5(concat('1337:', CAST(e AS VARCHAR(20)), ':', CAST(user_id AS VARCHAR(20)))), user_id, event_id) - 1 AS position
+FROM events CROSS JOIN range(2) t(e)""")
+def shuffle_repeated_key(spark: SparkSession, folder: str) -> DataFrame:
+    shuffled = rows.shuffle_epoch(_events(spark, folder).select("event_id", "user_id"), "user_id", 2, ties=["event_id"])
+    return shuffled.select("event_id", "epoch", "position")
+
+
 @query("split_train", f"SELECT event_id FROM ({_PERMUTED}) WHERE idx < {_HEAD}")
 def split_train(spark: SparkSession, folder: str) -> DataFrame:
     return rows.holdout_split(_events(spark, folder).select("event_id"), "event_id")[0]

@@ -29,7 +29,7 @@ def _no_nan(column: str):
 @query("jdbc_parts_cover", over_health("""
 SELECT count(*) AS n_rows, count(*) AS n_in_one_part, true AS parts_even FROM hv"""))
 def jdbc_parts_cover(spark: SparkSession, folder: str) -> DataFrame:
-    """The 16 conditions of a balanced scan: each row meets exactly one, and no part is twice its share.
+    """The parts of a balanced scan: each row lies in exactly one, and none holds twice its share.
 
     Half the ids are moved far up, which would leave equal key ranges uneven.
     """
@@ -39,16 +39,19 @@ def jdbc_parts_cover(spark: SparkSession, folder: str) -> DataFrame:
     limits = ids.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("id").alias("n")).first()
     keys = jdbc.range_from(limits["low"], limits["high"], limits["n"])
 
-    def count(low: int, high: int, width: int) -> list[tuple[int, int]]:
-        cell = F.floor((F.col("id") - low) / width).alias("cell")
-        cells = ids.filter(F.col("id").between(low, high - 1)).groupBy(cell).agg(F.count(F.lit(1)).alias("n"))
-        return [(r["cell"], r["n"]) for r in cells.collect()]
+    def count(spans: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
+        inside = F.lit(False)
+        for low, high in spans:
+            inside = inside | F.col("id").between(low, high - 1)
+        cells = ids.filter(inside).groupBy(F.floor((F.col("id") - keys.lower) / width).alias("cell"))
+        return [(r["cell"], r["n"]) for r in cells.agg(F.count(F.lit(1)).alias("n")).collect()]
 
     cuts = jdbc.balanced_cuts(count, keys, limits["n"])
-    parts = [F.expr(p).cast("int") for p in jdbc.cut_predicates("id", cuts)]
-    return ids.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(sum(parts[1:], parts[0]) == 1).alias("n_in_one_part"),
-        (F.greatest(*[F.sum(p) for p in parts]) <= 2 * F.count(F.lit(1)) / keys.partitions).alias("parts_even"),
+    part = F.size(F.filter(F.lit(cuts), lambda cut: cut <= F.col("id")))
+    sizes = ids.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("part").between(0, len(cuts)), F.col("n"))).alias("n_in_one_part"),
+        (F.max("n") <= 2 * F.sum("n") / keys.partitions).alias("parts_even"),
     )
 
 
@@ -65,13 +68,11 @@ def scan_csv_infer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("scan_csv_na", over_health("""
-SELECT edition, measure_name, state_name, CASE WHEN NOT isnan(value) THEN value END AS value, lower_ci, upper_ci,
-  source, source_date FROM hv"""))
+SELECT edition, report_type, measure_name, CASE WHEN id % 7 = 0 THEN concat(state_name, chr(10), 'second line') ELSE state_name END AS state_name,
+  subpopulation, CASE WHEN NOT isnan(value) THEN value END AS value, lower_ci, upper_ci, source, source_date FROM hv"""))
 def scan_csv_na(spark: SparkSession, folder: str) -> DataFrame:
     path = derived_inputs.write_csv(derived_inputs.health_text(spark, folder), "health-na-csv")
-    return delimited.read_csv_missing(spark, path).select(
-        "edition", "measure_name", "state_name", *clean.NUMERIC_COLUMNS, "source", "source_date"
-    )
+    return delimited.read_csv_missing(spark, path)
 
 
 @query("scan_csv_rows", """
@@ -101,13 +102,11 @@ SELECT CASE event_id % 10 WHEN 3 THEN NULL WHEN 5 THEN concat('img_', CAST(event
     WHEN 6 THEN concat('IMG_', CAST(event_id AS VARCHAR), '.PNG')
     ELSE concat('img_', CAST(event_id AS VARCHAR), '.png') END AS image,
   CASE WHEN event_id % 10 <> 4 THEN value END AS x_px,
-  CASE WHEN event_id % 10 NOT IN (4, 8) THEN value * 2 END AS y_px, 320 AS width, 256 AS height
+  CASE WHEN event_id % 10 NOT IN (4, 8) THEN value * 2 END AS y_px
 FROM events WHERE event_id % 10 > 2""")
 def scan_jsonl_labels(spark: SparkSession, folder: str) -> DataFrame:
     path = derived_inputs.write_text(derived_inputs.label_lines(spark, folder), "labels")
-    return labels.read_labels(spark, path).select(
-        "image", "point.x_px", "point.y_px", "image_size.width", "image_size.height"
-    )
+    return labels.read_labels(spark, path).select("image", "point.x_px", "point.y_px")
 
 
 def _channel_sum(levels: str, channel: int):

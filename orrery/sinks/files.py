@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from orrery.functions.nested import label_map_json
-from orrery.runtime import SMALL_ROWS
 
 
 def copy_dataset(df: DataFrame, uri: str, kind: str = "parquet") -> None:
@@ -17,12 +16,9 @@ def copy_dataset(df: DataFrame, uri: str, kind: str = "parquet") -> None:
 
 
 def write_label_map(vocab: DataFrame, label: str, index: str, path: str) -> None:
-    """One JSON object ``{index: label}``; a vocabulary too long for one row is written as
-    JSON lines of (index, label) instead."""
+    """One JSON object ``{index: label}`` at every size: one row, as large as the vocabulary
+    that a classifier holds in any case."""
     pairs = vocab.select(F.col(index).alias("index"), F.col(label).alias("label"))
-    if vocab.count() > SMALL_ROWS:
-        pairs.write.mode("overwrite").json(path)
-        return
     document = label_map_json(F.col("index").cast("string"), F.col("label")).alias("value")
     pairs.agg(document).coalesce(1).write.mode("overwrite").text(path)
 

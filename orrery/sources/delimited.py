@@ -1,7 +1,8 @@
 """CSV readers.
 
-``escape='"'`` makes doubled quotes read as Python's readers do. A file with
-line breaks inside quotes cannot be split, so ``multiline`` is off unless asked for.
+``escape='"'`` makes doubled quotes read as Python's readers do. Line breaks inside quotes
+belong to their record; a file read that way cannot be split, so large files that are known
+to have none should be read with ``multiline=False``.
 """
 
 from __future__ import annotations
@@ -32,13 +33,13 @@ def _reader(spark: SparkSession, header: bool, multiline: bool):
     return spark.read.options(header=header, multiLine=multiline, escape='"', mode="PERMISSIVE")
 
 
-def read_csv_inferred(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_csv_inferred(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Header and inferred types. Inference reads the data one extra time."""
     return _reader(spark, True, multiline).option("inferSchema", True).csv(path)
 
 
 def read_csv_rows(
-    spark: SparkSession, path: str, columns: Iterable[str] | None = None, multiline: bool = False
+    spark: SparkSession, path: str, columns: Iterable[str] | None = None, multiline: bool = True
 ) -> DataFrame:
     """All-text named rows; short rows end in NULLs, blank lines are skipped.
 
@@ -61,8 +62,16 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
+def count_bad_numbers(df: DataFrame, schema: T.StructType = HEALTH_SCHEMA) -> dict[str, int]:
+    """Text values of each numeric column that are neither missing nor a number; ``typed`` makes them NULL."""
+    names = [f.name for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    text = {c: null_tokens(F.col(c)) for c in names}
+    row = df.agg(*[F.count_if(text[c].isNotNull() & parse_number(text[c]).isNull()).alias(c) for c in names]).first()
+    return {c: int(row[c] or 0) for c in names}
+
+
 def read_csv_missing(
-    spark: SparkSession, path: str, schema: T.StructType = HEALTH_SCHEMA, multiline: bool = False
+    spark: SparkSession, path: str, schema: T.StructType = HEALTH_SCHEMA, multiline: bool = True
 ) -> DataFrame:
     """Typed rows in which every token pandas reads as missing is NULL; one pass, no inference."""
     rows = read_csv_rows(spark, path, multiline=multiline)

@@ -15,6 +15,20 @@ def list_files(spark: SparkSession, folder: str, pattern: str | None = None) ->
     return reader.load(folder).select(basename(F.col("path")).alias("name"), "path", "length")
 
 
+def _named(df: DataFrame) -> DataFrame:
+    # File URIs are percent-encoded; the name is not.
+    name = F.url_decode(F.replace(basename(F.col("image.origin")), F.lit("+"), F.lit("%2B")))
+    return df.select(name.alias("name"), "image")
+
+
+def unreadable_images(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
+    """(name) of the files that ``read_images`` leaves out because they cannot be decoded."""
+    reader = spark.read.format("image").option("dropInvalid", False)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return _named(reader.load(folder)).filter(F.col("image.height") < 0).select("name")
+
+
 def read_images(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """(name, image): decoded pictures, undecodable files dropped.
 
@@ -23,7 +37,4 @@ def read_images(spark: SparkSession, folder: str, pattern: str | None = None) ->
     reader = spark.read.format("image").option("dropInvalid", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    # File URIs are percent-encoded; the name is not.
-    name = F.url_decode(F.replace(basename(F.col("image.origin")), F.lit("+"), F.lit("%2B")))
-    return reader.load(folder).select(name.alias("name"), "image")
-
+    return _named(reader.load(folder))

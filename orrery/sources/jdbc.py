@@ -8,8 +8,9 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Cells per counting query.
-_CELLS = 1024
+# Cells of the first count for each part, and how much narrower those of the next count are.
+_CELLS_PER_PART = 4
+_FINER = 64
 
 
 @dataclass(frozen=True)
@@ -87,31 +88,43 @@ def derive_range(spark: SparkSession, cfg: JdbcConfig, column: str = "id", **lim
     return range_from(*key_limits(spark, cfg, column), column, **limits)
 
 
-def cell_query(table: str, column: str, low: int, high: int, width: int) -> str:
-    """Rows per cell of ``width`` consecutive keys in [low, high)."""
-    cell = f"FLOOR(({column} - {low}) / {width})"
-    return (f"(SELECT {cell} AS cell, COUNT(*) AS total FROM {table} "
-            f"WHERE {column} >= {low} AND {column} < {high} GROUP BY {cell}) key_cells")
+Span = tuple[int, int]
+CountCells = Callable[[list[Span], int], list[tuple[int, int]]]
 
 
-def balanced_cuts(count: Callable[[int, int, int], list[tuple[int, int]]], keys: KeyRange, rows: int) -> list[int]:
+def cell_query(table: str, column: str, base: int, spans: list[Span], width: int) -> str:
+    """Rows per cell of ``width`` consecutive keys, counted from ``base``, of the keys in ``spans``."""
+    cell = f"FLOOR(({column} - {base}) / {width})"
+    inside = " OR ".join(f"{column} >= {low} AND {column} < {high}" for low, high in spans)
+    return f"(SELECT {cell} AS cell, COUNT(*) AS total FROM {table} WHERE {inside} GROUP BY {cell}) key_cells"
+
+
+def balanced_cuts(count: CountCells, keys: KeyRange, rows: int) -> list[int]:
     """Keys at which to cut so that the parts hold about equally many rows.
 
-    ``count(low, high, width)`` gives the rows per cell. Cells with more than
-    half a part's share are counted again in narrower cells, so that keys packed
-    into a sliver of the range are divided too.
+    ``count(spans, width)`` gives the rows per cell. The first count has a few cells per
+    part; cells with more rows than a part are counted again, all together, in cells a
+    ``_FINER``-th as wide. Evenly spread keys need one count, and no range more than a
+    handful; a part holds less than two shares unless one key alone does.
     """
     share = max(1, -(-rows // keys.partitions))
-    cells, heavy = [], [(keys.lower, keys.upper)]
-    while heavy:
-        low, high = heavy.pop()
-        width = -(-(high - low) // _CELLS)
-        for cell, n in count(low, high, width):
-            start = low + cell * width
-            if n > share / 2 and width > 1:
-                heavy.append((start, min(high, start + width)))
+    wanted = _CELLS_PER_PART * keys.partitions
+    # Widths are powers of two, so that narrower cells lie inside wider ones.
+    width = 1 << max(0, -(-(keys.upper - keys.lower) // wanted) - 1).bit_length()
+    cells, spans = [], [(keys.lower, keys.upper)]
+    while spans:
+        heavy = []
+        for cell, n in sorted(count(spans, width)):
+            start = keys.lower + cell * width
+            if n > share and width > 1:
+                end = min(keys.upper, start + width)
+                if heavy and heavy[-1][1] == start:
+                    heavy[-1] = (heavy[-1][0], end)
+                else:
+                    heavy.append((start, end))
             else:
                 cells.append((start, n))
+        spans, width = heavy, max(1, width // _FINER)
     cuts, filled = [], 0
     for start, n in sorted(cells):
         if filled and filled + n > share:
@@ -140,8 +153,8 @@ def balanced_predicates(spark: SparkSession, cfg: JdbcConfig, column: str = "id"
     if keys is None:
         return cut_predicates(column, [])
 
-    def count(low: int, high: int, width: int) -> list[tuple[int, int]]:
-        query = cell_query(cfg.table, column, low, high, width)
+    def count(spans: list[Span], width: int) -> list[tuple[int, int]]:
+        query = cell_query(cfg.table, column, keys.lower, spans, width)
         rows = spark.read.format("jdbc").options(**cfg.options(query)).load().collect()
         return [(int(r[0]), int(r[1])) for r in rows]
 

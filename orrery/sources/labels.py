@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orrery.functions.text import is_image_name, strip
+from orrery.functions.text import image_pattern, is_image_name, strip
 from orrery.operators.clean import require_rows
 from orrery.operators.joins import keep_existing, lookup_join
 from orrery.runtime import fits_broadcast
@@ -12,25 +12,26 @@ from orrery.sources.image_files import list_files, read_images
 
 LABEL_FILE = "clean_labels.jsonl"
 
-LABEL_SCHEMA = T.StructType([
-    T.StructField("image", T.StringType()),
-    T.StructField("point", T.StructType([
-        T.StructField("x_px", T.DoubleType()), T.StructField("y_px", T.DoubleType())
-    ])),
-    T.StructField("image_size", T.StructType([
-        T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())
-    ])),
-])
-
-
 def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
-    """All non-blank lines; those that are not a fitting JSON object carry ``_corrupt_record``."""
-    schema = T.StructType([*LABEL_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
-    return spark.read.schema(schema).json(path)
+    """All non-blank lines as (image, point, _corrupt_record).
+
+    Only a line that is not a JSON object is corrupt and keeps its text there. Fields are
+    read leniently: a name is taken as text, a coordinate as a number where it is one or
+    spells one, and any other field of a record is left alone.
+    """
+    record = F.try_parse_json("value")
+    is_object = F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))
+    x, y = (F.try_variant_get(record, f"$.point.{c}", "double").alias(c) for c in ("x_px", "y_px"))
+    lines = spark.read.text(path).filter(strip(F.col("value")) != "")
+    return lines.select(
+        F.when(is_object, F.try_variant_get(record, "$.image", "string")).alias("image"),
+        F.when(is_object, F.struct(x, y)).alias("point"),
+        F.when(~is_object, F.col("value")).alias("_corrupt_record"),
+    )
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    """Well-formed label records with a trimmed image name."""
+    """Records of the label file (image, point) with a trimmed image name."""
     rows = read_label_lines(spark, path)
     return rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record").withColumn(
         "image", strip(F.col("image"))
@@ -73,7 +74,8 @@ def read_image_dataset(spark: SparkSession, folder: str) -> DataFrame:
         labelled_points(labels, list_files(spark, folder).select(F.col("name").alias("image"))),
         "no valid labelled images were parsed",
     )
-    pictures = read_images(spark, folder).select(F.col("name").alias("image"), F.col("image").alias("picture"))
+    # The pattern keeps the label file, which may be large, from being read as a picture.
+    pictures = read_images(spark, folder, image_pattern()).select(F.col("name").alias("image"), F.col("image").alias("picture"))
     if fits_broadcast(points):
         # The label rows travel; the pictures stay where they were decoded.
         return pictures.join(F.broadcast(points), "image").select("image", "x_px", "y_px", "picture")

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import math
 
 import numpy as np
@@ -54,7 +56,7 @@ def test_profile_is_the_separate_counts(health):
 
 def test_scaled_weight_equals_repeated_blocks(health):
     cfg = KMeansConfig.unweighted(weight=5)
-    scaled, repeated = clustering.fit_kmeans(health, cfg), clustering.fit_kmeans_literal(health, cfg)
+    scaled, repeated = clustering.fit_kmeans(health, cfg), clustering.fit_kmeans(health, replace(cfg, weighting="repeated"))
     assert scaled.model.summary.trainingCost == pytest.approx(repeated.model.summary.trainingCost, rel=1e-9)
     rows = clustering.prepare(health, scaled, cfg)
     a = {r["id"]: r["prediction"] for r in clustering.infer(rows, scaled).collect()}

@@ -72,7 +72,7 @@ def test_extension_agrees_with_splitext(spark):
 
 def test_ipv4(spark):
     good = ["1.2.3.4", "0.0.0.0", "255.255.255.255", "001.02.3.4"]
-    bad = ["1.2.3", "1.2.3.4.", "256.1.1.1", "a.b.c.d", "1..2.3", "::1", "1.2.3.-4", " 1.2.3.4", "http://1.2.3.4"]
+    bad = ["1.2.3", "1.2.3.4.", "256.1.1.1", "a.b.c.d", "1..2.3", "::1", "1.2.3.-4", " 1.2.3.4", "http://1.2.3.4", "10.1.1.254\n", "1\n.2.3.4"]
     assert column(spark, good, text.is_ipv4) == [True] * len(good)
     assert column(spark, bad, text.is_ipv4) == [False] * len(bad)
 
