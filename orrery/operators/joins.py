@@ -1,4 +1,4 @@
-"""Equi-joins that stay balanced when one key holds much of the left side."""
+"""Equi-joins of a large left side with a lookup side."""
 
 from __future__ import annotations
 
@@ -6,73 +6,25 @@ from pyspark.sql import DataFrame, functions as F
 
 from orrery.runtime import fits_broadcast
 
-_HOT_CANDIDATES = 100
-_TRACKED_ITEMS = 10_000
-_HOT_SHARE = 0.005
-_SALTS = 64
 
-
-def hot_keys(df: DataFrame, key: str, share: float = _HOT_SHARE) -> list:
-    """Values of ``key`` that hold more than ``share`` of the rows, by one sketch pass.
-
-    NULL is left out: it matches nothing and is treated apart.
-    """
-    row = df.filter(F.col(key).isNotNull()).agg(
-        F.count(key).alias("n"),
-        F.expr(f"approx_top_k(`{key}`, {_HOT_CANDIDATES}, {_TRACKED_ITEMS})").alias("top"),
-    ).first()
-    return [item["item"] for item in row["top"] or [] if item["count"] > share * row["n"]]
-
-
-def _salted_join(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
-    """Spread each key over ``_SALTS`` reducers; the right rows are copied to each.
-
-    The salt is the map partition number: it stays the same when a lost task is
-    run again, and the result does not depend on it.
-    """
-    salted = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str,
-    how: str = "inner",
-    broadcast_ok: bool | None = None,
-    hot_share: float = _HOT_SHARE,
-) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner", broadcast_ok: bool | None = None) -> DataFrame:
     """Join a large left side with a lookup side (``inner``, ``left``, ``left_semi``, ``left_anti``).
 
-    The right side is broadcast when its measured size allows it. Otherwise the
-    few keys that are hot on the left are split off: their right rows are
-    broadcast if small and salted if not, while all other keys shuffle normally.
-    Every row takes exactly one of these ways.
+    The right side is broadcast when it is small: by the size in its plan where that is
+    clear, by measuring it where it is not. Otherwise both sides shuffle, and adaptive
+    execution splits the reducers of frequent left keys by the bytes it sees. NULL keys
+    match nothing and never travel.
     """
     if broadcast_ok is None:
         broadcast_ok = fits_broadcast(right)
     if broadcast_ok:
         return left.join(F.broadcast(right), on, how)
-
     if how in ("left_semi", "left_anti"):
         # Only presence counts; one row per key keeps a frequent right key harmless.
         right = right.select(on).distinct()
-    hot = hot_keys(left, on, hot_share)
     key = F.col(on)
-    keyed = left.filter(key.isNotNull())
-    if hot:
-        hot_right = right.filter(key.isin(hot))
-        cold = keyed.filter(~key.isin(hot)).join(right.filter(~key.isin(hot)), on, how)
-        hot_left = keyed.filter(key.isin(hot))
-        if fits_broadcast(hot_right):
-            joined = cold.unionByName(hot_left.join(F.broadcast(hot_right), on, how))
-        else:
-            joined = cold.unionByName(_salted_join(hot_left, hot_right, on, how))
-    else:
-        joined = keyed.join(right, on, how)
+    joined = left.filter(key.isNotNull()).join(right, on, how)
     if how in ("left", "left_anti"):
-        # A NULL key matches nothing; keeping it out of the join avoids one hot reducer.
         joined = joined.unionByName(left.filter(key.isNull()), allowMissingColumns=True)
     return joined
 
@@ -91,4 +43,3 @@ def report_missing(records: DataFrame, listing: DataFrame, key: str) -> DataFram
         key, F.lit("listed_not_labelled").alias("reason")
     )
     return unlisted.unionByName(unlabelled)
-

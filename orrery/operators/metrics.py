@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orrery.functions.nested import argmax
@@ -13,37 +16,46 @@ from orrery.functions.numbers import floor_div
 PROBABILITY_EDGE = 1e-7
 
 
-def _squared_norm(columns: list[str]) -> Column:
-    total = F.lit(0.0)
-    for c in columns:
-        total = total + F.col(c) * F.col(c)
-    return total
-
-
-def silhouette_rows(df: DataFrame, columns: list[str], cluster: str = "cluster") -> DataFrame:
+def silhouette_rows(df: DataFrame, columns: list[str] | str, cluster: str = "cluster") -> DataFrame:
     """Silhouette of every row with squared Euclidean distance, in linear time.
 
-    The mean distance from x to a cluster with n rows, mean m and mean squared
-    norm p is |x|^2 + p - 2 x.m, so one aggregate per cluster is enough. Its k
-    rows, as many as the cluster centres, go to the executors with the second
-    pass, where one matrix product per Arrow batch gives all distances. Rows are
-    neither shuffled nor joined, however uneven the clusters are.
+    ``columns`` are numeric columns, or one array column of equally long rows. The mean
+    distance from x to a cluster with n rows, mean m and mean squared norm p is
+    |x|^2 + p - 2 x.m, so sums per cluster are enough: each Arrow batch adds up its rows,
+    and one row per cluster, as many as the cluster centres, goes to the executors with the
+    second pass, where one matrix product per batch gives all distances. Rows are neither
+    shuffled nor joined, however uneven the clusters are.
     """
-    stats = df.groupBy(F.col(cluster).alias("c")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(_squared_norm(columns)).alias("p"),
-        F.array(*[F.avg(F.col(c).cast("double")) for c in columns]).alias("m"),
+    features = F.col(columns) if isinstance(columns, str) else F.array(*[F.col(c).cast("double") for c in columns])
+    rows = df.select(F.col(cluster).cast("long").alias("c"), features.cast("array<double>").alias("x"))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, x = batch.column("c").to_numpy(), np.stack(batch.column("x").to_numpy(zero_copy_only=False))
+            for c in np.unique(own):
+                mine = x[own == c]
+                sums = np.concatenate([[len(mine), (mine * mine).sum()], mine.sum(axis=0)])
+                totals[int(c)] = totals.get(int(c), 0) + sums
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(totals), pa.int64()), pa.array([t.tolist() for t in totals.values()], pa.list_(pa.float64()))], names=["c", "sums"]
+        )
+
+    parts = rows.mapInArrow(add_up, "c long, sums array<double>").select("c", F.posexplode("sums").alias("slot", "v"))
+    found = parts.groupBy("c", "slot").agg(F.sum("v").alias("v")).groupBy("c").agg(
+        F.array_sort(F.collect_list(F.struct("slot", "v"))).alias("sums")
     ).orderBy("c").collect()
-    if len(stats) < 2:
+    if len(found) < 2:
         raise ValueError("a silhouette needs at least two clusters")
-    names = np.array([row["c"] for row in stats])
-    sizes = np.array([row["n"] for row in stats], dtype=np.float64)
-    norms = np.array([row["p"] for row in stats], dtype=np.float64)
-    means = np.array([row["m"] for row in stats], dtype=np.float64)
+    names = np.array([row["c"] for row in found])
+    table = np.array([[cell["v"] for cell in row["sums"]] for row in found])
+    sizes, norms, means = table[:, 0], table[:, 1] / table[:, 0], table[:, 2:] / table[:, :1]
 
     @F.pandas_udf("double")
-    def score(own: pd.Series, *features: pd.Series) -> pd.Series:
-        x = np.column_stack([f.to_numpy(dtype=np.float64) for f in features])
+    def score(own: pd.Series, features: pd.Series) -> pd.Series:
+        x = np.stack(features.to_numpy()) if len(features) else np.zeros((0, means.shape[1]))
         mine = np.searchsorted(names, own.to_numpy())
         at = np.arange(len(x))
         distance = (x * x).sum(axis=1)[:, None] + norms - 2.0 * (x @ means.T)
@@ -55,10 +67,10 @@ def silhouette_rows(df: DataFrame, columns: list[str], cluster: str = "cluster")
         spread = np.divide(outside - inside, longest, out=np.zeros_like(longest), where=longest > 0)
         return pd.Series(np.where(size == 1, 0.0, spread))
 
-    return df.withColumn("silhouette", score(F.col(cluster), *[F.col(c).cast("double") for c in columns]))
+    return df.withColumn("silhouette", score(F.col(cluster), features.cast("array<double>")))
 
 
-def silhouette(df: DataFrame, columns: list[str], cluster: str = "cluster") -> DataFrame:
+def silhouette(df: DataFrame, columns: list[str] | str, cluster: str = "cluster") -> DataFrame:
     return silhouette_rows(df, columns, cluster).agg(F.avg("silhouette").alias("silhouette"))
 
 

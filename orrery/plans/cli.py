@@ -15,6 +15,7 @@ from orrery.operators.clustering import KMeansConfig, center_rows, infer, probe_
 from orrery.operators.supervised import load_regressor, regressor_loader
 from orrery.plans import health_clustering, load_health, supervised_training
 from orrery.plans.image_inference import predict_folder
+from orrery.runtime import clear_scratch
 from orrery.sources.jdbc import JdbcConfig, KeyRange, read_jdbc
 from orrery.sources.paths import data_path
 
@@ -126,4 +127,5 @@ def main(argv: list[str] | None = None) -> None:
         if result is not None:
             print(result)
     finally:
+        clear_scratch(spark)
         spark.stop()

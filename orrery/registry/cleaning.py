@@ -99,20 +99,20 @@ def project_insert_cols(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("semi_join_exists", """
 SELECT doc_id, CAST(quality AS BIGINT) AS quality FROM labels
-WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang = 'en')""")
+WHERE doc_id IN (SELECT doc_id FROM documents)""")
 def semi_join_exists(spark: SparkSession, folder: str) -> DataFrame:
-    listing = table(spark, folder, "documents").filter(F.col("lang") == "en")
+    listing = table(spark, folder, "documents")
     kept = joins.keep_existing(table(spark, folder, "labels"), listing, "doc_id")
     return kept.select("doc_id", F.col("quality").cast("bigint").alias("quality"))
 
 
 @query("anti_join_missing", """
-WITH listed AS (SELECT doc_id FROM documents WHERE lang = 'en')
+WITH listed AS (SELECT doc_id FROM documents)
 SELECT doc_id, 'labelled_not_listed' AS reason FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM listed)
 UNION ALL
 SELECT doc_id, 'listed_not_labelled' AS reason FROM listed WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def anti_join_missing(spark: SparkSession, folder: str) -> DataFrame:
-    listing = table(spark, folder, "documents").filter(F.col("lang") == "en").select("doc_id")
+    listing = table(spark, folder, "documents").select("doc_id")
     return joins.report_missing(table(spark, folder, "labels"), listing, "doc_id")
 
 

@@ -13,7 +13,7 @@ from orrery.operators.clustering import KMeansConfig
 from orrery.plans import derived_inputs
 from orrery.plans.health_view import health_view
 from orrery.registry.base import IMPUTED_SQL, over_health, query
-from orrery.runtime import scratch_path
+from orrery.runtime import freeze, scratch_path
 from orrery.sinks.files import write_image_predictions
 from orrery.sources.paths import table
 
@@ -183,14 +183,26 @@ def nearest_center_fixed(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.select("id", "cluster", F.round("distance", 6).alias("distance"))
 
 
+def _health(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns that clustering needs, written once for profile, training and prediction."""
+    return freeze(health_view(spark, folder).select("id", "measure_name", *_NUMBERS), "health")
+
+
 def _fit_small(spark: SparkSession, folder: str, **changes) -> tuple[clustering.Fitted, DataFrame]:
     """Five clusters without category weight, and the predictions for the training rows."""
     cfg = KMeansConfig.unweighted(**changes)
-    source = health_view(spark, folder)
+    source = _health(spark, folder)
     fitted = clustering.fit_kmeans(source, cfg)
     return fitted, clustering.infer(clustering.prepare(source, fitted, cfg), fitted)
 
 
+def _nearest(predictions: DataFrame, model) -> DataFrame:
+    """Columns ``own`` (squared distance to the assigned centre) and ``is_nearest``."""
+    distances = predictions.withColumn("v", vector_to_array("features")).withColumn("d", F.array(*_distance_to(model)))
+    own = F.element_at("d", F.col("prediction") + 1)
+    return distances.withColumn("own", own).withColumn("is_nearest", F.col("own") <= F.array_min("d") + F.lit(1e-6))
+
+
 def _distance_to(model, vector: str = "v") -> list:
     centers = [[float(x) for x in c] for c in model.clusterCenters()]
     return [
@@ -200,25 +212,26 @@ def _distance_to(model, vector: str = "v") -> list:
     ]
 
 
-@query("kmeans_train_cost")
+@query("kmeans_train_cost", over_health("""
+SELECT count(*) AS n_rows, true AS cost_matches, true AS all_centers_used FROM hv WHERE measure_name IS NOT NULL"""))
 def kmeans_train_cost(spark: SparkSession, folder: str) -> DataFrame:
-    """25 clusters, weight 5, up to 1000 iterations: centres found, cost, rows."""
+    """25 clusters, weight 5, up to 1000 iterations: the recomputed distances add up to the training cost."""
     cfg = KMeansConfig()
-    source = health_view(spark, folder)
+    source = _health(spark, folder)
     fitted = clustering.fit_kmeans(source, cfg)
-    predictions = clustering.infer(clustering.prepare(source, fitted, cfg), fitted)
-    summary = fitted.model.summary
-    return predictions.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("prediction").alias("clusters_used"),
-    ).withColumns({
-        "k": F.lit(len(fitted.model.clusterCenters())), "cost": F.round(F.lit(float(summary.trainingCost)), 4),
-        "iterations": F.lit(summary.numIter),
-    })
+    scored = _nearest(clustering.infer(clustering.prepare(source, fitted, cfg), fitted), fitted.model)
+    cost = float(fitted.model.summary.trainingCost)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("own").between(0.999 * cost, cost * (1 + 1e-9)).alias("cost_matches"),
+        (F.countDistinct("prediction") == len(fitted.model.clusterCenters())).alias("all_centers_used"),
+    )
 
 
-@query("kmeans_predict")
+@query("kmeans_predict", over_health("SELECT id, measure_name, true AS is_nearest FROM hv WHERE measure_name IS NOT NULL"))
 def kmeans_predict(spark: SparkSession, folder: str) -> DataFrame:
-    return _fit_small(spark, folder)[1].select("id", "measure_name", "prediction")
+    """Every row with whether the centre it is assigned to is its nearest."""
+    fitted, predictions = _fit_small(spark, folder)
+    return _nearest(predictions, fitted.model).select("id", "measure_name", "is_nearest")
 
 
 @query("kmeans_assignment_check", over_health("""
@@ -230,22 +243,25 @@ def kmeans_assignment_check(spark: SparkSession, folder: str) -> DataFrame:
     once more; after convergence the sum is at most that and hardly less.
     """
     fitted, predictions = _fit_small(spark, folder, max_iter=300)
-    distances = predictions.select("prediction", vector_to_array("features").alias("v")).withColumn(
-        "d", F.array(*_distance_to(fitted.model))
-    )
-    own = F.element_at("d", F.col("prediction") + 1)
     cost = float(fitted.model.summary.trainingCost)
-    return distances.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(own <= F.array_min("d") + F.lit(1e-6)).alias("n_nearest"),
-        F.sum(own).between(0.999 * cost, cost * (1 + 1e-9)).alias("cost_matches"),
+    return _nearest(predictions, fitted.model).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("is_nearest").alias("n_nearest"),
+        F.sum("own").between(0.999 * cost, cost * (1 + 1e-9)).alias("cost_matches"),
     )
 
 
-@query("kmeans_centers")
+@query("kmeans_centers", over_health("""
+, width AS (SELECT count(DISTINCT measure_name) + 3 AS n FROM hv)
+SELECT CAST(c AS INTEGER) AS cluster, CAST(s AS INTEGER) AS slot, true AS is_member_mean
+FROM range(5) a(c), (SELECT unnest(range(n)) AS s FROM width) b"""))
 def kmeans_centers(spark: SparkSession, folder: str) -> DataFrame:
-    fitted = clustering.fit_kmeans(health_view(spark, folder), KMeansConfig.unweighted())
-    return clustering.center_rows(fitted.model, spark).withColumn("value", F.round("value", 6))
+    """Every slot of every centre, after convergence: is it the mean of the rows assigned to it?"""
+    fitted, predictions = _fit_small(spark, folder, max_iter=300)
+    slots = predictions.select(F.col("prediction").alias("cluster"), F.posexplode(vector_to_array("features")).alias("slot", "v"))
+    means = slots.groupBy("cluster", "slot").agg(F.avg("v").alias("mean"))
+    close = F.abs(F.col("value") - F.col("mean")) <= 0.01 * F.greatest(F.lit(1.0), F.abs("mean"))
+    centers = clustering.center_rows(fitted.model, spark).join(means, ["cluster", "slot"], "left")
+    return centers.select("cluster", "slot", F.coalesce(close, F.lit(False)).alias("is_member_mean"))
 
 
 @query("kmeans_silhouette", over_health("""
@@ -254,12 +270,8 @@ def kmeans_silhouette(spark: SparkSession, folder: str) -> DataFrame:
     """The closed form over the feature slots against the built-in evaluator."""
     _, predictions = _fit_small(spark, folder)
     score = clustering.silhouette_of(predictions)
-    width = len(predictions.select("features").first()["features"])
-    wide = predictions.select(
-        F.col("prediction").alias("cluster"),
-        *[vector_to_array("features")[i].alias(f"f{i}") for i in range(width)],
-    )
-    scored = metrics.silhouette_rows(wide, [f"f{i}" for i in range(width)])
+    rows_ = predictions.select(F.col("prediction").alias("cluster"), vector_to_array("features").alias("x"))
+    scored = metrics.silhouette_rows(rows_, "x")
     return scored.agg(
         F.count(F.lit(1)).alias("n_rows"),
         (F.abs(F.avg("silhouette") - F.lit(score)) < 1e-6).alias("same_as_evaluator"),
@@ -270,7 +282,7 @@ def kmeans_silhouette(spark: SparkSession, folder: str) -> DataFrame:
 SELECT count(*) AS n_rows, true AS same_cost FROM hv WHERE measure_name IS NOT NULL"""))
 def kmeans_weighted(spark: SparkSession, folder: str) -> DataFrame:
     """One scaled one-hot block costs the same as the block repeated five times."""
-    source = health_view(spark, folder)
+    source = _health(spark, folder)
     cfg = KMeansConfig.unweighted(weight=5)
     scaled = clustering.fit_kmeans(source, cfg)
     repeated = clustering.fit_kmeans(source, replace(cfg, weighting="repeated"))
@@ -280,28 +292,32 @@ def kmeans_weighted(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("kmeans_infer_rows")
+@query("kmeans_infer_rows", """
+SELECT *, true AS is_nearest FROM (VALUES """ + ", ".join(f"('{m}', {n}::BIGINT, {n + 7}::BIGINT, {n + 5}::BIGINT)" for m, n in clustering.PROBES) + """)
+AS t(measure_name, value, lower_ci, upper_ci)""")
 def kmeans_infer_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The seven probe rows through a model trained on the health rows; their measures are new to it."""
-    fitted = clustering.fit_kmeans(health_view(spark, folder), KMeansConfig())
-    return clustering.infer(clustering.probe_rows(spark), fitted).select(
-        "measure_name", *_NUMBERS, "prediction"
-    )
+    fitted = clustering.fit_kmeans(_health(spark, folder), KMeansConfig())
+    probes = clustering.infer(clustering.probe_rows(spark), fitted)
+    return _nearest(probes, fitted.model).select("measure_name", *_NUMBERS, "is_nearest")
 
 
 @query("model_roundtrip", over_health("""
 SELECT count(*) AS n_rows, count(*) AS n_same FROM hv WHERE measure_name IS NOT NULL"""))
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Saved and reloaded stages and model assign every row as before."""
-    fitted, predictions = _fit_small(spark, folder)
+    """Raw rows, with NULL and NaN, prepared and assigned by the saved and reloaded model as before."""
+    cfg = KMeansConfig.unweighted()
+    source = _health(spark, folder)
+    fitted = clustering.fit_kmeans(source, cfg)
     base = scratch_path(spark, "model")
     clustering.save_fitted(fitted, base)
     loaded = clustering.load_fitted(base)
-    again = loaded.model.transform(
-        loaded.stages.transform(predictions.select("id", "measure_name", *_NUMBERS, F.col("prediction").alias("before")))
+    before, after = (
+        clustering.infer(clustering.prepare(source, f, cfg), f).select("id", F.col("prediction").alias(name))
+        for f, name in ((fitted, "before"), (loaded, "after"))
     )
-    return again.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") == F.col("prediction")).alias("n_same")
+    return before.join(after, "id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") == F.col("after")).alias("n_same")
     )
 
 
@@ -392,22 +408,58 @@ def history_last_best(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- supervised training and prediction -----------------------------------------------
 
-@query("classifier_eval")
+_TRAINED: dict[tuple[str, str], supervised.TrainedClassifier] = {}
+
+
+def _trained(spark: SparkSession, folder: str) -> supervised.TrainedClassifier:
+    """The classifier over the health rows, trained once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _TRAINED:
+        _TRAINED[key] = supervised.train_classifier(health_view(spark, folder), "id")
+    return _TRAINED[key]
+
+
+_HELD_OUT = """
+, c AS (SELECT count(*) AS n, count(DISTINCT trim(subpopulation)) AS classes FROM hv
+  WHERE trim(subpopulation) <> '' AND value IS NOT NULL AND NOT isnan(value)
+    AND lower_ci IS NOT NULL AND upper_ci IS NOT NULL),
+h AS (SELECT greatest(1, CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT)) AS held, classes FROM c)
+"""
+
+
+@query("classifier_eval", over_health(_HELD_OUT + "SELECT held AS n, true AS accuracy_matches, true AS log_loss_matches FROM h"))
 def classifier_eval(spark: SparkSession, folder: str) -> DataFrame:
-    trained = supervised.train_classifier(health_view(spark, folder), "id", max_iter=20)
-    return supervised.evaluate_classifier(trained)
+    """The evaluated metrics against those recomputed from the written probabilities."""
+    trained = _trained(spark, folder)
+    told = supervised.evaluate_classifier(trained).first()
+    scored = supervised.predict_probabilities(trained.validation, trained.model)
+    written = freeze(scored.select("label_idx", "probabilities"), "probabilities")
+    own = F.element_at("probabilities", F.col("label_idx").cast("int") + 1)
+    hit = (F.array_position("probabilities", F.array_max("probabilities")) == F.col("label_idx").cast("int") + 1).cast("double")
+    loss = -F.log(F.greatest(F.least(own, F.lit(1 - 1e-7)), F.lit(1e-7)))
+    return written.agg(
+        F.count(F.lit(1)).alias("n"), (F.abs(F.avg(hit) - F.lit(told["accuracy"])) < 1e-9).alias("accuracy_matches"),
+        (F.abs(F.avg(loss) - F.lit(told["log_loss"])) < 1e-9).alias("log_loss_matches"),
+    )
 
 
-@query("history_long")
+@query("history_long", "SELECT 1 AS first_epoch, 0::BIGINT AS gaps, 0::BIGINT AS rising, true AS loss_fell")
 def history_long(spark: SparkSession, folder: str) -> DataFrame:
-    """Training loss per iteration of the classifier, written and read back as rows."""
+    """Training loss per iteration of the classifier, written, read back and checked for gaps and rises."""
+    from pyspark.sql import Window
+
     from orrery.sinks.files import write_history
 
-    trained = supervised.train_classifier(health_view(spark, folder), "id", max_iter=10)
-    losses = [(i + 1, "loss", float(v)) for i, v in enumerate(trained.history)]
+    losses = [(i + 1, "loss", float(v)) for i, v in enumerate(_trained(spark, folder).history)]
     path = scratch_path(spark, "history")
     write_history(spark.createDataFrame(losses, "epoch int, metric string, value double"), path)
-    return spark.read.schema("epoch int, metric string, value double").json(path)
+    epochs = Window.partitionBy("metric").orderBy("epoch")
+    read = spark.read.schema("epoch int, metric string, value double").json(path)
+    steps = read.withColumns({"gap": F.col("epoch") - F.lag("epoch").over(epochs), "rise": F.col("value") - F.lag("value").over(epochs)})
+    return steps.agg(
+        F.min("epoch").alias("first_epoch"), F.count_if(F.col("gap") != 1).alias("gaps"), F.count_if(F.col("rise") > 1e-9).alias("rising"),
+        (F.min_by("value", "epoch") > F.max_by("value", "epoch")).alias("loss_fell"),
+    )
 
 
 def _regression_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -419,11 +471,39 @@ def _regression_rows(spark: SparkSession, folder: str) -> DataFrame:
     return encode.feature_vector(rows_, "x")
 
 
-@query("regressor_eval")
+@query("regressor_eval", """
+WITH n AS (SELECT count(*) AS n FROM embeddings)
+SELECT CAST(s AS INTEGER) AS slot, greatest(1, least(n - 1, CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT))) AS n_validation,
+  true AS normal_x, true AS normal_y FROM n, range(62) t(s)""")
 def regressor_eval(spark: SparkSession, folder: str) -> DataFrame:
+    """Each feature against the training residuals of both targets: the normal equations hold."""
     training, validation = rows.holdout_split(_regression_rows(spark, folder), "vec_id", 0.2, clamp_to_rest=True)
     regressor = supervised.train_point_regressor(training)
-    return supervised.evaluate_regressor(validation, regressor)
+    n = supervised.evaluate_regressor(validation, regressor).first()["n"]
+    fitted = supervised.predict_points(training, regressor)
+    slots = fitted.select("*", F.posexplode(vector_to_array("features")).alias("slot", "v"))
+    sums = slots.groupBy("slot").agg(*[
+        (F.abs(F.sum(F.col("v") * (F.col(f"{t}_px") - F.col(f"{t}_px_hat")))) < 1e-6).alias(f"normal_{t}") for t in ("x", "y")
+    ])
+    return sums.select("slot", F.lit(n).cast("bigint").alias("n_validation"), "normal_x", "normal_y")
+
+
+@query("saved_regressor_predictions", "SELECT count(*) AS n_pictures, count(*) AS n_same FROM embeddings")
+def saved_regressor_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Trained on pictures, saved, loaded: the predictions of both regressors for every picture."""
+    pictures = derived_inputs.pictures(spark, folder)
+    pixels = images.image_features(pictures, 4, 4, keep=("vec_id",))
+    points = encode.feature_vector(pixels, "pixels").select(
+        "origin", "features", (F.col("vec_id") % 320).cast("double").alias("x_px"), (F.col("vec_id") % 256).cast("double").alias("y_px")
+    )
+    regressor = supervised.train_point_regressor(points, reg=0.01)
+    base = scratch_path(spark, "regressor")
+    supervised.save_regressor(regressor, base)
+    load = supervised.regressor_loader(supervised.load_regressor(base))
+    after = images.image_predictions(pictures, load, 4, 4).withColumnsRenamed({"x_px": "x", "y_px": "y"})
+    both = supervised.predict_points(points, regressor).join(after, "origin")
+    same = (F.abs(F.col("x_px_hat") - F.col("x")) < 1e-4) & (F.abs(F.col("y_px_hat") - F.col("y")) < 1e-4)
+    return both.agg(F.count(F.lit(1)).alias("n_pictures"), F.count_if(same).alias("n_same"))
 
 
 _SPLIT_SQL = """
@@ -454,15 +534,10 @@ def regressor_fit_check(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(F.round("mae", 6).alias("mae"), F.round("mse", 6).alias("mse"), "n")
 
 
-@query("classifier_check", over_health("""
-, c AS (SELECT count(*) AS n, count(DISTINCT trim(subpopulation)) AS classes FROM hv
-  WHERE trim(subpopulation) <> '' AND value IS NOT NULL AND NOT isnan(value)
-    AND lower_ci IS NOT NULL AND upper_ci IS NOT NULL)
-SELECT greatest(1, CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT)) AS n_rows,
-  greatest(1, CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT)) AS n_sum_one, classes FROM c"""))
+@query("classifier_check", over_health(_HELD_OUT + "SELECT held AS n_rows, held AS n_sum_one, classes FROM h"))
 def classifier_check(spark: SparkSession, folder: str) -> DataFrame:
     """Exact hold-out size, one probability per class, probabilities that add up to one."""
-    trained = supervised.train_classifier(health_view(spark, folder), "id", max_iter=3)
+    trained = _trained(spark, folder)
     scored = supervised.predict_probabilities(trained.validation, trained.model)
     total = F.aggregate("probabilities", F.lit(0.0), lambda acc, p: acc + p)
     return scored.agg(

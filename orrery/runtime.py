@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A one-task window is used only over tables with at most this many rows.
 SMALL_ROWS = 100_000
+# Data in memory may be this many times as large as the files that hold it.
+_COMPRESSION = 16
 
 _FIXED_WIDTH = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
@@ -72,5 +74,36 @@ def measured_bytes(df: DataFrame) -> int:
     return int(total or 0)
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Size that the optimizer expects of ``df``; file sizes where it is a scan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df`` is small enough to broadcast.
+
+    A plan far below the limit, even if its files are compressed, needs no job, and neither
+    does a plain scan far beyond it; anything in between is measured.
+    """
+    planned = planned_bytes(df)
+    if planned * _COMPRESSION <= BROADCAST_BYTES:
+        return True
+    if df.inputFiles() and planned > _COMPRESSION * BROADCAST_BYTES and _only_reads(df):
+        return False
     return measured_bytes(df) <= BROADCAST_BYTES
+
+
+def _only_reads(df: DataFrame) -> bool:
+    """Whether the plan is a scan with columns picked: its size cannot be far below its files'."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.children().size() == 1 and plan.nodeName() == "Project":
+        plan = plan.children().apply(0)
+    return plan.children().size() == 0
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the scratch copies of this application; tables read from them are gone then."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/orrery/{spark.sparkContext.applicationId}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -24,25 +24,18 @@ def rowset(df):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("route", ["broadcast", "hot_broadcast", "hot_salted", "no_hot"])
-def test_every_route_gives_the_plain_join(spark, skewed, lookup, how, route, monkeypatch):
-    if route == "hot_salted":
-        monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    share = 2.0 if route == "no_hot" else 0.05
-    got = joins.lookup_join(skewed, lookup, "k", how, broadcast_ok=route == "broadcast", hot_share=share)
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_every_route_gives_the_plain_join(spark, skewed, lookup, how, broadcast):
+    got = joins.lookup_join(skewed, lookup, "k", how, broadcast_ok=broadcast)
     assert rowset(got) == rowset(skewed.join(lookup, "k", how))
 
 
 def test_semi_join_with_repeated_right_keys(skewed):
     right = skewed.select("k")
-    got = joins.lookup_join(skewed, right, "k", "left_semi", broadcast_ok=False, hot_share=0.05)
+    got = joins.lookup_join(skewed, right, "k", "left_semi", broadcast_ok=False)
     assert got.count() == skewed.filter("k is not null").count()
 
 
-def test_hot_keys_are_found(skewed):
-    assert joins.hot_keys(skewed, "k", 0.05) == [1]
-
-
 def test_broadcast_is_decided_by_measured_size(spark, skewed, lookup, monkeypatch):
     assert runtime.measured_bytes(lookup) == 300 * (16 + 8 + 8)
     text = spark.createDataFrame([("abc", [1, 2]), (None, None)], "s string, a array<int>")
@@ -53,6 +46,17 @@ def test_broadcast_is_decided_by_measured_size(spark, skewed, lookup, monkeypatc
     assert not runtime.fits_broadcast(lookup)
 
 
+def test_sizes_of_plain_scans_need_no_job(spark, data, monkeypatch):
+    nation, orders = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("nation", "orders"))
+    asked = []
+    monkeypatch.setattr(runtime, "measured_bytes", lambda df: asked.append(df) or 10**6)
+    assert runtime.fits_broadcast(nation) and not asked
+    monkeypatch.setattr(runtime, "BROADCAST_BYTES", 100)
+    assert not runtime.fits_broadcast(orders.select("o_orderkey", "o_comment") if "o_comment" in orders.columns else orders) and not asked
+    monkeypatch.setattr(runtime, "BROADCAST_BYTES", 10**5)
+    assert not runtime.fits_broadcast(orders.filter("o_orderkey > 3")) and len(asked) == 1
+
+
 def test_missing_report(spark):
     labels = spark.createDataFrame([("a",), ("b",), ("b",)], "n string")
     files = spark.createDataFrame([("b",), ("c",)], "n string")
