@@ -132,13 +132,18 @@ def null_profile(spark: SparkSession, folder: str) -> DataFrame:
     return clean.null_profile(health_view(spark, folder), ["measure_name", *clean.NUMERIC_COLUMNS])
 
 
-@query("describe_schema", over_health("""
-SELECT 'id' AS column_name, 'bigint' AS data_type, count(*) - count(id) AS nulls, count(*) AS n_rows FROM hv
-UNION ALL SELECT 'measure_name', 'string', count(*) - count(measure_name), count(*) FROM hv
-UNION ALL SELECT 'subpopulation', 'string', count(*) - count(subpopulation), count(*) FROM hv
-UNION ALL SELECT 'value', 'double', count(*) - count(value), count(*) FROM hv"""))
+_HEALTH_TYPES = {
+    "id": "bigint", **dict.fromkeys(["edition", "report_type", "measure_name", "state_name", "subpopulation"], "string"),
+    **dict.fromkeys(clean.NUMERIC_COLUMNS, "double"), "source": "string", "source_date": "string",
+}
+
+
+@query("describe_schema", over_health(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{kind}' AS data_type, count(*) - count({c}) AS nulls, count(*) AS n_rows FROM hv"
+    for c, kind in _HEALTH_TYPES.items()
+)))
 def describe_schema(spark: SparkSession, folder: str) -> DataFrame:
-    return clean.column_profile(health_view(spark, folder).select("id", "measure_name", "subpopulation", "value"))
+    return clean.column_profile(health_view(spark, folder))
 
 
 @query("mean_valid", over_health("""

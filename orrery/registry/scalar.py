@@ -91,13 +91,13 @@ def fn_json(spark: SparkSession, folder: str) -> DataFrame:
 @query("fn_array", """
 SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS best,
   round(CAST(embedding[2] AS DOUBLE), 6) AS second,
-  round(CAST(CAST(CAST(embedding[1] AS DOUBLE) / 255 AS FLOAT) AS DOUBLE), 6) AS scaled FROM embeddings""")
+  array_to_string(list_transform(embedding, lambda x: CAST(round(CAST(CAST(CAST(x AS DOUBLE) / 255 AS FLOAT) AS DOUBLE) * 1000000) AS BIGINT)), ',') AS scaled FROM embeddings""")
 def fn_array(spark: SparkSession, folder: str) -> DataFrame:
     e = F.col("embedding")
     return table(spark, folder, "embeddings").select(
         "vec_id", F.size(e).alias("n"), nested.argmax(e).alias("best"),
         F.round(F.element_at(e, 2).cast("double"), 6).alias("second"),
-        F.round(nested.scale_pixels(e)[0].cast("double"), 6).alias("scaled"),
+        F.array_join(F.transform(nested.scale_pixels(e), lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint")), ",").alias("scaled"),
     )
 
 

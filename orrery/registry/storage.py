@@ -56,14 +56,14 @@ def jdbc_parts_cover(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("scan_csv_infer", over_health("""
-SELECT id, CAST(edition AS INTEGER) AS edition, measure_name, subpopulation,
-  CASE WHEN NOT isnan(value) THEN value END AS value, coalesce(isnan(value), false) AS value_is_nan, source_date FROM hv"""))
+SELECT id, CAST(edition AS INTEGER) AS edition, report_type, measure_name, state_name, subpopulation,
+  CASE WHEN NOT isnan(value) THEN value END AS value, coalesce(isnan(value), false) AS value_is_nan, lower_ci, upper_ci, source, source_date FROM hv"""))
 def scan_csv_infer(spark: SparkSession, folder: str) -> DataFrame:
     path = derived_inputs.write_csv(health_view(spark, folder), "health-csv")
     rows = delimited.read_csv_inferred(spark, path)
     return rows.select(
-        F.col("id").cast("bigint").alias("id"), "edition", "measure_name", "subpopulation", _no_nan("value"),
-        F.isnan("value").alias("value_is_nan"), "source_date",
+        F.col("id").cast("bigint").alias("id"), "edition", "report_type", "measure_name", "state_name", "subpopulation", _no_nan("value"),
+        F.isnan("value").alias("value_is_nan"), "lower_ci", "upper_ci", "source", "source_date",
     )
 
 
@@ -179,14 +179,15 @@ def create_health_table(spark: SparkSession, folder: str) -> DataFrame:
 @query("load_health_table", over_health("""
 SELECT edition, report_type, measure_name, state_name, subpopulation,
   round(CAST(CAST(CASE WHEN NOT isnan(value) THEN value END AS FLOAT) AS DOUBLE), 3) AS value,
-  round(CAST(CAST(upper_ci AS FLOAT) AS DOUBLE), 3) AS upper_ci, source, source_date FROM hv"""))
+  round(CAST(CAST(lower_ci AS FLOAT) AS DOUBLE), 3) AS lower_ci, round(CAST(CAST(upper_ci AS FLOAT) AS DOUBLE), 3) AS upper_ci,
+  source, source_date FROM hv"""))
 def load_health_table(spark: SparkSession, folder: str) -> DataFrame:
     name = _new_table(spark, tables.HEALTH_COLUMNS, "health")
     tables.load_table(health_view(spark, folder), name, dense=False)
     value = F.when(~F.isnan("value"), F.col("value")).cast("double")
     return spark.table(name).select(
         "edition", "report_type", "measure_name", "state_name", "subpopulation", F.round(value, 3).alias("value"),
-        F.round(F.col("upper_ci").cast("double"), 3).alias("upper_ci"), "source", "source_date",
+        *[F.round(F.col(c).cast("double"), 3).alias(c) for c in ("lower_ci", "upper_ci")], "source", "source_date",
     )
 
 
