@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from orrery.functions.numbers import is_valid, parse_feature, valid_or_null
 from orrery.functions.text import has_text, strip
 
+# Columns of a health file that are numbers, and those that a load inserts.
 NUMERIC_COLUMNS = ["value", "lower_ci", "upper_ci"]
 INSERT_COLUMNS = [
     "edition", "report_type", "measure_name", "state_name", "subpopulation",

@@ -53,10 +53,14 @@ def cluster_csv(spark: SparkSession, path: str, cfg: KMeansConfig | None = None,
     return cluster(numbers_from_text(source, cfg.numeric), cfg, score=True, save_to=save_to)
 
 
-def cluster_summary(spark: SparkSession, folder: str, cfg: KMeansConfig | None = None) -> DataFrame:
-    """(cluster, n, avg_value, avg_lower_ci, avg_upper_ci) of the health rows."""
-    result = cluster(health_view(spark, folder), cfg or KMeansConfig())
-    return result.predictions.groupBy(F.col("prediction").alias("cluster")).agg(
+def summarize(predictions: DataFrame) -> DataFrame:
+    """(cluster, n, avg_value, avg_lower_ci, avg_upper_ci) of assigned rows."""
+    return predictions.groupBy(F.col("prediction").alias("cluster")).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.round(F.avg(c), 6).alias(f"avg_{c}") for c in ("value", "lower_ci", "upper_ci")],
     )
+
+
+def cluster_summary(spark: SparkSession, folder: str, cfg: KMeansConfig | None = None) -> DataFrame:
+    """Size and means of the clusters of the health rows."""
+    return summarize(cluster(health_view(spark, folder), cfg or KMeansConfig()).predictions)

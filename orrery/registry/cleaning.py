@@ -97,6 +97,13 @@ def project_insert_cols(spark: SparkSession, folder: str) -> DataFrame:
     return clean.project(rows, ["id", *clean.INSERT_COLUMNS])
 
 
+@query("project_existing", over_health("SELECT id, measure_name, upper_ci FROM hv"))
+def project_existing(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the columns asked for, those that the rows have."""
+    rows = health_view(spark, folder)
+    return rows.select(*clean.present(rows, ["id", "measure_name", "absent", "upper_ci", "created_at"]))
+
+
 @query("semi_join_exists", """
 SELECT doc_id, CAST(quality AS BIGINT) AS quality FROM labels
 WHERE doc_id IN (SELECT doc_id FROM documents)""")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orrery.operators import clean, clustering, encode, images, metrics, rows, supervised
 from orrery.operators.clustering import KMeansConfig
-from orrery.plans import derived_inputs
+from orrery.plans import derived_inputs, health_clustering
 from orrery.plans.health_view import health_view
 from orrery.registry.base import IMPUTED_SQL, over_health, query
 from orrery.runtime import freeze, scratch_path
@@ -321,6 +321,21 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("cluster_summary_totals", over_health("," + IMPUTED_SQL + """
+SELECT count(*) AS n_rows, round(avg(value), 4) AS value, round(avg(lower_ci), 4) AS lower_ci, round(avg(upper_ci), 4) AS upper_ci,
+  true AS first_is_known FROM clean"""))
+def cluster_summary_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The clusters of the flagship query add up to the imputed rows; a single row is assigned to one of them."""
+    cfg = KMeansConfig()
+    source = _health(spark, folder)
+    result = health_clustering.cluster(source, cfg)
+    summary = freeze(health_clustering.summarize(result.predictions), "summary")
+    known = {r["cluster"] for r in summary.select("cluster").collect()}
+    first, _ = clustering.infer_row(spark, result.fitted)
+    weighted = [F.round(F.sum(F.col("n") * F.col(f"avg_{c}")) / F.sum("n"), 4).alias(c) for c in _NUMBERS]
+    return summary.agg(F.sum("n").alias("n_rows"), *weighted).withColumn("first_is_known", F.lit(first in known))
+
+
 # --- metrics --------------------------------------------------------------------------
 
 _POINTS = """

@@ -111,6 +111,12 @@ def shuffle_epoch(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("spread_rows", "SELECT event_id, event_type FROM events")
+def spread_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows dealt evenly to sixteen partitions."""
+    return rows.spread(_events(spark, folder).select("event_id", "event_type"))
+
+
 @query("zip_by_index", f"""
 WITH a AS (SELECT event_id AS left_id, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM events),
 b AS (SELECT event_id AS right_id, idx FROM ({_PERMUTED}))

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orrery.operators import clean, images
 from orrery.plans import derived_inputs
 from orrery.plans.health_view import health_view
+from orrery.plans.load_health import load_csv_to_table
 from orrery.registry.base import over_health, query
 from orrery.registry.learning import DAILY_SQL
 from orrery.runtime import scratch_path
 from orrery.sinks import tables
-from orrery.sinks.files import write_history_arrays
+from orrery.sinks.files import copy_dataset, write_history_arrays
 from orrery.sources import delimited, history, image_files, jdbc, labels
 from orrery.sources.paths import table
 
@@ -176,6 +177,27 @@ def create_health_table(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("load_into_database", over_health("""
+SELECT edition, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum FROM (
+  SELECT edition, row_number() OVER (ORDER BY id) AS id FROM hv) GROUP BY edition"""))
+def load_into_database(spark: SparkSession, folder: str) -> DataFrame:
+    """Database and table made on the way, a CSV loaded, the rows numbered in file order."""
+    database = f"health_{uuid.uuid4().hex}"
+    base = scratch_path(spark, database)
+    ordered = health_view(spark, folder).coalesce(1).sortWithinPartitions("id").select(*clean.INSERT_COLUMNS)
+    name = load_csv_to_table(spark, derived_inputs.write_csv(ordered, "health-load"), "health", database, base)
+    return spark.table(name).groupBy("edition").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("id").cast("bigint")).alias("id_sum"))
+
+
+@query("dataset_copy", "SELECT * FROM part")
+def dataset_copy(spark: SparkSession, folder: str) -> DataFrame:
+    """A table copied to CSV and from there to Parquet, read back with its types."""
+    source, base = table(spark, folder, "part"), scratch_path(spark, "copy")
+    copy_dataset(source, f"{base}/csv", "csv")
+    copy_dataset(spark.read.options(header=True, escape='"').schema(source.schema).csv(f"{base}/csv"), f"{base}/parquet")
+    return spark.read.parquet(f"{base}/parquet")
+
+
 @query("load_health_table", over_health("""
 SELECT edition, report_type, measure_name, state_name, subpopulation,
   round(CAST(CAST(CASE WHEN NOT isnan(value) THEN value END AS FLOAT) AS DOUBLE), 3) AS value,

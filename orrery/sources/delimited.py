@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from orrery.functions.numbers import parse_number
 from orrery.functions.text import null_tokens
 
-# The columns of a health file, in file order.
+# The columns of a health file, in file order.
 HEALTH_SCHEMA = T.StructType([
     T.StructField("edition", T.StringType()),
     T.StructField("report_type", T.StringType()),
