@@ -24,6 +24,8 @@ HEALTH_COLUMNS = """
     source_date VARCHAR(50),
     created_at TIMESTAMP DEFAULT current_timestamp()
 """
+# Table property with the highest id given out before a delete.
+_LAST_ID = "orrery.last_id"
 MESSAGE_COLUMNS = "message VARCHAR(250)"
 
 
@@ -45,19 +47,23 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _next_id(spark: SparkSession, name: str) -> int:
-    return int(spark.table(name).agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]) + 1
+def _last_id(spark: SparkSession, name: str) -> int:
+    """The highest id that the table has or had before a delete."""
+    kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    present = spark.table(name).agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
+    return max(int(present), int(kept.get(_LAST_ID, 0)))
 
 
 def load_table(df: DataFrame, name: str, columns: list[str] = INSERT_COLUMNS, dense: bool = True) -> None:
     """Append rows by column name with generated ids; ``created_at`` takes its default.
 
-    Dense ids follow the highest one present and cost one extra write. With
+    One writer at a time: two loads at once would give out the same ids. Dense ids
+    follow the highest one given out so far and cost one extra write. With
     ``dense=False`` ids rise and are unique but leave gaps, and nothing extra
     is written. All rows become visible together when the job commits.
     """
     spark = df.sparkSession
-    rows, start = project(df, columns), _next_id(spark, name)
+    rows, start = project(df, columns), _last_id(spark, name) + 1
     if dense:
         numbered = dense_index(rows, name="id", start=start)
     else:
@@ -88,12 +94,17 @@ def table_location(spark: SparkSession, name: str) -> str:
 def delete_where(spark: SparkSession, name: str, condition: Column, location: str | None = None) -> str:
     """Rewrite the kept rows next to the table's files, then point the table there.
 
+    One writer at a time: rows appended meanwhile would stay in the old files. The
+    highest id is noted in the table's properties, so a deleted id is not given out again.
+
     Readers see the old files until the switch; the old files stay until
     someone removes them. Returns the new location.
     """
     if location is None:
         base = table_location(spark, name).split("--rewrite-")[0]
         location = f"{base}--rewrite-{uuid.uuid4().hex}"
+    if "id" in spark.table(name).columns:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_LAST_ID}' = '{_last_id(spark, name)}')")
     kept_rows(spark.table(name), condition).write.parquet(location)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.catalog.refreshTable(name)

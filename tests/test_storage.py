@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from orrery import runtime
-from orrery.operators import images
+from orrery.operators import clean, images
 from orrery.plans import derived_inputs, health_clustering, image_inference, load_health, supervised_training
 from orrery.plans.health_view import health_view
 from orrery.operators.clustering import KMeansConfig, fit_kmeans, infer, probe_rows
@@ -440,6 +440,18 @@ def test_loader_and_delete(spark, csv_file, tmp_path):
     assert spark.table(name).count() == 0
 
 
+def test_deleted_ids_are_not_given_out_again(spark, tmp_path):
+    name = f"ids_{tmp_path.name.replace('-', '_')}"
+    tables.ensure_table(spark, name, tables.HEALTH_COLUMNS, str(tmp_path / "t"))
+    row = spark.createDataFrame([("2020", "r", "m", "s", "p", 1.0, 1.0, 1.0, "x", "y")] * 3, ", ".join(
+        f"{c} {'double' if c in clean.NUMERIC_COLUMNS else 'string'}" for c in clean.INSERT_COLUMNS))
+    tables.load_table(row, name)
+    tables.delete_where(spark, name, F.col("id") > 1)
+    tables.load_table(row.limit(1), name)
+    assert sorted(r["id"] for r in spark.table(name).collect()) == [1, 4]
+    tables.drop_table(spark, name)
+
+
 # --- files ---
 
 def test_label_map_and_copies(spark, tmp_path):
