@@ -76,18 +76,18 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, expo
     salt, so that a source with a third of all rows is met by ``SALTS`` tasks at least.
     """
     steps = keep(poisson_steps(rates(docs, weights, exponent, epochs, source, text)), "poisson-steps")
-    steps = steps.select(F.col("source").alias("_mix_source"), F.col("steps").alias("_mix_steps"))
-    same = col(source).eqNullSafe(F.col("_mix_source"))
-    if (steps.agg(F.sum(F.size("_mix_steps"))).first()[0] or 0) <= BROADCAST_STEPS:
+    of, cdf, salt, own, u = (free_name(docs, n) for n in ("mix_of", "mix_cdf", "mix_salt", "mix_own", "mix_u"))
+    steps = steps.select(F.col("source").alias(of), F.col("steps").alias(cdf))
+    same = col(source).eqNullSafe(col(of))
+    if (steps.agg(F.sum(F.size(cdf))).first()[0] or 0) <= BROADCAST_STEPS:
         joined = docs.join(F.broadcast(steps), same)
     else:
-        salted = steps.withColumn("_mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = F.pmod(F.xxhash64(*[col(c) for c in (doc_id, text)]), F.lit(SALTS)).cast("int")
-        joined = docs.withColumn("_mix_own", salt).join(salted, same & (F.col("_mix_own") == F.col("_mix_salt"))).drop("_mix_own", "_mix_salt")
+        salted = steps.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        mine = F.pmod(F.xxhash64(*[col(c) for c in (doc_id, text)]), F.lit(SALTS)).cast("int")
+        joined = docs.withColumn(own, mine).join(salted, same & (col(own) == col(salt)))
     copies, copy, key = (free_name(docs, n) for n in ("copies", "copy", "mix_key"))
-    drawn = uniform(F.lit(seed), col(doc_id))
-    counted = joined.withColumn("_mix_u", drawn)
-    counted = counted.withColumn(copies, F.size(F.filter("_mix_steps", lambda c: c <= F.col("_mix_u"))).cast("long")).drop("_mix_u", "_mix_steps", "_mix_source")
+    counted = joined.withColumn(u, uniform(F.lit(seed), col(doc_id)))
+    counted = counted.withColumn(copies, F.size(F.filter(col(cdf), lambda c: c <= col(u))).cast("long")).select(*[col(c) for c in docs.columns], copies)
     copied = counted.filter(col(copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), col(copies))))
     parts = [F.lit(seed), col(doc_id), col(copy)]
     copied = copied.withColumn(key, F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("null")) for p in parts])))

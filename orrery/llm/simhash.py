@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from orrery.llm.common import col, each_batch, keep
+from orrery.llm.common import col, each_batch, free_name, keep
 from orrery.llm.components import Forest, components, split_shards
 
 BITS = 64
@@ -200,8 +200,9 @@ def near_duplicates_removed(docs: DataFrame, doc_id: str = "doc_id", text: str =
     from pyspark.sql.window import Window
 
     groups = simhash_groups(docs, doc_id, text)
-    stay = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stay")).distinct()
-    order = Window.partitionBy("_stay").orderBy(col(text))
-    kept = docs.join(stay, col(doc_id).cast("long") == F.col("_stay")).withColumn("_copy", F.row_number().over(order)).filter("_copy = 1")
+    own, copy = free_name(docs, "stay"), free_name(docs, "copy")
+    stay = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(own)).distinct()
+    order = Window.partitionBy(own).orderBy(col(text))
+    kept = docs.join(stay, col(doc_id).cast("long") == col(own)).withColumn(copy, F.row_number().over(order)).filter(col(copy) == 1)
     nameless = docs.filter(col(doc_id).isNull())
-    return kept.drop("_stay", "_copy").unionByName(nameless)
+    return kept.drop(own, copy).unionByName(nameless)

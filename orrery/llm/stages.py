@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orrery.llm.common import col
+from orrery.llm.common import col, free_name
 
 #: Texts whose likeliest language is less sure than this are rejected.
 LEAST_SURE = 0.3
@@ -22,9 +22,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents in a language that the network knows; the prediction becomes ``lang``."""
     from orrery.llm.language import fit_language, identify
 
-    named = identify(docs.withColumnsRenamed({"lang": "_lang"}), fit_language(docs))
-    kept = named.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SURE))
-    return _as_given(kept.withColumn("lang", F.col("lang_pred")), docs)
+    pred, sure = free_name(docs, "lang_pred"), free_name(docs, "score")
+    kept = identify(docs, fit_language(docs)).filter((col(pred) != "und") & (col(sure) >= LEAST_SURE))
+    return kept.select(*[col(pred).alias(c) if c == "lang" else col(c) for c in docs.columns])
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +38,12 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents without the words of repeated passages; a text without any is left as it was."""
     from orrery.llm.substrings import substring_dedup
 
-    cut = substring_dedup(docs, keep_text=True)
+    # Columns of these names would give way to those of the operator.
+    named = {c: f"given_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    cut = substring_dedup(docs.withColumnsRenamed(named), keep_text=True)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    cut = cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    return _as_given(cut, docs)
+    cut = cut.withColumn("text", text).drop("kept", "n_words", "n_removed").withColumnsRenamed({v: k for k, v in named.items()})
+    return _as_given(cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut, docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,15 +30,15 @@ from orrery.llm.common import col, each_batch, keep, per_worker
 WINDOW = 35
 MINIMISER = 5
 #: Bytes of packed strings that a bucket holds on average.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
 #: Bytes of text whose strings a map task packs together.
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 12 << 20
 #: Documents that show which minimisers are frequent, and the share of all strings from which one is.
 ROUTE_SAMPLE = 20_000
 FREQUENT = 0.001
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_SPAN = 1 << 22  # bytes that are hashed at once
+_SPAN = 1 << 20  # bytes that are hashed at once
 
 
 def _powers() -> np.ndarray:

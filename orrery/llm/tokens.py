@@ -21,9 +21,9 @@ import pyarrow.compute as pc
 from orrery.llm.common import per_worker
 
 #: Pieces whose ids a worker remembers; it starts afresh beyond that.
-REMEMBERED_PIECES = 500_000
+REMEMBERED_PIECES = 250_000
 #: Bytes of text that are worked on at once; a longer text is one piece of work.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 # Signs that the vocabulary's own splitting pattern treats alike here.
 _OTHER = "[^\\t\\n\\r -~À-ÖØ-öø-ɏ]|<\\|"

@@ -180,7 +180,9 @@ def test_pipeline_stages_take_effect(spark, texts):  # noqa: F811
     from orrery.llm import stages
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_dedup", "substring_dedup", "mix_sources", "pack"]
-    docs = frame(spark, texts).withColumn("extra", F.lit(1))
+    docs = frame(spark, texts)
+    for name in ("extra", "lang_pred", "score", "kept", "n_removed", "stay", "copy", "mix_u", "fp", "row"):
+        docs = docs.withColumn(name, F.lit(1))
     kept = stages.language_stage(spark, docs, "")
     assert kept.columns == docs.columns
     gone = {str((i, t)) for i, t in texts} - {str((r.doc_id, r.text)) for r in kept.collect()}
@@ -189,8 +191,11 @@ def test_pipeline_stages_take_effect(spark, texts):  # noqa: F811
     single = stages.simhash_stage(spark, docs, "")
     assert single.columns == docs.columns and single.filter("doc_id is not null").count() == len({c for i, _, c in groups_by_force(texts) if c is not None})
     cut = sorted(((r.doc_id, r.text) for r in stages.substring_stage(spark, docs, "").collect()), key=str)
-    whole = {(i, len((t or "").split())): t or "" for i, t in texts}
-    assert cut == sorted(((i, kept if gone else whole[i, n]) for i, n, gone, kept in kept_words(texts)), key=str)
+    expected = []
+    for row in texts:
+        i, n, gone, kept = next(k for k in kept_words(texts) if k[0] == row[0] and k[1] == len((row[1] or "").split()))
+        expected.append((i, kept if gone else row[1]))
+    assert cut == sorted(expected, key=str)
     assert stages.mixing_stage(spark, docs, "").columns == docs.columns
 
 
