@@ -597,6 +597,28 @@ def image_features(spark: SparkSession, folder: str) -> DataFrame:
     return slots.select("vec_id", "slot", F.round(F.col("v").cast("double"), 5).alias("value"))
 
 
+def _tap_sums(target: int) -> str:
+    """SQL for the total weight of each of 8 source rows or columns over ``target`` linear taps."""
+    return f"""(SELECT place, sum(w) AS w FROM (
+  SELECT unnest([greatest(0, least(7, floor(spot))), greatest(0, least(7, ceil(spot)))]) AS place,
+    unnest([1 - (spot - floor(spot)), spot - floor(spot)]) AS w
+  FROM (SELECT (t + 0.5) * 8.0 / {target} - 0.5 AS spot FROM range({target}) r(t))) GROUP BY place)"""
+
+
+@query("image_features_full_size", f"""
+WITH px AS (SELECT vec_id, i - 1 AS i, least(greatest(CAST(floor(CAST(embedding[i] AS DOUBLE) * 127 + 128) AS BIGINT), 0), 255) AS g
+  FROM embeddings CROSS JOIN range(1, 65) t(i)),
+rw AS {_tap_sums(256)}, cw AS {_tap_sums(320)}
+SELECT vec_id, CAST(256 * 320 * 3 AS INTEGER) AS n_pixels,
+  round(sum((g * 3 % 256 + 255 - g + g) / 255.0 * rw.w * cw.w) / (256 * 320 * 3), 4) AS mean_level
+FROM px JOIN rw ON rw.place = i // 8 JOIN cw ON cw.place = i % 8 GROUP BY vec_id""")
+def image_features_full_size(spark: SparkSession, folder: str) -> DataFrame:
+    """Pictures at the size that training uses by default: number and mean of the features of each."""
+    features = images.image_features(derived_inputs.pictures(spark, folder), 256, 320, keep=("vec_id",))
+    total = F.aggregate("pixels", F.lit(0.0), lambda acc, v: acc + v.cast("double"))
+    return features.select("vec_id", F.size("pixels").alias("n_pixels"), F.round(total / F.size("pixels"), 4).alias("mean_level"))
+
+
 @query("image_predictions", _PIXELS_SQL + """
 SELECT concat('vec_', CAST(vec_id AS VARCHAR), '.png') AS origin,
   round(sum(CAST(value AS DOUBLE) * (slot + 1)), 3) AS x_px, round(sum(CAST(value AS DOUBLE) * (48 - slot)), 3) AS y_px
