@@ -240,8 +240,30 @@ def repeated_windows(data: bytes, lengths: np.ndarray, copies: np.ndarray, windo
     yield from zip(owner[firsts].tolist(), index[firsts].tolist(), (index[lasts] + 1).tolist())
 
 
+def merged_ranges(at: np.ndarray, known: np.ndarray, ids: np.ndarray, hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Table:
+    """One row (doc_id, h, starts, stops) for each row of documents, ranges that touch made one."""
+    order = np.lexsort((start, hashes[at], ids[at], known[at]))
+    at, start, stop = at[order], start[order], stop[order]
+    row = np.stack([known[at].astype(np.int64), ids[at], hashes[at]])
+    new_row = np.concatenate([[True], (row[:, 1:] != row[:, :-1]).any(axis=0)])[: len(at)]
+    # The furthest stop so far in the row tells whether a range touches those before it.
+    group = np.cumsum(new_row)
+    width = int(stop.max()) + 1 if len(stop) else 1
+    reach = np.maximum.accumulate(stop + group * width) - group * width
+    new = new_row | np.concatenate([[True], start[1:] > reach[:-1]])[: len(at)]
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(at)]]).astype(np.int64)[: len(first)] - 1
+    rows = np.flatnonzero(new_row)
+    offsets = pa.array(np.concatenate([np.searchsorted(first, rows), [len(first)]]).astype(np.int32))
+    one = at[rows]
+    return pa.table({
+        "doc_id": pa.array(ids[one], mask=known[one] == 0), "h": pa.array(hashes[one]),
+        "starts": pa.ListArray.from_arrays(offsets, pa.array(start[first])), "stops": pa.ListArray.from_arrays(offsets, pa.array(reach[last])),
+    })
+
+
 def _counter(window: int):
-    """All blocks of a bucket to ranges (doc_id, h, start, stop) of words to remove."""
+    """All blocks of a bucket to ranges (doc_id, h, starts, stops) of words to remove."""
 
     def run(group: pa.Table) -> pa.Table:
         import zstandard
@@ -255,9 +277,7 @@ def _counter(window: int):
             at = np.arange(last[string] - copies[string], last[string])
             out.append(np.stack([at, words[at] + a, words[at] + b + window - 1]))
         at, start, stop = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
-        return pa.table({
-            "doc_id": pa.array(ids[at], mask=known[at] == 0), "h": pa.array(hashes[at]), "start": pa.array(start), "stop": pa.array(stop),
-        })
+        return merged_ranges(at, known, ids, hashes, start, stop)
 
     return run
 
@@ -271,7 +291,7 @@ def _minimisers(window: int, minimiser: int):
 
 
 def repeated_ranges(rows: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
-    """(doc_id, h, start, stop): words of ``rows`` (doc_id, h, text) inside repeated windows."""
+    """(doc_id, h, starts, stops): words of ``rows`` (doc_id, h, text) inside repeated windows; a row per bucket."""
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     n, text_bytes = size["n"], size["bytes"] or 0
     buckets = max(8, -(-3 * text_bytes // BUCKET_BYTES))
@@ -283,7 +303,7 @@ def repeated_ranges(rows: DataFrame, window: int = WINDOW, minimiser: int = MINI
     hot = keys.filter(F.col("n") > F.lit(max(50.0, FREQUENT * total))).select("key").collect()
     frequent = frozenset(int(r[0]) & 0xFFFFFFFFFFFFFFFF for r in hot)
     blocks = rows.mapInArrow(_packer(buckets, frequent, window, minimiser), "bucket int, data binary")
-    return blocks.groupBy("bucket").applyInArrow(_counter(window), "doc_id long, h long, start long, stop long")
+    return blocks.groupBy("bucket").applyInArrow(_counter(window), "doc_id long, h long, starts array<long>, stops array<long>")
 
 
 def _cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -319,7 +339,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     whole = F.coalesce(col(text), F.lit(""))
     rows = docs.select(col(doc_id).cast("long").alias("doc_id"), F.xxhash64(whole).alias("h"), whole.alias("text"))
     ranges = repeated_ranges(rows, window, minimiser)
-    ranges = ranges.groupBy("doc_id", "h").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
+    ranges = ranges.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("stops")).alias("stops"))
     ranges = ranges.withColumnsRenamed({"doc_id": "range_id", "h": "range_h"})
     named = {c: f"c{i}" for i, c in enumerate(others)}
     left = docs.select(*[col(c).alias(a) for c, a in named.items()], col(doc_id).cast("long").alias("own_id"), F.xxhash64(whole).alias("own_h"), whole.alias("text"))
