@@ -347,3 +347,23 @@ def test_crc_of_pieces_in_the_query(spark, data):
     sha = {r.doc_id: r.kept_sha256 for r in QUERIES["op7_substring_super_kmers"](spark, data).collect()}
     for i, _, _, kept in kept_words(sorted(docs.items())):
         assert sha[i] == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def test_ranges_of_a_row_are_merged():
+    from orrery.llm.substrings import merged_ranges
+
+    rng = np.random.default_rng(0)
+    for _ in range(100):
+        m = int(rng.integers(0, 12))
+        known = rng.integers(0, 2, m).astype(np.uint8)
+        ids, hashes = rng.integers(0, 2, m) * known, rng.integers(0, 2, m)
+        n = int(rng.integers(0, 30)) if m else 0
+        at, start = rng.integers(0, max(m, 1), n), rng.integers(0, 40, n)
+        stop = start + rng.integers(1, 12, n)
+        expected = {}
+        for a, x, y in zip(at, start, stop):
+            expected.setdefault((int(ids[a]) if known[a] else None, int(hashes[a])), set()).update(range(x, y))
+        rows = merged_ranges(at, known, ids, hashes, start, stop).to_pylist()
+        got = {(r["doc_id"], r["h"]): set().union(*map(range, r["starts"], r["stops"])) for r in rows}
+        assert got == expected and len(rows) == len(expected)
+        assert all(stop < start for r in rows for stop, start in zip(r["stops"], r["starts"][1:]))
