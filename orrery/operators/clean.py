@@ -108,12 +108,6 @@ def project(df: DataFrame, columns: Iterable[str] = INSERT_COLUMNS) -> DataFrame
     return df.select(*columns)
 
 
-def schema_table(df: DataFrame) -> DataFrame:
-    """Schema as rows: position, column name, type."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
-
-
 def column_profile(df: DataFrame) -> DataFrame:
     """Schema with NULL counts: one row per column."""
     counts = null_profile(df)

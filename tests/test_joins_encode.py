@@ -152,7 +152,7 @@ def test_impute(spark, messy):
 def test_profiles(messy):
     row = clean.null_profile(messy).first()
     assert (row["n_rows"], row["subpopulation_nulls"], row["value_nulls"]) == (5, 1, 1)
-    assert clean.schema_table(messy).count() == 4
+    assert clean.column_profile(messy).count() == 4
     assert {r["column_name"]: r["nulls"] for r in clean.column_profile(messy).collect()}["value"] == 1
 
 
