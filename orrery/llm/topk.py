@@ -28,6 +28,8 @@ from orrery.llm.vectors import finite, matrix
 
 PIVOTS = 256
 PIVOT_SAMPLE = 10_000
+#: Rows that stand behind a pivot, at least.
+PIVOT_ROWS = 1000
 #: Rows of a cell that one task holds, and queries of a block.
 PART_ROWS = 20_000
 QUERY_ROWS = 10_000
@@ -125,14 +127,15 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id
     sample = np.zeros((len(drawn), width))
     for i, r in enumerate(drawn):
         sample[i, : len(r[0])] = r[0]
-    points = choose_pivots(sample, max(1, min(pivots, -(-shape["n"] // 1000))), np.random.default_rng(SEED))
+    points = choose_pivots(sample, max(1, min(pivots, -(-shape["n"] // PIVOT_ROWS))), np.random.default_rng(SEED))
     shared = spark.sparkContext.broadcast(points)
 
     def assign(batch: pa.RecordBatch):
         at, distance = nearest(matrix(batch["vector"], width), shared.value) if batch.num_rows else (np.zeros(0, int), np.zeros(0))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int64)), pa.array(distance)], names=["id", "vector", "cell", "distance"])
 
-    cells = keep(rows.mapInArrow(each_batch(assign), "id long, vector array<double>, cell long, distance double"), "voronoi-cells")
+    told = rows.mapInArrow(each_batch(assign), "id long, vector array<double>, cell long, distance double")
+    cells = keep(told.withColumn("row", F.monotonically_increasing_id()), "voronoi-cells")
     # One row per pivot.
     summary = {r["cell"]: (r["n"], r["radius"]) for r in cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()}
     numbers = np.array(sorted(summary), np.int64)
@@ -151,10 +154,11 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id
         middle, swing = q @ pivots.T, np.sqrt((q * q).sum(axis=1))[:, None] * radii[None, :]
         loose = SLACK * (np.abs(middle) + swing + 1)
         low, high = middle - swing - loose, middle + swing + loose
+        own = batch["own"].to_numpy()
         for i in range(len(q)):
             order = np.argsort(-low[i])
-            # k others besides the query's own row stand at or above this bound.
-            enough = int(np.searchsorted(np.cumsum(sizes[order]), k + 1))
+            # k others besides the rows of the query's own id stand at or above this bound.
+            enough = int(np.searchsorted(np.cumsum(sizes[order]), k + own[i]))
             bound = low[i, order[enough]] if enough < len(order) else -np.inf
             first = int(np.argmax(middle[i]))
             need = np.flatnonzero((high[i] >= bound) | (np.arange(len(numbers)) == first))
@@ -162,16 +166,18 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id
             part = np.arange(len(copies)) - np.repeat(np.cumsum(parts[need]) - parts[need], parts[need])
             take = pa.array(np.full(len(copies), i))
             yield pa.RecordBatch.from_arrays(
-                [*[c.take(take) for c in batch.columns], pa.array(numbers[copies]), pa.array(part.astype(np.int64)), pa.array(high[i, copies]), pa.array(copies == first)],
+                [*[batch[c].take(take) for c in ("query_id", "vector", "query")], pa.array(numbers[copies]), pa.array(part.astype(np.int64)), pa.array(high[i, copies]), pa.array(copies == first)],
                 names=["query_id", "vector", "query", "cell", "part", "high", "first"],
             )
 
-    named = asked.select(F.col("id").alias("query_id"), "vector", "query")
+    # Rows with a query's own id fill cells and answer it nowhere.
+    repeated = cells.groupBy("id").agg(F.count("*").alias("own")).filter("own > 1")
+    named = asked.join(repeated, "id", "left").select(F.col("id").alias("query_id"), "vector", "query", F.coalesce("own", F.lit(1)).alias("own"))
     needed = named.mapInArrow(each_batch(reach), "query_id long, vector array<double>, query long, cell long, part long, high double, first boolean")
     needed = keep(needed.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks))), "query-copies")
 
     of_cell = F.create_map(*[F.lit(int(v)) for pair in zip(numbers.tolist(), parts.tolist()) for v in pair]) if len(numbers) else F.create_map(F.lit(0), F.lit(1))
-    dealt = cells.withColumn("part", F.pmod(F.xxhash64("id"), of_cell[F.col("cell").cast("int")]).cast("long"))
+    dealt = cells.withColumn("part", F.pmod(F.xxhash64("row"), of_cell[F.col("cell").cast("int")]).cast("long"))
     dealt = dealt.select("id", "vector", "cell", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     key = ("cell", "part", "block")
 
