@@ -183,26 +183,40 @@ def near_pairs(fps: DataFrame, radius: int = RADIUS, leaf: int = LEAF, cell: int
     return cells.groupBy("shard", "x", "y").applyInArrow(links, "a long, b long")
 
 
-def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row: component_id is the smallest doc_id linked to it."""
+def _rooted(docs: DataFrame, doc_id: str, text: str, radius: int) -> DataFrame:
+    """(doc_id, fp, root, component_id) for every row: components whose smallest ids are equal differ in root."""
     rows = keep(fingerprints(docs, doc_id, text), "fingerprints")
     least = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     linked = components(near_pairs(least.select("fp"), radius)).withColumnsRenamed({"node": "fp"})
     linked = keep(linked.union(linked.select(F.col("root").alias("fp"), "root").distinct()), "fingerprint-roots")
     lows = linked.join(least, "fp").groupBy("root").agg(F.min("least").alias("low"))
-    named = linked.join(lows, "root").select("fp", "low")
-    every = least.join(named, "fp", "left").select("fp", F.coalesce("low", "least").alias("component_id"))
-    return rows.join(every, "fp").select("doc_id", "fp", "component_id")
+    named = linked.join(lows, "root").select("fp", "root", "low")
+    every = least.join(named, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("low", "least").alias("component_id"))
+    return rows.join(every, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """(doc_id, fp, component_id) for every row: component_id is the smallest doc_id linked to it."""
+    return _rooted(docs, doc_id, text, radius).drop("root")
 
 
 def near_duplicates_removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs``, one of each group: the one with its smallest id (of equal ids, one row)."""
+    """Rows of ``docs``, one of each group: the first by id, then by text. Rows without an id stay.
+
+    A row is told by its id and fingerprint, so texts of one id that are in different groups
+    are kept or removed each on its own.
+    """
     from pyspark.sql.window import Window
 
-    groups = simhash_groups(docs, doc_id, text)
-    own, copy = free_name(docs, "stay"), free_name(docs, "copy")
-    stay = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(own)).distinct()
-    order = Window.partitionBy(own).orderBy(col(text))
-    kept = docs.join(stay, col(doc_id).cast("long") == col(own)).withColumn(copy, F.row_number().over(order)).filter(col(copy) == 1)
+    groups = _rooted(docs, doc_id, text, RADIUS).filter(F.col("doc_id") == F.col("component_id"))
+    named = {"doc_id": free_name(docs, "stay"), "fp": free_name(docs, "print"), "root": free_name(docs, "group")}
+    copy = free_name(docs, "copy")
+    stay = groups.select(*named).distinct().withColumnsRenamed(named)
+    own, mark, root = (F.col(n) for n in named.values())
+    told = F.pandas_udf(lambda texts: texts.map(lambda t: int(np.uint64(fingerprint(t)).view(np.int64))).astype("int64"), "long")
+    own_mark = free_name(docs, "own_print")
+    printed = docs.filter(col(doc_id).isNotNull()).withColumn(own_mark, told(col(text)))
+    order = Window.partitionBy(root).orderBy(col(text))
+    kept = printed.join(stay, (col(doc_id).cast("long") == own) & (F.col(own_mark) == mark)).withColumn(copy, F.row_number().over(order))
     nameless = docs.filter(col(doc_id).isNull())
-    return kept.drop(own, copy).unionByName(nameless)
+    return kept.filter(F.col(copy) == 1).select(*[col(c) for c in docs.columns]).unionByName(nameless)
