@@ -5,8 +5,8 @@ keeps its largest response in the window, and a softmax layer tells the language
 text is cut into overlapping windows that cover every byte sequence of it, and its
 probabilities are the mean over its windows.
 
-Training reads a bounded sample (``PER_LANGUAGE`` documents of each language, drawn by a hash)
-and one stretch of each; prediction reads every byte of every text. Null texts and texts
+Training reads a bounded sample (``PER_LANGUAGE`` distinct texts of each language, drawn by a
+hash) and one stretch of each; prediction reads every byte of every text. Null texts and texts
 without a letter are ``und`` with score 0, and so is everything if nothing was learned. Rows
 are told apart by nothing but their text; an empty table gives no rows.
 """
@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from orrery.llm.common import col, each_batch, free_name
 from orrery.llm.tokens import chunks
@@ -145,18 +146,21 @@ def held_out(doc_id: str, parts: int, part: int):
 def fit_language(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> ByteNet | None:
     """Train on a hash sample of the labelled rows of ``docs``; more than ``LANGUAGES`` labels are an error."""
     usable = docs.filter(col(lang).isNotNull() & col(text).rlike("\\p{L}")).select(col(lang).alias("lang"), col(text).alias("text"))
-    sizes = usable.groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    # Copies of a text count once, so that no text fills the sample.
+    usable = usable.withColumn("h", F.xxhash64("text", F.lit(SEED)))
+    sizes = usable.select("lang", "h").distinct().groupBy("lang").count().limit(LANGUAGES + 1).collect()
     if len(sizes) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     share = F.lit(0.0)
     for name, n in sizes:
         share = F.when(F.col("lang") == name, F.lit(min(1.0, per_language / n))).otherwise(share)
-    h = F.xxhash64("text", F.lit(SEED))
-    drawn = usable.withColumn("h", h).filter(F.pmod("h", F.lit(1_000_003)) < share * 1_000_003)
+    drawn = usable.filter(F.pmod("h", F.lit(1_000_003)) < share * 1_000_003)
     room = F.greatest(F.length("text") - STRETCH, F.lit(0)) + 1
     start = (F.pmod(F.shiftright("h", 20), room) + 1).cast("int")
-    # The draw is by hash, hence about per_language a language; many equal texts are drawn together.
-    rows = drawn.select("lang", F.substring("text", start, F.lit(STRETCH)).alias("text"), "h").orderBy("h", "lang").limit(2 * per_language * max(1, len(sizes))).collect()
+    # The draw is by hash, hence about per_language a language.
+    stretches = drawn.select("lang", F.substring("text", start, F.lit(STRETCH)).alias("text"), "h").groupBy("lang", "h").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    rows = stretches.withColumn("place", place).filter(F.col("place") <= 2 * per_language).orderBy("h", "lang").collect()
     return train([r["text"].encode("utf-8", "surrogatepass") for r in rows], [r["lang"] for r in rows])
 
 
