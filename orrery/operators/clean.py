@@ -49,8 +49,13 @@ def null_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
 
 
 def mean_valid(df: DataFrame, columns: Iterable[str] = NUMERIC_COLUMNS) -> DataFrame:
-    """One row: mean of every column without NULL and NaN, in a single pass."""
-    names = present(df, columns)
+    """One row: mean of every column without NULL and NaN, in a single pass.
+
+    Columns are named in a list; one name by itself, or no listed column in the input, is an error.
+    """
+    names = present(df, [columns] if isinstance(columns, str) else columns)
+    if isinstance(columns, str) or not names:
+        raise ValueError(f"mean_valid needs a list with columns of the input, not {columns!r}")
     return df.agg(*[F.avg(valid_or_null(F.col(c))).alias(f"{c}_mean") for c in names])
 
 
