@@ -153,6 +153,40 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+CONTAMINATION_SQL = """
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark
+), patterns AS (
+  SELECT DISTINCT item_id, m, array_to_string(words[p : p + m - 1], ' ') AS w
+  FROM (SELECT item_id, words, least(len(words), 10) AS m, unnest(generate_series(1, greatest(len(words) - 9, 1))) AS p FROM item_words WHERE len(words) > 0)
+), tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, m, p, array_to_string(words[p : p + m - 1], ' ') AS w
+  FROM (SELECT doc_id, words, m, unnest(generate_series(1, len(words) - m + 1)) AS p FROM tokens CROSS JOIN (SELECT DISTINCT m FROM patterns))
+), hits AS (
+  SELECT doc_id, m, p, w FROM windows SEMI JOIN patterns USING (m, w)
+), places AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + m - 1)) AS q FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hits JOIN patterns USING (m, w)) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM tokens LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op13_decontaminate_wu_manber", CONTAMINATION_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    from orrery.llm.decontamination import decontaminate
+
+    found = decontaminate(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"), keep_text=False)
+    names = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), names, "contaminated")
+
+
 def _add_sql_queries() -> None:
     from orrery.llm.licenses import LICENSE_SQL
     from orrery.llm.mixing import MIX_SQL
