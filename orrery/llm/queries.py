@@ -153,6 +153,34 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents the words from a place on repeat the first p of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.array_remove(F.split(F.col("text"), "[\\x20\\x09-\\x0D]+"), "")
+    n, g = F.size("w").cast("long"), F.floor(F.col("h") / 10)
+    marked = docs.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words))
+    marked = marked.withColumn("a", F.when(n > 0, g % n)).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    a, p = F.col("a").cast("int"), F.col("p").cast("int")
+    tail = F.transform(F.sequence(a, F.size("w") - 1), lambda i: F.get("w", a + (i - a) % p))
+    repeated = F.array_join(F.concat(F.slice("w", F.lit(1), a), tail), " ")
+    return marked.select("doc_id", F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs_diagonals")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    from orrery.llm.periodic_runs import periodic_runs
+
+    found = periodic_runs(repeated_tails(table(spark, folder, "documents")), keep_text=False)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda v: F.concat(v, F.lit("\n"))), "")
+    best = F.col("best")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 CONTAMINATION_SQL = """
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark
