@@ -1,8 +1,9 @@
 """CSV readers.
 
 ``escape='"'`` makes doubled quotes read as Python's readers do. Line breaks inside quotes
-belong to their record; a file read that way cannot be split, so large files that are known
-to have none should be read with ``multiline=False``.
+belong to their record, and files are still split: see ``split_records``, which reads the text
+once to find out where records begin. ``multiline=False`` spares that pass where no quoted
+value is known to hold a line break; ``multiline="whole"`` reads each file in one task.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from orrery.functions.numbers import parse_number
 from orrery.functions.text import null_tokens
+from orrery.sources.split_records import csv_records
 
 # The columns of a health file, in file order.
 HEALTH_SCHEMA = T.StructType([
@@ -29,26 +31,58 @@ HEALTH_SCHEMA = T.StructType([
 ])
 
 
-def _reader(spark: SparkSession, header: bool, multiline: bool):
-    return spark.read.options(header=header, multiLine=multiline, escape='"', mode="PERMISSIVE")
+# Line breaks inside quotes: in records of split files (True), no such breaks (False), files read whole.
+Multiline = bool | str
+_OPTIONS = {"escape": '"', "mode": "PERMISSIVE"}
 
 
-def read_csv_inferred(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def _reader(spark: SparkSession, header: bool, multiline: Multiline):
+    return spark.read.options(header=header, multiLine=bool(multiline), **_OPTIONS)
+
+
+def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
+    row = F.from_csv("value", schema.toDDL(), {**_OPTIONS, "multiLine": "true"})
+    return records.select(row.alias("row")).select("row.*")
+
+
+def _inferred(records: DataFrame, names: list[str]) -> T.StructType:
+    """Types as Spark's own inference finds them in the records, under the names of the header."""
+    spark = records.sparkSession
+    texts = getattr(records.select("value")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = spark.read.options(header=False, inferSchema=True, multiLine=True, **_OPTIONS)
+    found = reader._df(reader._jreader.csv(texts)).schema
+    kinds = [f.dataType for f in found.fields] + [T.StringType()] * len(names)
+    return T.StructType([T.StructField(c, k) for c, k in zip(names, kinds)])
+
+
+def read_csv_inferred(spark: SparkSession, path: str, multiline: Multiline = True, split_bytes: str | int | None = None) -> DataFrame:
     """Header and inferred types. Inference reads the data one extra time."""
-    return _reader(spark, True, multiline).option("inferSchema", True).csv(path)
+    records = csv_records(spark, path, split_bytes) if multiline is True else None
+    if records is None:
+        return _reader(spark, True, multiline == "whole").option("inferSchema", True).csv(path)
+    names = _reader(spark, True, True).csv(path).columns
+    rows = records.filter(~F.col("first"))
+    return _parsed(rows, _inferred(rows, names))
 
 
 def read_csv_rows(
-    spark: SparkSession, path: str, columns: Iterable[str] | None = None, multiline: bool = True
+    spark: SparkSession, path: str, columns: Iterable[str] | None = None, multiline: Multiline = True,
+    split_bytes: str | int | None = None,
 ) -> DataFrame:
     """All-text named rows; short rows end in NULLs, blank lines are skipped.
 
     Names come from the header unless given.
     """
-    if columns is None:
-        return _reader(spark, True, multiline).csv(path)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return _reader(spark, False, multiline).schema(schema).csv(path)
+    schema = None if columns is None else T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    records = csv_records(spark, path, split_bytes) if multiline is True else None
+    if records is None:
+        reader = _reader(spark, schema is None, multiline == "whole")
+        return (reader.schema(schema) if schema else reader).csv(path)
+    if schema:
+        return _parsed(records, schema)
+    # Only the first record of a file is read for its names.
+    names = _reader(spark, True, True).csv(path).columns
+    return _parsed(records.filter(~F.col("first")), T.StructType([T.StructField(c, T.StringType()) for c in names]))
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -71,8 +105,9 @@ def count_bad_numbers(df: DataFrame, schema: T.StructType = HEALTH_SCHEMA) -> di
 
 
 def read_csv_missing(
-    spark: SparkSession, path: str, schema: T.StructType = HEALTH_SCHEMA, multiline: bool = True
+    spark: SparkSession, path: str, schema: T.StructType = HEALTH_SCHEMA, multiline: Multiline = True,
+    split_bytes: str | int | None = None,
 ) -> DataFrame:
-    """Typed rows in which every token pandas reads as missing is NULL; one pass, no inference."""
-    rows = read_csv_rows(spark, path, multiline=multiline)
+    """Typed rows in which every token pandas reads as missing is NULL; no inference."""
+    rows = read_csv_rows(spark, path, multiline=multiline, split_bytes=split_bytes)
     return typed(rows, schema)
