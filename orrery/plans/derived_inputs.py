@@ -47,6 +47,15 @@ def health_text(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumns(missing).withColumn("state_name", broken).select(*INSERT_COLUMNS, "id")
 
 
+def health_odd_text(spark: SparkSession, folder: str) -> DataFrame:
+    """``health_text`` with values that are no numbers: every thirteenth ``value``, every eleventh ``lower_ci``."""
+    odd = {
+        "value": F.when(F.col("id") % 13 == 0, F.lit("1.5d")).otherwise(F.col("value")),
+        "lower_ci": F.when(F.col("id") % 11 == 0, F.lit("about 7")).otherwise(F.col("lower_ci")),
+    }
+    return health_text(spark, folder).withColumns(odd)
+
+
 def customer_lines(spark: SparkSession, folder: str) -> DataFrame:
     """CSV lines without header: quoted commas, doubled quotes, quoted line breaks, short rows, blank lines."""
     k = F.col("c_custkey")

@@ -18,6 +18,7 @@ from orrery.sinks.files import write_history, write_label_map
 from orrery.sources.delimited import read_csv_rows
 from orrery.sources.image_files import unreadable_images
 from orrery.sources.labels import read_image_dataset
+from orrery.sources.rejects import ColumnCounts, Observed, features_observed, reject_rows
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,14 @@ class TrainingReport:
     model_path: str
     history_path: str
     unreadable_pictures: int = 0
+    #: Rows read, and for each column how many of its values were missing or no number.
+    counts: ColumnCounts | None = None
+
+
+def labelled_source(df: DataFrame, features: list[str] = NUMERIC_COLUMNS, label: str = "subpopulation") -> tuple[DataFrame, Observed]:
+    """Rows numbered by ``row_id`` in one write, which also counts and lists what makes rows incomplete."""
+    rows, seen = features_observed(df, features, label)
+    return dense_index(rows, name="row_id"), seen
 
 
 def train_classifier_from_csv(
@@ -37,18 +46,19 @@ def train_classifier_from_csv(
     max_iter: int = 100,
     multiline: bool = True,
 ) -> TrainingReport:
-    """Read, validate, encode, split, train, evaluate; write model, label map and history."""
+    """Read, validate, encode, split, train, evaluate; write model, label map, history and rejected values."""
     output = output.rstrip("/")
     source = read_csv_rows(spark, path, multiline=multiline)
     wanted = [c for c in [label, *features] if c in source.columns]
-    numbered = dense_index(source.select(*wanted), name="row_id")
+    numbered, seen = labelled_source(source.select(*wanted), features, label)
+    reject_rows(numbered, "row_id").write.mode("overwrite").parquet(f"{output}/rejects")
     trained = supervised.train_classifier(numbered, "row_id", features, label, max_iter=max_iter)
     write_label_map(trained.vocab, label, "label_idx", f"{output}/label_map")
     trained.model.write().overwrite().save(f"{output}/model")
     losses = [(i + 1, "loss", float(v)) for i, v in enumerate(trained.history)]
     write_history(spark.createDataFrame(losses, "epoch int, metric string, value double"), f"{output}/history")
     return TrainingReport(
-        supervised.evaluate_classifier(trained).first().asDict(), f"{output}/model", f"{output}/history"
+        supervised.evaluate_classifier(trained).first().asDict(), f"{output}/model", f"{output}/history", counts=seen.counts()
     )
 
 

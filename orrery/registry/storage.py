@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orrery.operators import clean, images
 from orrery.plans import derived_inputs
 from orrery.plans.health_view import health_view
-from orrery.plans.load_health import load_csv_to_table
+from orrery.plans.load_health import load_csv_to_table, load_csv_with_report
+from orrery.plans.supervised_training import labelled_source
 from orrery.registry.base import over_health, query
 from orrery.registry.learning import DAILY_SQL
 from orrery.runtime import scratch_path
 from orrery.sinks import tables
 from orrery.sinks.files import copy_dataset, write_history_arrays
-from orrery.sources import delimited, history, image_files, jdbc, labels
+from orrery.sources import delimited, history, image_files, jdbc, labels, rejects
 from orrery.sources.paths import table
 
 
@@ -76,6 +77,66 @@ def scan_csv_na(spark: SparkSession, folder: str) -> DataFrame:
     return delimited.read_csv_missing(spark, path)
 
 
+@query("scan_csv_one_file", over_health("""
+SELECT edition, report_type, measure_name, CASE WHEN id % 7 = 0 THEN concat(state_name, chr(10), 'second line') ELSE state_name END AS state_name,
+  subpopulation, CASE WHEN NOT isnan(value) THEN value END AS value, lower_ci, upper_ci, source, source_date, true AS many_tasks FROM hv"""))
+def scan_csv_one_file(spark: SparkSession, folder: str) -> DataFrame:
+    """One large file with quoted line breaks, read in at least 8 tasks."""
+    path = derived_inputs.write_csv(derived_inputs.health_text(spark, folder).coalesce(1), "health-one-csv")
+    size = image_files.list_files(spark, path, "*.csv").agg(F.sum("length")).first()[0]
+    rows = delimited.read_csv_missing(spark, path, split_bytes=size // 12)
+    tasks = rows.select(F.spark_partition_id().alias("task")).distinct().count()
+    return rows.withColumn("many_tasks", F.lit(tasks >= 8))
+
+
+_ODD_SQL = """
+, odd AS (SELECT id, subpopulation, measure_name, value IS NULL OR isnan(value) AS no_value, lower_ci IS NULL AS no_lower, upper_ci IS NULL AS no_upper,
+    id % 13 = 0 AS bad_value, id % 11 = 0 AS bad_lower FROM hv)
+"""
+
+
+@query("load_rejects", over_health(_ODD_SQL + """
+SELECT 'value' AS column_name, count(*) AS n_rows, count(*) FILTER (no_value AND NOT bad_value) AS n_missing, count(*) FILTER (bad_value) AS n_rejected,
+  count(*) FILTER (bad_value) AS n_listed, count(*) FILTER (no_value OR bad_value) AS n_null FROM odd
+UNION ALL SELECT 'lower_ci', count(*), count(*) FILTER (no_lower AND NOT bad_lower), count(*) FILTER (bad_lower), count(*) FILTER (bad_lower),
+  count(*) FILTER (no_lower OR bad_lower) FROM odd
+UNION ALL SELECT 'upper_ci', count(*), count(*) FILTER (no_upper), 0, 0, count(*) FILTER (no_upper) FROM odd
+UNION ALL SELECT 'measure_name', count(*), count(*) FILTER (measure_name IS NULL), 0, 0, count(*) FILTER (measure_name IS NULL) FROM odd"""))
+def load_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Observed counts of a load, next to its side table and to the NULLs of the loaded table."""
+    name = f"health_{uuid.uuid4().hex}"
+    path = derived_inputs.write_csv(derived_inputs.health_odd_text(spark, folder), "health-odd-csv")
+    report = load_csv_with_report(spark, path, name, location=scratch_path(spark, name))
+    names = [*clean.NUMERIC_COLUMNS, "measure_name"]
+    told = [(c, report.counts.rows, report.counts.missing[c], report.counts.rejected[c]) for c in names]
+    observed = spark.createDataFrame(told, "column_name string, n_rows bigint, n_missing bigint, n_rejected bigint")
+    # Each listed value belongs to a row of the table that is NULL there.
+    nulls = spark.table(name).select("id", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).isNull().alias("gone")) for c in names])).alias("v"))
+    nulls = nulls.filter("v.gone").select("id", "v.column_name")
+    listed = report.rejects.select("id", "column_name", F.lit(1).alias("listed"))
+    counted = nulls.join(listed, ["id", "column_name"], "left").groupBy("column_name").agg(F.count("listed").alias("n_listed"), F.count(F.lit(1)).alias("n_null"))
+    return observed.join(counted, "column_name", "left").fillna(0, ["n_listed", "n_null"])
+
+
+@query("training_rejects", over_health(_ODD_SQL + """
+SELECT 'value' AS column_name, count(*) AS n_rows, count(*) FILTER (no_value AND NOT bad_value) AS n_missing, count(*) FILTER (bad_value) AS n_rejected,
+  count(*) FILTER (no_value OR bad_value) AS n_listed FROM odd
+UNION ALL SELECT 'lower_ci', count(*), count(*) FILTER (no_lower AND NOT bad_lower), count(*) FILTER (bad_lower), count(*) FILTER (no_lower OR bad_lower) FROM odd
+UNION ALL SELECT 'upper_ci', count(*), count(*) FILTER (no_upper), 0, count(*) FILTER (no_upper) FROM odd
+UNION ALL SELECT 'subpopulation', count(*), count(*) FILTER (trim(coalesce(subpopulation, '')) = ''), 0, count(*) FILTER (trim(coalesce(subpopulation, '')) = '') FROM odd"""))
+def training_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What a training set leaves out: observed counts next to the listed values."""
+    source = health_view(spark, folder).withColumns({c: F.col(c).cast("string") for c in clean.NUMERIC_COLUMNS})
+    source = source.withColumn("value", F.when(F.col("id") % 13 == 0, F.lit("1.5d")).otherwise(F.col("value")))
+    source = source.withColumn("lower_ci", F.when(F.col("id") % 11 == 0, F.lit("about 7")).otherwise(F.col("lower_ci")))
+    numbered, seen = labelled_source(source.select("subpopulation", *clean.NUMERIC_COLUMNS))
+    listed = rejects.reject_rows(numbered, "row_id").groupBy("column_name").agg(F.count(F.lit(1)).alias("n_listed"))
+    counts = seen.counts()
+    told = [(c, counts.rows, counts.missing[c], counts.rejected[c]) for c in ["subpopulation", *clean.NUMERIC_COLUMNS]]
+    observed = spark.createDataFrame(told, "column_name string, n_rows bigint, n_missing bigint, n_rejected bigint")
+    return observed.join(listed, "column_name", "left").fillna(0, ["n_listed"])
+
+
 @query("scan_csv_rows", """
 SELECT CAST(c_custkey AS VARCHAR) AS k,
   CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN concat(c_name, chr(10), 'second line')
@@ -127,13 +188,35 @@ def scan_images(spark: SparkSession, folder: str) -> DataFrame:
     decoded = image_files.read_images(spark, path, "*.png")
     sizes = decoded.select("name", "image", F.col("image.height").alias("h"), F.col("image.width").alias("w"),
                            F.col("image.nChannels").alias("channels"))
+    pixels = _channel_sums(sizes, ("name", "h", "w", "channels"))
+    return pixels.select("name", F.col("h").alias("height"), F.col("w").alias("width"), "channels", "red", "green", "blue")
+
+
+def _channel_sums(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     side = derived_inputs.PICTURE_SIZE
-    pixels = images.image_features(sizes, side, side, keep=("name", "h", "w", "channels"))
+    pixels = images.image_features(df, side, side, keep=keep)
     levels = F.transform("pixels", lambda v: F.round(v * 255).cast("bigint"))
     totals = [_channel_sum("levels", i).alias(name) for i, name in enumerate(["red", "green", "blue"])]
-    return pixels.withColumn("levels", levels).select(
-        "name", F.col("h").alias("height"), F.col("w").alias("width"), "channels", *totals
-    )
+    return pixels.withColumn("levels", levels).select(*keep, *totals)
+
+
+@query("late_pictures", """
+WITH px AS (SELECT vec_id, least(greatest(CAST(floor(CAST(embedding[i] AS DOUBLE) * 127 + 128) AS BIGINT), 0), 255) AS g
+  FROM embeddings CROSS JOIN range(1, 65) t(i) WHERE vec_id % 3 <> 0)
+SELECT concat('vec_', CAST(vec_id AS VARCHAR), '.png') AS image, CAST(vec_id % 320 AS DOUBLE) AS x_px, CAST(vec_id % 256 AS DOUBLE) AS y_px,
+  CAST(sum(g * 3 % 256) AS BIGINT) AS red, CAST(sum(255 - g) AS BIGINT) AS green, CAST(sum(g) AS BIGINT) AS blue
+FROM px GROUP BY vec_id""")
+def late_pictures(spark: SparkSession, folder: str) -> DataFrame:
+    """Two thirds of the pictures are labelled, one label has no picture: only labelled files are read, by path."""
+    path = derived_inputs.write_pictures(derived_inputs.pictures(spark, folder))
+    number = F.col("vec_id")
+    name = F.concat(F.lit("vec_"), number, F.when(number % 3 == 0, F.lit(".gone.png")).otherwise(F.lit(".png")))
+    points = table(spark, folder, "embeddings").select(
+        name.alias("image"), (number % 320).cast("double").alias("x_px"), (number % 256).cast("double").alias("y_px"))
+    listing = image_files.list_files(spark, path, "*.png").select(F.col("name").alias("image"), "path")
+    pictures = labels.late_pictures(points, listing, chunk=500)
+    sums = _channel_sums(pictures.withColumnsRenamed({"image": "name", "picture": "image"}), ("name", "x_px", "y_px"))
+    return sums.withColumnRenamed("name", "image")
 
 
 @query("scan_history_long", DAILY_SQL + """

@@ -54,6 +54,23 @@ def _last_id(spark: SparkSession, name: str) -> int:
     return max(int(present), int(kept.get(_LAST_ID, 0)))
 
 
+def numbered_rows(df: DataFrame, name: str, dense: bool = True) -> DataFrame:
+    """``df`` with the ids that its rows get in the table."""
+    start = _last_id(df.sparkSession, name) + 1
+    if dense:
+        return dense_index(df, name="id", start=start)
+    return df.withColumn("id", F.monotonically_increasing_id() + F.lit(start))
+
+
+def insert_numbered(df: DataFrame, name: str, columns: list[str] = INSERT_COLUMNS) -> None:
+    """Append rows that have their ids, by column name; all become visible when the job commits."""
+    names = ["id", *columns]
+    df.sparkSession.sql(
+        f"INSERT INTO {name} ({', '.join(names)}) SELECT {', '.join(names)} FROM {{rows}}",
+        rows=df.select(*names),
+    )
+
+
 def load_table(df: DataFrame, name: str, columns: list[str] = INSERT_COLUMNS, dense: bool = True) -> None:
     """Append rows by column name with generated ids; ``created_at`` takes its default.
 
@@ -62,17 +79,7 @@ def load_table(df: DataFrame, name: str, columns: list[str] = INSERT_COLUMNS, de
     ``dense=False`` ids rise and are unique but leave gaps, and nothing extra
     is written. All rows become visible together when the job commits.
     """
-    spark = df.sparkSession
-    rows, start = project(df, columns), _last_id(spark, name) + 1
-    if dense:
-        numbered = dense_index(rows, name="id", start=start)
-    else:
-        numbered = rows.withColumn("id", F.monotonically_increasing_id() + F.lit(start))
-    names = ["id", *columns]
-    spark.sql(
-        f"INSERT INTO {name} ({', '.join(names)}) SELECT {', '.join(names)} FROM {{rows}}",
-        rows=numbered,
-    )
+    insert_numbered(numbered_rows(project(df, columns), name, dense), name, columns)
 
 
 def insert_rows(spark: SparkSession, name: str, rows: list[tuple]) -> None:

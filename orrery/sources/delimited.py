@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from orrery.functions.numbers import parse_number
 from orrery.functions.text import null_tokens
@@ -85,23 +85,19 @@ def read_csv_rows(
     return _parsed(records.filter(~F.col("first")), T.StructType([T.StructField(c, T.StringType()) for c in names]))
 
 
+def column_values(schema: T.StructType) -> dict[str, tuple[Column, Column]]:
+    """For each column its text, NULL for missing tokens, and its value, NULL also where the text has none."""
+    out = {}
+    for f in schema.fields:
+        text = null_tokens(F.col(f.name))
+        number = isinstance(f.dataType, (T.DoubleType, T.FloatType))
+        out[f.name] = text, parse_number(text).cast(f.dataType) if number else text.try_cast(f.dataType)
+    return out
+
+
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns to the types of ``schema``: missing tokens and bad numbers become NULL."""
-    numeric = (T.DoubleType, T.FloatType)
-    return df.select(*[
-        parse_number(null_tokens(F.col(f.name))).cast(f.dataType).alias(f.name)
-        if isinstance(f.dataType, numeric)
-        else null_tokens(F.col(f.name)).try_cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
-
-
-def count_bad_numbers(df: DataFrame, schema: T.StructType = HEALTH_SCHEMA) -> dict[str, int]:
-    """Text values of each numeric column that are neither missing nor a number; ``typed`` makes them NULL."""
-    names = [f.name for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    text = {c: null_tokens(F.col(c)) for c in names}
-    row = df.agg(*[F.count_if(text[c].isNotNull() & parse_number(text[c]).isNull()).alias(c) for c in names]).first()
-    return {c: int(row[c] or 0) for c in names}
+    return df.select(*[value.alias(c) for c, (_, value) in column_values(schema).items()])
 
 
 def read_csv_missing(

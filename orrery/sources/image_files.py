@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orrery.functions.text import basename
@@ -38,3 +40,9 @@ def read_images(spark: SparkSession, folder: str, pattern: str | None = None) ->
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return _named(reader.load(folder))
+
+
+def read_pictures(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(name, image) of the files at these paths; signs that a path pattern would read are taken as they are."""
+    plain = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
+    return _named(spark.read.format("image").option("dropInvalid", True).load(plain))

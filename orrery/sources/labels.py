@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.image import ImageSchema
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orrery.functions.text import image_pattern, is_image_name, strip
 from orrery.operators.clean import require_rows
 from orrery.operators.joins import keep_existing, lookup_join
-from orrery.runtime import fits_broadcast
-from orrery.sources.image_files import list_files, read_images
+from orrery.runtime import fits_broadcast, freeze
+from orrery.sources.image_files import list_files, read_images, read_pictures
 
 LABEL_FILE = "clean_labels.jsonl"
+#: Files that are read by one list of paths; their label rows, some 100 bytes each, are broadcast.
+CHUNK_FILES = 250_000
+
 
 def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
     """All non-blank lines as (image, point, _corrupt_record).
@@ -68,15 +74,39 @@ def labelled_points(labels: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def read_image_dataset(spark: SparkSession, folder: str) -> DataFrame:
-    """(image, x_px, y_px, picture) for a flat image folder with its label file."""
+    """(image, x_px, y_px, picture) for a flat image folder with its label file.
+
+    No picture is ever shuffled. Few labels are broadcast to where the pictures are decoded;
+    for many, names are joined to paths first and only the labelled files are read.
+    """
     labels = read_labels(spark, f"{folder.rstrip('/')}/{LABEL_FILE}")
-    points = require_rows(
-        labelled_points(labels, list_files(spark, folder).select(F.col("name").alias("image"))),
-        "no valid labelled images were parsed",
-    )
+    listing = list_files(spark, folder).select(F.col("name").alias("image"), "path")
+    points = require_rows(labelled_points(labels, listing.select("image")), "no valid labelled images were parsed")
+    if not fits_broadcast(points):
+        return late_pictures(points, listing)
     # The pattern keeps the label file, which may be large, from being read as a picture.
     pictures = read_images(spark, folder, image_pattern()).select(F.col("name").alias("image"), F.col("image").alias("picture"))
-    if fits_broadcast(points):
-        # The label rows travel; the pictures stay where they were decoded.
-        return pictures.join(F.broadcast(points), "image").select("image", "x_px", "y_px", "picture")
-    return lookup_join(points, pictures, "image", broadcast_ok=False)
+    # The label rows travel; the pictures stay where they were decoded.
+    return pictures.join(F.broadcast(points), "image").select("image", "x_px", "y_px", "picture")
+
+
+def late_pictures(points: DataFrame, listing: DataFrame, chunk: int | None = None) -> DataFrame:
+    """``points`` with their decoded pictures: names and paths are joined first, files read afterwards.
+
+    The joined rows are dealt to chunks of about ``chunk`` files. Each chunk's files are read by
+    their paths and decoded once, next to a broadcast of the chunk's few label rows. The driver
+    sees the paths, as it does for any folder that Spark scans.
+    """
+    found = freeze(lookup_join(points, listing, "image", broadcast_ok=False), "labelled-paths")
+    files = found.select("path").distinct()
+    chunks = max(1, -(-files.count() // (chunk or CHUNK_FILES)))
+    number = F.pmod(F.xxhash64("path"), F.lit(chunks))
+    parts = []
+    for i in range(chunks):
+        paths = [r["path"] for r in files.filter(number == i).collect()]
+        if paths:
+            pictures = read_pictures(points.sparkSession, paths).select(F.col("name").alias("image"), F.col("image").alias("picture"))
+            parts.append(pictures.join(F.broadcast(found.filter(number == i).drop("path")), "image"))
+    if not parts:
+        return found.select("image", "x_px", "y_px", F.lit(None).cast(ImageSchema.columnSchema).alias("picture"))
+    return reduce(DataFrame.union, parts).select("image", "x_px", "y_px", "picture")
