@@ -8,14 +8,19 @@ partitioning; a permutation is an index in hash order; a split needs no sort at
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from orrery.functions.numbers import floor_div
 from orrery.runtime import SMALL_ROWS, freeze
 
 SEED = 1337
+#: Rows of a shuffle buffer.
+BUFFER_ROWS = 3000
 
 # A histogram bucket of a split is four hex digits, so there are never more than 65,536 of them.
 _DIGITS = 4
@@ -257,6 +262,76 @@ def shuffle_epoch(df: DataFrame, key: str | None, epochs: int, seed: int = SEED,
     return placed.withColumn("position", F.col("position") - F.col("epoch") * F.lit(n)).drop("_hash", "_arrival")
 
 
+def buffer_shuffle(df: DataFrame, size: int = BUFFER_ROWS, epochs: int = 1, seed: int = SEED) -> DataFrame:
+    """Rows as a bounded shuffle buffer in each pipeline (partition) hands them out: nothing is exchanged or sorted.
+
+    A buffer of ``size`` rows is filled; each further row takes a drawn place, and the row
+    there goes out; what is left at the end goes out in drawn order. Adds ``epoch``, ``shard``
+    (the pipeline) and ``position`` (from 0 in its pipeline and epoch). Draws depend on the
+    seed, epoch, pipeline and arrival alone. A pipeline of at most ``size`` rows is fully
+    shuffled. Memory is one buffer and one Arrow batch; columns of these names give way.
+    """
+    if size < 1 or epochs < 0:
+        raise ValueError("a buffer holds at least one row, and epochs are not negative")
+    added = ("epoch", "shard", "position")
+    source = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in added])
+    schema = T.StructType([*source.schema.fields, T.StructField("epoch", T.IntegerType()), T.StructField("shard", T.IntegerType()),
+                           T.StructField("position", T.LongType())])
+
+    def turn(epoch: int) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shard = rng = held = None
+            position = 0
+
+            def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+                nonlocal position
+                n = rows.num_rows
+                marks = [pa.array(np.full(n, epoch, np.int32)), pa.array(np.full(n, shard, np.int32)), pa.array(position + np.arange(n))]
+                for name, column in zip(added, marks):
+                    rows = rows.append_column(name, column)
+                position += n
+                yield from rows.combine_chunks().to_batches()
+
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                if rng is None:
+                    shard = batch.column(batch.num_columns - 1)[0].as_py()
+                    rng = np.random.default_rng([seed, epoch, shard])
+                fresh = pa.Table.from_batches([batch]).select(list(range(batch.num_columns - 1)))
+                missing = size - (held.num_rows if held is not None else 0)
+                if missing:
+                    first = fresh.slice(0, missing)
+                    held = first if held is None else pa.concat_tables([held, first])
+                    fresh = fresh.slice(missing)
+                if fresh.num_rows:
+                    leaves, stays = _replaced((rng.random(fresh.num_rows) * size).astype(np.int64), size)
+                    both = pa.concat_tables([held, fresh]).combine_chunks()
+                    held = both.take(pa.array(stays))
+                    yield from out(both.take(pa.array(leaves)))
+            if held is not None and held.num_rows:
+                yield from out(held.combine_chunks().take(pa.array(np.argsort(rng.random(held.num_rows), kind="stable"))))
+
+        return run
+
+    # The number of a partition in its epoch; a task's own number goes on from one epoch to the next.
+    numbered = source.withColumn("_pipeline", F.spark_partition_id())
+    turns = [numbered.mapInArrow(turn(e), schema) for e in range(epochs)]
+    return reduce(DataFrame.union, turns) if turns else df.sparkSession.createDataFrame([], schema)
+
+
+def _replaced(places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a buffer (rows 0 .. size - 1) and arrivals (rows size, ..) at drawn places: which rows leave, in order, and which stay."""
+    n = len(places)
+    order = np.argsort(places, kind="stable")
+    before = np.empty(n, np.int64)
+    same = np.concatenate([[False], places[order][1:] == places[order][:-1]])
+    before[order] = np.where(same, size + np.concatenate([[0], order[:-1]]), places[order])
+    stays = np.arange(size)
+    stays[places[order]] = size + order  # the last arrival at a place stays
+    return before, stays
+
+
 def spread(df: DataFrame, partitions: int = 16) -> DataFrame:
     """Even out a skewed read."""
     return df.repartition(partitions)

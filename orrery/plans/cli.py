@@ -12,14 +12,16 @@ import os
 from pyspark.sql import SparkSession
 
 from orrery.operators.clustering import KMeansConfig, center_rows, infer, probe_rows
+from orrery.operators.networks import TrainingConfig, load_network, predictor
 from orrery.operators.supervised import load_regressor, regressor_loader
 from orrery.plans import health_clustering, load_health, supervised_training
 from orrery.plans.image_inference import predict_folder
-from orrery.runtime import clear_scratch
+from orrery.runtime import clear_scratch, path_exists
 from orrery.sources.jdbc import JdbcConfig, KeyRange, read_jdbc
 from orrery.sources.paths import data_path
 
 
+# Words that switch an option on, and the environment variables named below.
 def _yes(text: str) -> bool:
     return text.strip().lower() in ("1", "true", "yes", "y")
 
@@ -47,7 +49,7 @@ def parser() -> argparse.ArgumentParser:
     file.add_argument("--path")
     file.add_argument("--k", type=int, default=5)
     file.add_argument("--infer-types", action="store_true")
-    file.add_argument("--no-multiline", dest="multiline", action="store_false", help="no line breaks inside quotes: files can be split")
+    file.add_argument("--no-multiline", dest="multiline", action="store_false", help="no line breaks inside quotes: spares a pass")
     file.add_argument("--save-to", default=_env("MODEL_OUTPUT_DIR") or None, help="MODEL_OUTPUT_DIR")
 
     load = jobs.add_parser("load-csv", help="CSV to a catalog table, or to a database with --jdbc (DB_*)")
@@ -71,9 +73,19 @@ def parser() -> argparse.ArgumentParser:
     pictures.add_argument("--img-height", type=int, default=int(_env("IMG_HEIGHT", "256")), help="IMG_HEIGHT")
     pictures.add_argument("--img-width", type=int, default=int(_env("IMG_WIDTH", "320")), help="IMG_WIDTH")
 
+    either = jobs.add_parser("train", help="labelled CSV to a ReLU network, or labelled pictures to a joint point model (DATA_PATH, OUTPUT_DIR, EPOCHS, BATCH_SIZE)")
+    either.add_argument("--data-path", default=_env("DATA_PATH"), help="DATA_PATH")
+    either.add_argument("--data-is-images", action="store_true", help="the data path is a picture folder with its label file")
+    either.add_argument("--output-dir", default=_env("OUTPUT_DIR", "./model"), help="OUTPUT_DIR")
+    either.add_argument("--epochs", type=int, default=int(_env("EPOCHS", "1")), help="EPOCHS")
+    either.add_argument("--batch-size", type=int, default=int(_env("BATCH_SIZE", "32")), help="BATCH_SIZE")
+    either.add_argument("--learning-rate", type=float, default=1e-3)
+    either.add_argument("--img-height", type=int, default=int(_env("IMG_HEIGHT", "256")), help="IMG_HEIGHT")
+    either.add_argument("--img-width", type=int, default=int(_env("IMG_WIDTH", "320")), help="IMG_WIDTH")
+
     predict = jobs.add_parser("predict-images", help="saved point regressor to the positions in a picture folder")
     predict.add_argument("--data-path", default=_env("DATA_PATH"), help="DATA_PATH")
-    predict.add_argument("--model-dir", default=_env("OUTPUT_DIR", "./model"), help="OUTPUT_DIR of train-images")
+    predict.add_argument("--model-dir", default=_env("OUTPUT_DIR", "./model"), help="OUTPUT_DIR of train or train-images")
     predict.add_argument("--output", required=True)
     predict.add_argument("--img-height", type=int, default=int(_env("IMG_HEIGHT", "256")), help="IMG_HEIGHT")
     predict.add_argument("--img-width", type=int, default=int(_env("IMG_WIDTH", "320")), help="IMG_WIDTH")
@@ -111,8 +123,16 @@ def run(spark: SparkSession, args: argparse.Namespace):
         return supervised_training.train_classifier_from_csv(
             spark, args.data_path, args.output_dir, max_iter=args.max_iter, multiline=args.multiline
         )
+    if args.job == "train":
+        if args.data_is_images:
+            return supervised_training.train_points_jointly_from_folder(
+                spark, args.data_path, args.output_dir, args.img_height, args.img_width, epochs=args.epochs, batch_size=args.batch_size
+            )
+        cfg = TrainingConfig(batch_size=args.batch_size, epochs=args.epochs, learning_rate=args.learning_rate)
+        return supervised_training.train_network_from_csv(spark, args.data_path, args.output_dir, cfg=cfg)
     if args.job == "predict-images":
-        load = regressor_loader(load_regressor(args.model_dir))
+        joint = f"{args.model_dir.rstrip('/')}/network"
+        load = predictor(load_network(spark, joint)) if path_exists(spark, joint) else regressor_loader(load_regressor(args.model_dir))
         return predict_folder(spark, args.data_path, load, args.output, args.img_height, args.img_width)
     return supervised_training.train_points_from_folder(
         spark, args.data_path, args.output_dir, args.img_height, args.img_width

@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from dataclasses import replace
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orrery.operators import clean, clustering, encode, images, metrics, rows, supervised
+from orrery.operators import clean, clustering, encode, images, metrics, networks, rows, supervised
 from orrery.operators.clustering import KMeansConfig
-from orrery.plans import derived_inputs, health_clustering
+from orrery.plans import derived_inputs, health_clustering, supervised_training
 from orrery.plans.health_view import health_view
 from orrery.registry.base import IMPUTED_SQL, over_health, query
 from orrery.runtime import freeze, scratch_path
@@ -549,6 +550,54 @@ def regressor_fit_check(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(F.round("mae", 6).alias("mae"), F.round("mse", 6).alias("mse"), "n")
 
 
+@query("joint_regressor_check", _SPLIT_SQL + """
+SELECT round(avg((abs(ax + bx * f - x) + abs(ay + by_ * f - y)) / 2), 6) AS mae,
+  round(avg((pow(ax + bx * f - x, 2) + pow(ay + by_ * f - y, 2)) / 2), 6) AS mse, count(*) AS n
+FROM s CROSS JOIN c WHERE held""")
+def joint_regressor_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Both targets in one scan an epoch, where SQL knows the two least-squares lines."""
+    e = F.col("embedding")
+    points = table(spark, folder, "embeddings").select(
+        "vec_id", e[0].cast("double").alias("x_px"), e[1].cast("double").alias("y_px"), F.array(e[2]).alias("x"))
+    training, validation = rows.holdout_split(points, "vec_id", 0.2, clamp_to_rest=True)
+    net = networks.train_linear(networks.pack(training, "vec_id", "x", ["x_px", "y_px"], 4096))
+    scored = validation.withColumn("p", networks.predict_column(F.col("x"), net))
+    scored = scored.select("x_px", "y_px", F.col("p")[0].alias("x_hat"), F.col("p")[1].alias("y_hat"))
+    told = metrics.regression_metrics(scored, [("x_hat", "x_px"), ("y_hat", "y_px")])
+    return told.select(F.round("mae", 6).alias("mae"), F.round("mse", 6).alias("mse"), "n")
+
+
+@query("network_one_step", """
+WITH r AS (SELECT label, unnest([1.0::DOUBLE, embedding[1]::DOUBLE, embedding[2]::DOUBLE, embedding[3]::DOUBLE]) AS v,
+    unnest([3, 0, 1, 2]) AS slot FROM embeddings WHERE label IS NOT NULL)
+SELECT CAST(slot AS INTEGER) AS slot, CAST(k AS INTEGER) AS class, round(-0.5 * avg(v * (0.1 - CASE WHEN label = k THEN 1 ELSE 0 END)), 7) AS weight
+FROM r CROSS JOIN range(10) t(k) GROUP BY slot, k""")
+def network_one_step(spark: SparkSession, folder: str) -> DataFrame:
+    """One gradient step over all rows from a softmax layer of zeros: SQL knows every weight (slot 3 is the bias)."""
+    e = F.col("embedding")
+    known = table(spark, folder, "embeddings").filter(F.col("label").isNotNull()).select("vec_id", F.slice(e, 1, 3).alias("x"), "label")
+    zero = networks.Network([(np.zeros((3, 10)), np.zeros(10))], np.zeros(3), np.ones(3), True)
+    cfg = networks.TrainingConfig(hidden=(), learning_rate=0.5, optimizer="plain", standardize=False)
+    net = networks.train_network(networks.pack(known, "vec_id", "x", ["label"], 1 << 40), 10, True, cfg, start=zero)
+    (w, b), = net.layers
+    told = [(j, k, float(v)) for j, line in enumerate([*w, b]) for k, v in enumerate(line)]
+    return spark.createDataFrame(told, "slot int, class int, weight double").withColumn("weight", F.round("weight", 7))
+
+
+@query("network_history", """
+SELECT CAST(epoch AS INTEGER) AS epoch, metric, true AS plausible, true AS loss_fell FROM range(1, 4) t(epoch)
+CROSS JOIN (SELECT unnest(['loss', 'accuracy', 'val_loss', 'val_accuracy']) AS metric)""")
+def network_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss and accuracy of training and validation rows after each of three epochs of Adam steps."""
+    encoded, vocab = supervised.labelled_rows(health_view(spark, folder))
+    n = encoded.count()
+    cfg = networks.TrainingConfig(epochs=3, batch_size=-(-n // 12), learning_rate=0.01)
+    net = supervised_training.train_labelled_network(encoded, vocab, "id", list(clean.NUMERIC_COLUMNS), cfg)
+    told = networks.history_rows(spark, net.history)
+    low = F.when(F.col("metric").endswith("accuracy"), F.col("value").between(0, 1)).otherwise(F.col("value") > 0)
+    return told.select("epoch", "metric", low.alias("plausible"), F.lit(net.history[-1]["loss"] < net.history[0]["loss"]).alias("loss_fell"))
+
+
 @query("classifier_check", over_health(_HELD_OUT + "SELECT held AS n_rows, held AS n_sum_one, classes FROM h"))
 def classifier_check(spark: SparkSession, folder: str) -> DataFrame:
     """Exact hold-out size, one probability per class, probabilities that add up to one."""

@@ -126,3 +126,14 @@ def zip_by_index(spark: SparkSession, folder: str) -> DataFrame:
     left = rows.dense_index(ids.withColumnRenamed("event_id", "left_id"), ["left_id"])
     right = rows.permute(ids, "event_id").withColumnRenamed("event_id", "right_id")
     return rows.zip_by_index(left, right)
+
+
+@query("buffer_shuffle", """
+SELECT event_id, CAST(epoch AS INTEGER) AS epoch, true AS in_reach, true AS moved FROM events CROSS JOIN range(2) t(epoch)""")
+def buffer_shuffle(spark: SparkSession, folder: str) -> DataFrame:
+    """Two epochs through buffers of 100 rows: each row once an epoch, none further ahead than its buffer lets it."""
+    arrived = table(spark, folder, "events").select("event_id", F.monotonically_increasing_id().alias("at"))
+    out = rows.buffer_shuffle(arrived, 100, 2)
+    arrival = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    moved = out.agg(F.count_if(F.col("position") != arrival).alias("n")).first()["n"] > 0
+    return out.select("event_id", "epoch", (F.col("position") > arrival - 100).alias("in_reach"), F.lit(moved).alias("moved"))

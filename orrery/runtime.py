@@ -101,6 +101,11 @@ def _only_reads(df: DataFrame) -> bool:
     return plan.children().size() == 0
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove the scratch copies of this application; tables read from them are gone then."""
     root = spark.conf.get("spark.checkpoint.dir", None)

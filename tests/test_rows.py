@@ -216,3 +216,46 @@ def test_zip(spark):
     left = rows.dense_index(sequence(spark, 40).select(F.col("id").alias("a")))
     right = rows.permute(sequence(spark, 40).select(F.col("id").alias("b")), "b")
     assert rows.zip_by_index(left, right).count() == 40
+
+
+def plain_buffer(arrivals, size, rng):
+    """A shuffle buffer, one row at a time."""
+    held, out = [], []
+    for row in arrivals:
+        if len(held) < size:
+            held.append(row)
+            continue
+        place = int(rng.random() * size)
+        out.append(held[place])
+        held[place] = row
+    keys = [rng.random() for _ in held]
+    return out + [held[i] for i in sorted(range(len(held)), key=lambda i: keys[i])]
+
+
+@pytest.mark.parametrize("size, batch", [(1, 10_000), (7, 3), (7, 10_000), (100, 64), (5000, 10_000)])
+def test_shuffle_buffer_against_a_plain_loop(spark, size, batch):
+    import numpy as np
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        df = spark.range(0, 1000, 1, 3).withColumn("epoch", F.lit("gone"))
+        out = rows.buffer_shuffle(df, size, epochs=2, seed=5)
+        assert out.columns == ["id", "epoch", "shard", "position"]
+        got = {}
+        for r in out.collect():
+            got.setdefault((r["epoch"], r["shard"]), []).append((r["position"], r["id"]))
+        arrivals = {s: [r["id"] for r in spark.range(0, 1000, 1, 3).withColumn("s", F.spark_partition_id()).filter(F.col("s") == s).collect()] for s in range(3)}
+        assert sorted(got) == [(e, s) for e in range(2) for s in range(3)]
+        for (epoch, shard), pairs in got.items():
+            assert [p for p, _ in sorted(pairs)] == list(range(len(pairs)))
+            assert [i for _, i in sorted(pairs)] == plain_buffer(arrivals[shard], size, np.random.default_rng([5, epoch, shard]))
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_shuffle_buffer_edges(spark):
+    empty = spark.createDataFrame([], "a string")
+    assert rows.buffer_shuffle(empty).collect() == [] and rows.buffer_shuffle(spark.range(5), epochs=0).collect() == []
+    with pytest.raises(ValueError):
+        rows.buffer_shuffle(empty, 0)
