@@ -26,7 +26,7 @@ BUFFER_ROWS = 3000
 _DIGITS = 4
 # A bucket of up to this many rows is ranked at once instead of being divided again.
 _LEAF_ROWS = 10_000
-_POSITION_BITS = 33
+POSITION_BITS = 33
 
 
 def _running_offsets(counts: DataFrame, bucket: str) -> DataFrame:
@@ -66,11 +66,11 @@ def dense_index(
         ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
         df = ranged.sortWithinPartitions(*keys).drop("_read_in")
     placed = freeze(df.withColumn("_place", F.monotonically_increasing_id()), "index")
-    part = F.shiftright("_place", _POSITION_BITS).alias("_part")
+    part = F.shiftright("_place", POSITION_BITS).alias("_part")
     offsets = _running_offsets(placed.groupBy(part).agg(F.count(F.lit(1)).alias("n")), "_part")
-    position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    position = F.col("_place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     return (
-        placed.withColumn("_part", F.shiftright("_place", _POSITION_BITS))
+        placed.withColumn("_part", F.shiftright("_place", POSITION_BITS))
         .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + position + F.lit(start).cast("bigint"))
         .drop("_part", "_offset", "_place")
