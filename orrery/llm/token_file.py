@@ -34,10 +34,10 @@ from orrery.llm.common import bytes_array, col, keep
 from orrery.llm.tokens import chunks, default_tokenizer, piece_ids, with_end
 
 SCALE_BITS = 18
-LANES = 512
+LANES = 2048
 #: Ids of a block at least (a block ends with a document), and ids between checkpoints.
-BLOCK_IDS = 1 << 17
-SEGMENT_IDS = 1 << 16
+BLOCK_IDS = 1 << 18
+SEGMENT_IDS = 1 << 17
 #: Token ids must lie below this; it bounds the frequency table.
 VOCABULARY = 1 << 17
 
@@ -237,7 +237,7 @@ def write_tokens(
     rows = docs.select(col(doc_id).cast("long").alias("doc_id"), F.coalesce(col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
-    raw = keep(ordered.mapInArrow(_raw_blocks(tokenizer, end_id), _RAW), "token-ids")
+    raw = keep(ordered.mapInArrow(_raw_blocks(tokenizer, end_id), _RAW), "token-ids", "snappy")
 
     counts = raw.select("n_tokens", "ids").mapInArrow(_count_ids, "symbol long, n long")
     counted = sorted(counts.groupBy("symbol").agg(F.sum("n").alias("n")).collect())
