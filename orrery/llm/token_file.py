@@ -9,10 +9,11 @@ A stored table has two folders:
 ``table``   rows (symbol, freq); the frequencies add up to 2**``SCALE_BITS``
 ``blocks``  rows (part, block, start, n_docs, n_tokens, data), ``start`` being the ids before the block
 
-``data`` is a block of its own: header, documents, checkpoints, words. Symbol number i of a
-block belongs to lane i mod ``LANES``; all lanes advance together. Each checkpoint holds the
-lane states and the place in the word stream, so the segments of a block can be decoded
-apart, and a CRC-32 of its ids. A CRC-32 of everything after it stands in the header.
+``data`` is a block of its own: header, documents, checkpoints, words. A block is cut to
+segments; symbol number i of a segment belongs to lane i mod ``LANES``, and all lanes of all
+segments advance together. Each checkpoint holds the lane states at the start of its segment,
+the place of the segment's words and a CRC-32 of its ids, so segments can be decoded apart. A
+CRC-32 of everything after it stands in the header.
 
 Documents: null texts are empty and have the end id only; a null ``doc_id`` sorts first and
 comes back null; repeated ``doc_id`` rows are kept and ordered by text; an empty table gives
@@ -34,10 +35,10 @@ from orrery.llm.common import bytes_array, col, keep
 from orrery.llm.tokens import chunks, default_tokenizer, piece_ids, with_end
 
 SCALE_BITS = 18
-LANES = 2048
+LANES = 1024
 #: Ids of a block at least (a block ends with a document), and ids between checkpoints.
 BLOCK_IDS = 1 << 18
-SEGMENT_IDS = 1 << 17
+SEGMENT_IDS = 1 << 16
 #: Token ids must lie below this; it bounds the frequency table.
 VOCABULARY = 1 << 17
 
@@ -73,39 +74,58 @@ def scaled(counts: np.ndarray, bits: int = SCALE_BITS) -> np.ndarray:
     return freqs
 
 
-def encode_block(ids: np.ndarray, counts: np.ndarray, doc_ids: list, table: Table) -> bytes:
-    """One block of whole documents; ``counts`` are their numbers of ids."""
-    steps = -(-len(ids) // LANES)
-    per_segment = SEGMENT_IDS // LANES
-    freq, start = table.freq[ids], table.start[ids]
-    state = np.full(LANES, _LOW, np.uint64)
+def _encode_segments(lines: np.ndarray, table: Table, last: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(lane states, words) of each segment; ``lines`` are ids by segment, step and lane, ``last`` how many a lone one holds."""
+    segments, steps, lanes = lines.shape
+    # One line of all lanes a step.
+    lines = np.ascontiguousarray(lines.transpose(1, 0, 2)).reshape(steps, segments * lanes)
+    freq, start = table.freq[lines], table.start[lines]
+    owner_of = np.repeat(np.arange(segments, dtype=np.uint16), lanes)
+    state = np.full(segments * lanes, _LOW, np.uint64)
     room = np.uint64(63 - SCALE_BITS - 32)
-    words, written, marks = [], 0, []
+    words, owners = [], []
     for step in range(steps - 1, -1, -1):
-        a, b = step * LANES, min((step + 1) * LANES, len(ids))
-        f, s, x = freq[a:b], start[a:b], state[: b - a]
-        full = (x >> np.uint64(32)) >= (f << room)
-        if full.any():
+        n = segments * lanes if last is None else min(lanes, last - step * lanes)
+        f, x = freq[step, :n], state[:n]
+        full = np.flatnonzero((x >> np.uint64(32)) >= (f << room))
+        if len(full):
             out = x[full]
-            words.append((out & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-            written += len(out)
-            x = x.copy()
+            words.append(out.astype(np.uint32))
+            owners.append(owner_of[full])
             x[full] = out >> np.uint64(32)
         q = x // f
-        state[: b - a] = (q << np.uint64(SCALE_BITS)) + (x - q * f) + s
-        if step % per_segment == 0:
-            marks.append((state.copy(), written))
-    marks.reverse()
+        x += q * ((np.uint64(1) << np.uint64(SCALE_BITS)) - f) + start[step, :n]
+    state = state.reshape(segments, lanes)
+    # Words are read in the order of steps, each segment from its own place.
+    stream = np.concatenate(words[::-1]) if words else np.zeros(0, np.uint32)
+    owner = np.concatenate(owners[::-1]) if words else np.zeros(0, np.uint16)
+    stream, ends = stream[np.argsort(owner, kind="stable")], np.cumsum(np.bincount(owner, minlength=segments))
+    return [(state[k], stream[ends[k - 1] if k else 0 : ends[k]]) for k in range(segments)]
+
+
+def encode_block(ids: np.ndarray, counts: np.ndarray, doc_ids: list, table: Table) -> bytes:
+    """One block of whole documents; ``counts`` are their numbers of ids."""
+    whole = len(ids) // SEGMENT_IDS
+    cut = whole * SEGMENT_IDS
+    parts = []
+    if whole:
+        parts += _encode_segments(ids[:cut].reshape(whole, -1, LANES), table)
+    if len(ids) > cut:
+        rest = len(ids) - cut
+        line = np.zeros(-(-rest // LANES) * LANES, np.int64)
+        line[:rest] = ids[cut:]
+        parts += _encode_segments(line.reshape(1, -1, LANES), table, rest)
     known = np.array([d is not None for d in doc_ids], np.uint8)
     numbers = np.array([0 if d is None else d for d in doc_ids], np.int64)
     docs = zlib.compress(known.tobytes() + numbers.tobytes() + counts.astype(np.int64).tobytes())
-    body = [docs]
-    for k, (lanes, behind) in enumerate(marks):
+    body, place = [docs], 0
+    for k, (lanes, words) in enumerate(parts):
         segment = ids[k * SEGMENT_IDS : (k + 1) * SEGMENT_IDS].astype("<u4")
-        body += [struct.pack("<QI", written - behind, zlib.crc32(segment.tobytes())), lanes.astype("<u8").tobytes()]
-    body += [w.astype("<u4").tobytes() for w in reversed(words)]
+        body += [struct.pack("<QI", place, zlib.crc32(segment.tobytes())), lanes.astype("<u8").tobytes()]
+        place += len(words)
+    body += [words.astype("<u4").tobytes() for _, words in parts]
     rest = b"".join(body)
-    head = (len(doc_ids), len(ids), LANES, len(marks), len(docs))
+    head = (len(doc_ids), len(ids), LANES, len(parts), len(docs))
     crc = zlib.crc32(struct.pack("<5I", *head) + rest)
     return struct.pack(_HEADER, MAGIC, crc, *head) + rest
 
@@ -131,32 +151,46 @@ class Block:
             at += 12 + 8 * self.lanes
         self.words = np.frombuffer(data, "<u4", -1, at)
 
-    def segment(self, k: int, table: Table) -> np.ndarray:
-        """Ids of segment ``k``, from its checkpoint alone."""
-        place, check, lanes = self.marks[k]
-        state = lanes.astype(np.uint64)
-        first, last = k * SEGMENT_IDS, min((k + 1) * SEGMENT_IDS, self.n_ids)
-        out = np.empty(last - first, np.uint32)
+    def _segments(self, first: int, last: int, table: Table) -> np.ndarray:
+        """Ids of equally long segments ``first`` to ``last`` - 1, all their lanes at once."""
+        marks, size = self.marks[first:last], min((first + 1) * SEGMENT_IDS, self.n_ids) - first * SEGMENT_IDS
+        lanes, steps = self.lanes, -(-size // self.lanes)
+        place = np.array([m[0] for m in marks], np.int64)
+        state = np.concatenate([m[2] for m in marks]).astype(np.uint64)
+        out = np.zeros((steps, len(state)), np.uint32)
         mask = np.uint64((1 << SCALE_BITS) - 1)
-        for a in range(0, last - first, self.lanes):
-            b = min(a + self.lanes, last - first)
-            x = state[: b - a]
+        for step in range(steps):
+            # Only a lone segment may end inside a step.
+            n = len(state) if len(marks) > 1 else min(lanes, size - step * lanes)
+            x = state[:n]
             low = x & mask
             symbols = table.slot[low]
-            out[a:b] = symbols
-            x = table.freq[symbols] * (x >> np.uint64(SCALE_BITS)) + low - table.start[symbols]
-            hungry = x < _LOW
-            n = int(np.count_nonzero(hungry))
-            if n:
-                x[hungry] = (x[hungry] << np.uint64(32)) | self.words[place : place + n].astype(np.uint64)
-                place += n
-            state[: b - a] = x
-        if zlib.crc32(out.astype("<u4").tobytes()) != check:
-            raise ValueError("damaged token segment")
-        return out
+            out[step, :n] = symbols
+            x >>= np.uint64(SCALE_BITS)
+            x *= table.freq[symbols]
+            x += low - table.start[symbols]
+            hungry = np.flatnonzero(x < _LOW)
+            if len(hungry):
+                counts = np.bincount(hungry // lanes, minlength=len(marks))
+                at = np.repeat(place - (np.cumsum(counts) - counts), counts) + np.arange(len(hungry))
+                x[hungry] = (x[hungry] << np.uint64(32)) | self.words[at]
+                place += counts
+        out = out.reshape(steps, len(marks), lanes).transpose(1, 0, 2).reshape(len(marks), -1)[:, :size]
+        for line, mark in zip(out, marks):
+            if zlib.crc32(line.astype("<u4").tobytes()) != mark[1]:
+                raise ValueError("damaged token segment")
+        return out.reshape(-1)
+
+    def segment(self, k: int, table: Table) -> np.ndarray:
+        """Ids of segment ``k``, from its checkpoint alone."""
+        return self._segments(k, k + 1, table)
 
     def ids(self, table: Table) -> np.ndarray:
-        return np.concatenate([self.segment(k, table) for k in range(self.n_segments)] or [np.zeros(0, np.uint32)])
+        whole = self.n_ids // SEGMENT_IDS
+        parts = [self._segments(0, whole, table)] if whole else []
+        if whole < self.n_segments:
+            parts.append(self._segments(whole, self.n_segments, table))
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
 _RAW = "part long, block long, start long, n_docs long, n_tokens long, doc_ids array<long>, counts array<long>, ids binary"
