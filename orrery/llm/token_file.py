@@ -35,7 +35,7 @@ from orrery.llm.common import bytes_array, col, keep
 from orrery.llm.tokens import chunks, default_tokenizer, piece_ids, with_end
 
 SCALE_BITS = 18
-LANES = 1024
+LANES = 512
 #: Ids of a block at least (a block ends with a document), and ids between checkpoints.
 BLOCK_IDS = 1 << 18
 SEGMENT_IDS = 1 << 16
