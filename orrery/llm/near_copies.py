@@ -7,13 +7,17 @@ whatever that order is, so these prefixes find every pair. Shingles that are fre
 bounded sample of documents come last in the order: the sample decides how many candidates
 there are, and never the result.
 
-Equal sets are one node. Documents that share a shingle of their prefixes are a list. The first
-node of a list is compared with the others, then the first one that stayed outside its
-component; what is left are pairs of a list in different components, which are all compared.
-A large group of near copies is thus met once a member, and not by pairs. Candidates of fitting
-sizes and places are compared on their whole sets before anything is linked.
+Equal sets are one node. Nodes that share a shingle of their prefixes are a list, and its first
+node leads it. In each of ``TURNS`` turns a node is compared with one leader, the one it shares
+most lists with, and components are contracted; so a group of m near copies costs m comparisons
+and not its pairs. What is left are pairs of a list whose nodes lie in different components;
+those of fitting sizes and places are all compared. Each comparison is on whole sets.
 
-Null texts are empty; documents without words are one node. An empty table gives no rows.
+For a comparison, the texts of a leader's partners travel to cells of at most ``CELL_TEXTS``,
+once each, and the leader's text once to every cell.
+
+Null texts are empty; documents without words are one node; repeated rows are copies; very long
+texts are shingled whole; an empty table gives no rows; columns of ``docs`` may have any name.
 """
 
 from __future__ import annotations
@@ -25,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from orrery.llm.common import col, each_batch, free_name, keep
+from orrery.llm.common import OUT_ROWS, col, each_batch, free_name, keep, quoted
 from orrery.llm.components import components
 from orrery.llm.tokens import chunks
-from orrery.runtime import scratch_path
+from orrery.runtime import fits_broadcast, scratch_path
 
 SHINGLE = 5
 #: Similarity from which documents are near copies, as a fraction of whole numbers.
@@ -37,12 +41,14 @@ SEED = 42
 #: Documents that tell which shingles are frequent, and of how many of them a frequent one is part.
 ORDER_SAMPLE = 20_000
 FREQUENT = 4
-#: Candidate texts that are found by a broadcast; more are joined.
-BROADCAST_TEXTS = 200_000
+#: Turns in which each node is compared with one leader.
+TURNS = 2
+#: Texts that a cell compares with one.
+CELL_TEXTS = 500
 
 
 class Scratch:
-    """Intermediates that are removed once what follows from them is written, with the shuffles behind them."""
+    """Intermediates that are removed once what follows from them is written."""
 
     def __init__(self, spark):
         self.spark, self.paths = spark, []
@@ -50,7 +56,6 @@ class Scratch:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self.paths.append(scratch_path(self.spark, name))
         df.write.option("compression", "zstd").parquet(self.paths[-1])
-        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(self.paths[-1])
 
     def clear(self) -> None:
@@ -83,15 +88,20 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
 
 
 def frequent_shingles(texts: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of at least ``FREQUENT`` sampled documents, ascending, and their counts."""
-    drawn = texts.withColumn("h", F.xxhash64("k1", F.lit(SEED))).orderBy("h", "k1", "k2").limit(sample)
+    """Shingles of at least ``FREQUENT`` sampled documents, ascending, and their counts.
+
+    About ``sample`` documents are drawn, those whose hash lies below a threshold, wherever they are.
+    """
+    span = 1 << 32
+    share = sample / max(1, texts.count())
+    drawn = texts.filter(F.pmod(F.xxhash64("k1", F.lit(SEED)), F.lit(span)) < F.lit(int(min(1.0, share) * span)))
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in chunks(batch, "text"):
             sets = [shingles(t.as_py()) for t in part["text"]]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["token"])
 
-    counts = drawn.select("text").repartition(16).mapInArrow(each_batch(each), "token long").groupBy("token").count().filter(F.col("count") >= FREQUENT)
+    counts = drawn.select("text").mapInArrow(each_batch(each), "token long").groupBy("token").count().filter(F.col("count") >= FREQUENT)
     table = counts.toArrow()
     tokens, n = table["token"].to_numpy().view(np.uint64), table["count"].to_numpy()
     order = np.argsort(tokens)
@@ -128,35 +138,66 @@ def _prefixes(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Dat
     return texts.mapInArrow(each_batch(each), "k1 long, k2 long, node long, n long, prefix array<long>")
 
 
-def _alike(pairs: DataFrame, keys: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets reach the threshold; ``keys`` has a text (k1, k2) of each node."""
-    asked = scratch.keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(keys, "node"), "asked-nodes")
-    some = F.broadcast(asked) if asked.count() <= BROADCAST_TEXTS else asked
-    # Texts travel, since they compress and hashes do not. Copies of a text give the same set.
-    told = scratch.keep(texts.join(some, ["k1", "k2"]).select("node", "text").dropDuplicates(["node"]), "asked-texts")
-
-    def compare(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        good, last, x = np.zeros(batch.num_rows, bool), None, None
-        for i, a in enumerate(batch["a"].to_pylist()):
-            if a != last:
-                last, x = a, shingles(batch["text_a"][i].as_py())
-            y = shingles(batch["text_b"][i].as_py())
+def _texts_of(nodes: DataFrame, rows: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, text) of the given nodes; copies of a text give the same set, so any will do."""
+    keys = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("node", "k.k1", "k.k2")
+    keys = scratch.keep(keys, "asked-nodes")
+    some = F.broadcast(keys) if fits_broadcast(keys) else keys
+    return scratch.keep(texts.join(some, ["k1", "k2"]).select("node", "text").dropDuplicates(["node"]), "asked-texts")
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of cells, each cell led by its leader's text: the pairs that reach the threshold."""
+    cell = x = None
+    for batch in batches:
+        found = []
+        for a, part, leads, node, text in zip(*[batch[c].to_pylist() for c in ("a", "part", "leads", "node", "text")]):
+            if (a, part) != cell:
+                if not leads:
+                    raise ValueError("a cell without its leader")
+                cell, x = (a, part), shingles(text)
+                continue
+            y = shingles(text)
             both = len(np.intersect1d(x, y, assume_unique=True))
-            good[i] = SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both)
-        yield batch.select(["a", "b"]).filter(pa.array(good))
-
-    both = pairs.join(told.withColumnsRenamed({"node": "b", "text": "text_b"}), "b").join(told.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
-    return keep(both.select("a", "b", "text_a", "text_b").mapInArrow(each_batch(compare), "a long, b long"), "similar-pairs")
+            if SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both):
+                found.append((a, node))
+        for at in range(0, len(found), OUT_ROWS):
+            one, other = zip(*found[at : at + OUT_ROWS])
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(other, pa.int64())], names=["a", "b"])
+
+
+def _alike(pairs: DataFrame, rows: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """The distinct pairs (a, b) of nodes whose whole sets reach the threshold."""
+    told = _texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), rows, texts, scratch)
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / CELL_TEXTS).cast("int").alias("parts"))
+    few = F.broadcast(sizes) if fits_broadcast(sizes) else sizes
+    dealt = pairs.join(few, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("node"))
+    leaders = dealt.select("a", "part").distinct().select("a", "part", F.lit(True).alias("leads"), F.col("a").alias("node"))
+    cells = leaders.union(dealt.select("a", "part", F.lit(False), "node")).join(told, "node")
+    # A leader sorts before its partners.
+    ordered = cells.repartition("a", "part").sortWithinPartitions("a", "part", F.desc("leads")).select("a", "part", "leads", "node", "text")
+    return keep(ordered.mapInArrow(_compared, "a long, b long"), "similar-pairs")
 
 
 def _with_components(lists: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
-    """``lists`` with the component of each node, without lists that lie in one component."""
+    """``lists`` with the component of each node, without lists that lie in one component.
+
+    ``main`` is the first node of a list and ``main_comp`` its component.
+    """
     roots = components(links)
-    named = lists.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    some = F.broadcast(roots) if fits_broadcast(roots) else roots
+    named = lists.join(some, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     named = scratch.keep(named, "list-components")
-    mixed = named.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("node").alias("main")).filter("x <> y")
-    main = named.select("token", F.col("node").alias("main"), F.col("comp").alias("main_comp"))
-    return scratch.keep(named.join(mixed.select("token", "main").join(main, ["token", "main"]).drop("main"), "token"), "mixed-lists")
+    mixed = named.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min(F.struct("node", "comp")).alias("first")).filter("x <> y")
+    return scratch.keep(named.join(mixed.select("token", F.col("first.node").alias("main"), F.col("first.comp").alias("main_comp")), "token"), "mixed-lists")
+
+
+def _leaders(mixed: DataFrame, asked: DataFrame) -> DataFrame:
+    """(a, b): each node and the leader, of another component, with which it shares most lists and has not been compared."""
+    shared = mixed.filter("comp <> main_comp").groupBy("main", "node").agg(F.count("*").alias("n"))
+    shared = shared.join(asked.withColumnsRenamed({"a": "main", "b": "node"}), ["main", "node"], "left_anti")
+    best = shared.groupBy("node").agg(F.max_by("main", F.struct("n", -F.col("main"))).alias("main"))
+    return best.select(F.col("main").alias("a"), F.col("node").alias("b"))
 
 
 def _candidates(one: DataFrame, many: DataFrame) -> DataFrame:
@@ -172,43 +213,73 @@ def _candidates(one: DataFrame, many: DataFrame) -> DataFrame:
 
 
 def near_copy_groups(docs: DataFrame, text: str = "text", sample: int = ORDER_SAMPLE) -> DataFrame:
-    """(k1, k2, group) of every distinct text: texts linked by similarity share a group."""
+    """(k1, k2, group) of the texts that share a group with another text; k1 and k2 are hashes of the text."""
+    spark = docs.sparkSession
     texts = _keyed(docs, text)
-    whole, turns = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
+    whole, turns = Scratch(spark), Scratch(spark)
     rows = whole.keep(_prefixes(texts, *frequent_shingles(texts, sample)), "shingle-prefixes")
-    nodes = rows.dropDuplicates(["node"])
-    postings = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = postings.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x <> y").select("token")
-    shared = whole.keep(shared, "shared-shingles")
-    lists = whole.keep(postings.join(shared, "token"), "prefix-lists")
-    keys = rows.groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("node", "k.k1", "k.k2")
-
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
-    for turn in range(3):
+    nodes = rows.select("node", "n", "prefix").dropDuplicates(["node"])
+    postings = nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    # One shuffle finds the shingles that several nodes share.
+    size = F.count("*").over(Window.partitionBy("token"))
+    lists = whole.keep(postings.withColumn("size", size).filter("size > 1").drop("size"), "prefix-lists")
+
+    links = asked = spark.createDataFrame([], "a long, b long")
+    for turn in range(TURNS + 1):
         mixed = _with_components(lists, links, turns)
-        outside = mixed.filter("comp <> main_comp")
-        if turn < 2:
-            least = mixed if turn == 0 else outside
-            first = least.groupBy("token").agg(F.min("node").alias("node"))
-            one = mixed.join(first, ["token", "node"])
+        if turn < TURNS:
+            pairs = turns.keep(_leaders(mixed, asked), "leaders")
+            asked = asked.union(whole.keep(pairs, "asked-pairs"))
         else:
-            one = outside
-        pairs = turns.keep(_candidates(one, mixed), "candidate-pairs")
-        links = links.union(_alike(pairs, keys, texts, turns))
+            pairs = turns.keep(_candidates(mixed.filter("comp <> main_comp"), mixed), "candidate-pairs")
+        links = links.union(_alike(pairs, rows, texts, turns))
         turns.clear()
-    named = rows.select("k1", "k2", "node").distinct().join(components(links), "node", "left")
+    roots = components(links)
+    varied = rows.groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("x"), F.max(F.struct("k1", "k2")).alias("y")).filter("x <> y").select("node")
+    members = varied.union(roots.select("node")).union(roots.select("root")).distinct().join(roots, "node", "left")
+    named = rows.select("k1", "k2", "node").distinct().join(members, "node")
     groups = keep(named.select("k1", "k2", F.coalesce("root", "node").alias("group")), "near-copy-groups")
     whole.clear()
     return groups
 
 
 def near_copies_removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs``, one of each group: the first by id (null ids last), then by text."""
+    """Rows of ``docs``, one of each group: the first by id (null ids last), then by text.
+
+    Only keys are grouped. Rows that go, and equal keys of which one row stays, are joined back
+    to the documents, by broadcast where they measure small.
+    """
     groups = near_copy_groups(docs, text)
-    names = {n: free_name(docs, n) for n in ("k1", "k2", "group", "place")}
-    groups = groups.withColumnsRenamed(names)
     given = F.coalesce(col(text), F.lit(""))
-    keyed = docs.withColumn(names["k1"], F.xxhash64(given)).withColumn(names["k2"], F.xxhash64(given, F.lit(SEED)))
-    order = Window.partitionBy(names["group"]).orderBy(col(doc_id).asc_nulls_last(), col(text))
-    placed = keyed.join(groups, [names["k1"], names["k2"]]).withColumn(names["place"], F.row_number().over(order))
-    return placed.filter(F.col(names["place"]) == 1).select(*[col(c) for c in docs.columns])
+    hashes = {"k1": F.xxhash64(given), "k2": F.xxhash64(given, F.lit(SEED))}
+    light = docs.select(col(doc_id).alias("id"), *[h.alias(n) for n, h in hashes.items()])
+    light = keep(light.groupBy("id", "k1", "k2").agg(F.count("*").alias("n")), "near-copy-keys")
+    some = F.broadcast(groups) if fits_broadcast(groups) else groups
+    named = light.join(some, ["k1", "k2"], "left")
+    # A text that shares no group with another text is a group by itself.
+    keys = {"g1": F.coalesce("group", "k1"), "g2": F.when(F.col("group").isNull(), F.col("k2")).otherwise(F.lit(0))}
+    named = named.withColumns({**keys, "own": F.col("group").isNull()})
+    order = F.struct(F.col("id").isNull().alias("absent"), "id")
+    first = named.groupBy("own", "g1", "g2").agg(F.min(order).alias("first"), F.sum("n").alias("rows")).filter("rows > 1").drop("rows")
+    few = F.broadcast(first) if fits_broadcast(first) else first
+    met = named.join(few, ["own", "g1", "g2"])
+    # Rows of the first id stay for now: several only if the id repeats in the group.
+    marked = met.select("id", "k1", "k2", "own", "g1", "g2", "n", order.eqNullSafe(F.col("first")).alias("stays"))
+    marked = keep(marked, "near-copy-marks")
+    again = marked.filter("stays").groupBy("own", "g1", "g2").agg(F.sum("n").alias("rows")).filter("rows > 1").select("own", "g1", "g2")
+    unclear = marked.filter("stays").join(again, ["own", "g1", "g2"]).select("id", "k1", "k2", "own", "g1", "g2", F.lit(True).alias("unclear"))
+    gone = marked.filter("not stays").select("id", "k1", "k2", "own", "g1", "g2", F.lit(False).alias("unclear"))
+    marks = keep(gone.union(unclear), "near-copy-marks")
+    names = {n: free_name(docs, n) for n in ("k1", "k2", "id", "own", "g1", "g2", "unclear", "place")}
+    marks = marks.withColumnsRenamed(names)
+    small = F.broadcast(marks) if fits_broadcast(marks) else marks
+    keyed = docs.withColumns({names[n]: h for n, h in hashes.items()})
+    same = [keyed[quoted(names[n])] == small[quoted(names[n])] for n in ("k1", "k2")]
+    joined = keyed.join(small, [*same, keyed[quoted(doc_id)].eqNullSafe(small[quoted(names["id"])])], "left")
+    columns = [keyed[quoted(c)] for c in docs.columns]
+    flagged = joined.select(*columns, *[small[quoted(names[n])] for n in ("own", "g1", "g2", "unclear")])
+    clear = flagged.filter(col(names["unclear"]).isNull())
+    place = F.row_number().over(Window.partitionBy(*[col(names[n]) for n in ("own", "g1", "g2")]).orderBy(col(text)))
+    one = flagged.filter(col(names["unclear"])).withColumn(names["place"], place).filter(col(names["place"]) == 1)
+    kept = [col(c) for c in docs.columns]
+    return clear.select(*kept).union(one.select(*kept))

@@ -53,3 +53,27 @@ def test_stage_keeps_one_of_each_group_of_similar_documents(spark, texts, monkey
     assert kept.columns == docs.columns
     got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
     assert got == first_rows(rows) and len(got) < len(rows) - 60
+
+
+def test_empty_tables_and_repeated_ids(spark):
+    from orrery.llm import near_copies
+
+    schema = "doc_id long, text string, own string, unclear string"
+    assert near_copies.near_copies_removed(spark.createDataFrame([], schema)).collect() == []
+    long = " ".join(words_of(5, 60_000))
+    rows = [(1, "a b c"), (1, "A  b c"), (1, "other"), (None, "a b C"), (2, long), (3, long + " end"), (3, long), (None, None), (None, ""), (4, ""), (5, "x"), (5, "x")]
+    docs = spark.createDataFrame([(i, t, "o", None) for i, t in rows], schema).repartition(3)
+    out = near_copies.near_copies_removed(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(1, "A  b c"), (1, "other"), (2, long), (4, ""), (5, "x")], key=str)
+
+
+def test_cells_and_joins_change_nothing(spark, monkeypatch):
+    from orrery.llm import near_copies
+
+    base = words_of(31, 150)
+    rows = [(i, edited(base, 0.002 * (i % 9), i)) for i in range(90)] + [(200 + i, " ".join(words_of(i, 50))) for i in range(9)]
+    monkeypatch.setattr(near_copies, "CELL_TEXTS", 4)
+    monkeypatch.setattr(near_copies, "fits_broadcast", lambda df: False)
+    got = sorted(((r.doc_id, r.text) for r in near_copies.near_copies_removed(frame(spark, rows)).collect()), key=str)
+    assert got == first_rows(rows)
