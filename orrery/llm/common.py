@@ -23,6 +23,19 @@ def keep(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(rows: DataFrame, count: int, most: int, *columns: str) -> DataFrame:
+    """At most ``most`` of the ``count`` rows, those whose hash of ``columns`` is smallest; equal rows are one.
+
+    Ordering alone would have every partition hand over ``most`` rows, so a threshold on the
+    hash first leaves little more than that in all partitions together.
+    """
+    span = 1 << 32
+    place = F.pmod(F.xxhash64(*[col(c) for c in columns], F.lit(most)), F.lit(span))
+    bound = int(min(1.0, 1.1 * most / max(1, count)) * span)
+    near = rows.withColumn("sample_place", place).filter(F.col("sample_place") < F.lit(bound))
+    return near.dropDuplicates(["sample_place"]).orderBy("sample_place").limit(most).drop("sample_place")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or a variant of it that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

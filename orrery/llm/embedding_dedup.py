@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from orrery.llm.common import col, each_batch, keep
+from orrery.llm.common import col, each_batch, hash_sample, keep
 from orrery.llm.components import Forest, components, split_shards
 from orrery.llm.vectors import finite, matrix, unit
 
@@ -121,8 +121,8 @@ def embedding_groups(rows: DataFrame, threshold: float = THRESHOLD, vec_id: str
     classes = keep(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     shape = classes.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
     count, width = shape["n"], shape["width"] or 1
-    drawn = classes.select("vector", F.xxhash64("vector", "label").alias("h")).orderBy("h").limit(TREE_SAMPLE)
-    sample = [r[0] for r in drawn.collect()]
+    drawn = hash_sample(classes.select("vector", "label"), count, TREE_SAMPLE, "vector", "label")
+    sample = [r["vector"] for r in drawn.collect()]
     points = np.zeros((len(sample), width))
     for i, v in enumerate(sample):
         points[i, : len(v)] = v

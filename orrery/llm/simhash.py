@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from orrery.llm.common import col, each_batch, free_name, keep
+from orrery.llm.common import col, each_batch, free_name, hash_sample, keep
 from orrery.llm.components import Forest, components, split_shards
 
 BITS = 64
@@ -150,7 +150,7 @@ def leaf_links(fps: np.ndarray, member: np.ndarray, first: np.ndarray | None, ra
 def near_pairs(fps: DataFrame, radius: int = RADIUS, leaf: int = LEAF, cell: int = CELL, sample: int = TREE_SAMPLE) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp) that give their components."""
     count = fps.count()
-    drawn = fps.select("fp", F.xxhash64("fp").alias("h")).orderBy("h", "fp").limit(sample).collect()
+    drawn = hash_sample(fps.select("fp"), count, sample, "fp").collect()
     values = np.array([r[0] for r in drawn], np.int64).view(np.uint64)
     block_radius, width = radius // BLOCKS, BITS // BLOCKS
     mask = np.uint64((1 << width) - 1)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from orrery.llm.common import col, each_batch, keep
+from orrery.llm.common import col, each_batch, hash_sample, keep
 from orrery.llm.vectors import finite, matrix
 
 PIVOTS = 256
@@ -123,7 +123,7 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id
     asked = keep(whole(queries).distinct().withColumn("query", F.monotonically_increasing_id()), "queries")
     asked_shape = asked.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
     width = max(shape["width"] or 1, asked_shape["width"] or 1, 1)
-    drawn = rows.select("vector", F.xxhash64("id", "vector").alias("h")).orderBy("h").limit(PIVOT_SAMPLE).collect()
+    drawn = hash_sample(rows.select("vector", "id"), shape["n"], PIVOT_SAMPLE, "id", "vector").collect()
     sample = np.zeros((len(drawn), width))
     for i, r in enumerate(drawn):
         sample[i, : len(r[0])] = r[0]
