@@ -47,9 +47,10 @@ def rates(docs: DataFrame, weights: Mapping[str | None, float] | None = None, ex
     if weights is None:
         weight = F.pow(F.col("size").cast("double"), F.lit(float(exponent)))
     else:
-        weight = F.lit(0.0)
-        for name, w in weights.items():
-            weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(weight)
+        pairs = [F.lit(v) for name, w in weights.items() if name is not None for v in (name, float(w))]
+        known = F.try_element_at(F.create_map(*pairs), F.col("source")) if pairs else F.lit(None).cast("double")
+        absent = F.when(F.col("source").isNull(), F.lit(float(weights.get(None, 0.0))))
+        weight = F.coalesce(absent, known, F.lit(0.0))
     sizes = keep(sizes.withColumn("weight", weight), "source-sizes")
     total = sizes.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()
     target = epochs * float(total["size"] or 0)
