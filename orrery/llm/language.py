@@ -85,6 +85,35 @@ def cut_windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return sliding_window_view(data, WINDOW)[np.repeat(starts, counts) + inside * stride], counts
 
 
+def filter_mask() -> np.ndarray:
+    """1 where a filter has a weight: narrow ones end before the widest."""
+    widest = max(WIDTHS)
+    return np.concatenate([np.repeat((np.arange(widest * EMBEDDING) < w * EMBEDDING)[:, None], FILTERS, 1) for w in WIDTHS], axis=1).astype(np.float32)
+
+
+def gradients(net: ByteNet, batch: np.ndarray, target: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean cross-entropy of a batch of windows, by each weight of the net."""
+    each = np.arange(len(batch))
+    columns = net.columns(batch)
+    response = net.pooled(columns)
+    at = response.argmax(axis=1)  # batch x filters
+    top = np.take_along_axis(response, at[:, None, :], axis=1)[:, 0] + net.bias
+    hidden = np.maximum(top, 0)
+    error = softmax(hidden @ net.out + net.out_bias)
+    error[each, target] -= 1
+    error /= len(batch)
+    back = (error @ net.out.T) * (top > 0)
+    rows = columns[each[:, None], at]  # batch x filters x inputs
+    to_rows = back[:, :, None] * net.filters.T[None]  # batch x filters x inputs
+    embedding = np.zeros_like(net.embedding)
+    for j in range(max(WIDTHS)):
+        np.add.at(embedding, batch[each[:, None], at + j], to_rows[:, :, j * EMBEDDING : (j + 1) * EMBEDDING])
+    return {
+        "out": hidden.T @ error, "out_bias": error.sum(axis=0), "bias": back.sum(axis=0),
+        "filters": np.einsum("bfi,bf->if", rows, back) * mask, "embedding": embedding,
+    }
+
+
 def train(texts: list[bytes], labels: list[str], seed: int = SEED, steps: int = STEPS) -> ByteNet | None:
     """Adam on cross-entropy, with one random window of each text of a batch; None without texts."""
     languages = sorted(set(labels))
@@ -95,7 +124,7 @@ def train(texts: list[bytes], labels: list[str], seed: int = SEED, steps: int =
     windows, counts = cut_windows(texts)
     firsts = np.cumsum(counts) - counts
     widest, n_filters = max(WIDTHS), FILTERS * len(WIDTHS)
-    mask = np.concatenate([np.repeat((np.arange(widest * EMBEDDING) < w * EMBEDDING)[:, None], FILTERS, 1) for w in WIDTHS], axis=1).astype(np.float32)
+    mask = filter_mask()
     params = {
         "embedding": rng.normal(0, 0.5, (256, EMBEDDING)), "filters": rng.normal(0, 0.3, (widest * EMBEDDING, n_filters)) * mask,
         "bias": np.zeros(n_filters), "out": rng.normal(0, 0.3, (n_filters, len(languages))), "out_bias": np.zeros(len(languages)),
@@ -109,26 +138,7 @@ def train(texts: list[bytes], labels: list[str], seed: int = SEED, steps: int =
         # Languages alternate, so a rare one weighs as much as a frequent one.
         picked = np.array([rng.choice(by_language[c]) for c in rng.integers(0, len(languages), BATCH)])
         batch = windows[firsts[picked] + rng.integers(0, counts[picked])]
-        columns = net.columns(batch)
-        response = net.pooled(columns)
-        at = response.argmax(axis=1)  # batch x filters
-        top = np.take_along_axis(response, at[:, None, :], axis=1)[:, 0] + net.bias
-        hidden = np.maximum(top, 0)
-        error = softmax(hidden @ net.out + net.out_bias)
-        error[np.arange(BATCH), y[picked]] -= 1
-        error /= BATCH
-        back = (error @ net.out.T) * (top > 0)
-        rows = columns[np.arange(BATCH)[:, None], at]  # batch x filters x inputs
-        grads = {
-            "out": hidden.T @ error, "out_bias": error.sum(axis=0), "bias": back.sum(axis=0),
-            "filters": np.einsum("bfi,bf->if", rows, back) * mask,
-        }
-        to_rows = back[:, :, None] * net.filters.T[None]  # batch x filters x inputs
-        g = np.zeros_like(net.embedding)
-        for j in range(widest):
-            bytes_at = batch[np.arange(BATCH)[:, None], at + j]
-            np.add.at(g, bytes_at, to_rows[:, :, j * EMBEDDING : (j + 1) * EMBEDDING])
-        grads["embedding"] = g
+        grads = gradients(net, batch, y[picked], mask)
         rate = 0.02 * (1 - step / (steps + 1))
         for k, grad in grads.items():
             first_moment[k] = 0.9 * first_moment[k] + 0.1 * grad
@@ -151,10 +161,10 @@ def fit_language(docs: DataFrame, text: str = "text", lang: str = "lang", per_la
     sizes = usable.select("lang", "h").distinct().groupBy("lang").count().limit(LANGUAGES + 1).collect()
     if len(sizes) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    share = F.lit(0.0)
-    for name, n in sizes:
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, per_language / n))).otherwise(share)
-    drawn = usable.filter(F.pmod("h", F.lit(1_000_003)) < share * 1_000_003)
+    # One row a language, hence a bounded broadcast.
+    kind = usable.schema["lang"].dataType.simpleString()
+    shares = docs.sparkSession.createDataFrame([(name, min(1.0, per_language / n)) for name, n in sizes], f"lang {kind}, share double")
+    drawn = usable.join(F.broadcast(shares), "lang").filter(F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003)
     room = F.greatest(F.length("text") - STRETCH, F.lit(0)) + 1
     start = (F.pmod(F.shiftright("h", 20), room) + 1).cast("int")
     # The draw is by hash, hence about per_language a language.
