@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orrery.operators import clean, clustering, encode, images, metrics, networks, rows, supervised
+from orrery.operators import clean, clustering, encode, images, metrics, networks, rows, supervised, wide_clustering
 from orrery.operators.clustering import KMeansConfig
 from orrery.plans import derived_inputs, health_clustering, supervised_training
 from orrery.plans.health_view import health_view
@@ -293,6 +293,67 @@ def kmeans_weighted(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Fixed first centres of ``kmeans_wide_steps``: (part, quantity, discount in percent).
+_WIDE_START = [("1", 10.0, 2.0), ("2", 25.0, 5.0), ("3", 40.0, 8.0)]
+
+
+def _turn_sql(n: int, previous: str) -> str:
+    """CTEs of one turn: rows to their nearest centre, then shares, means and squared norms."""
+    return f"""
+, near{n} AS (
+  SELECT id, part, q, d, cluster FROM (
+    SELECT r.*, m.cluster, row_number() OVER (PARTITION BY r.id ORDER BY
+      (r.q - m.q) * (r.q - m.q) + (r.d - m.d) * (r.d - m.d) + 5 * (1 + m.norm - 2 * coalesce(s.share, 0)), m.cluster) AS place
+    FROM rows_ r CROSS JOIN means{previous} m LEFT JOIN shares{previous} s ON s.part = r.part AND s.cluster = m.cluster)
+  WHERE place = 1
+), sizes{n} AS (SELECT cluster, count(*) AS n, avg(q) AS q, avg(d) AS d FROM near{n} GROUP BY cluster
+), shares{n} AS (
+  SELECT cluster, part, count(*) / any_value(z.n) AS share FROM near{n} JOIN sizes{n} z USING (cluster) GROUP BY cluster, part
+), means{n} AS (
+  SELECT cluster, any_value(z.q) AS q, any_value(z.d) AS d, sum(share * share) AS norm
+  FROM shares{n} JOIN sizes{n} z USING (cluster) GROUP BY cluster
+)"""
+
+
+@query("kmeans_wide_steps", """
+WITH rows_ AS (
+  SELECT row_number() OVER () AS id, CAST(l_partkey AS VARCHAR) AS part, CAST(l_quantity AS DOUBLE) AS q,
+         round(CAST(l_discount AS DOUBLE) * 100) AS d FROM lineitem WHERE l_partkey IS NOT NULL
+), means0(cluster, q, d, norm) AS (VALUES """ + ", ".join(
+    f"({i}, CAST({q} AS DOUBLE), CAST({d} AS DOUBLE), 1.0::DOUBLE)" for i, (_, q, d) in enumerate(_WIDE_START)) + """
+), shares0(cluster, part, share) AS (VALUES """ + ", ".join(f"({i}, '{p}', 1.0::DOUBLE)" for i, (p, _, _) in enumerate(_WIDE_START)) + """
+)""" + _turn_sql(1, "0") + _turn_sql(2, "1") + """
+, ranks AS (SELECT part, row_number() OVER (ORDER BY count(*) DESC, part) - 1 AS slot FROM rows_ GROUP BY part)
+SELECT CAST(cluster AS INTEGER) AS cluster, slot, round(share * sqrt(5), 6) AS value FROM shares2 JOIN ranks USING (part)
+UNION ALL SELECT CAST(cluster AS INTEGER), (SELECT count(*) FROM ranks), round(q, 6) FROM means2
+UNION ALL SELECT CAST(cluster AS INTEGER), (SELECT count(*) FROM ranks) + 1, round(d, 6) FROM means2""")
+def kmeans_wide_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """Two turns from given centres over all line items, with the part as category: every set slot of every centre."""
+    source = table(spark, folder, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("part"), F.col("l_quantity").cast("double").alias("q"),
+        F.round(F.col("l_discount").cast("double") * 100).alias("d"),
+    )
+    cfg = KMeansConfig(k=len(_WIDE_START), max_iter=2, category="part", numeric=["q", "d"])
+    fitted = wide_clustering.fit_wide(source, cfg, [(p, [q, d]) for p, q, d in _WIDE_START], tol=0.0)
+    return wide_clustering.wide_center_rows(fitted).withColumn("value", F.round("value", 6))
+
+
+@query("kmeans_wide_groups", """
+SELECT row_number() OVER (ORDER BY l_suppkey % 3) AS place, count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_categories,
+       round(avg(1000 * (l_suppkey % 3) + CAST(l_quantity AS DOUBLE)), 6) AS mean
+FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_suppkey % 3""")
+def kmeans_wide_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Three groups far apart, with the order as category: drawn centres end as the groups' means."""
+    number = 1000 * (F.col("l_suppkey") % 3) + F.col("l_quantity").cast("double")
+    source = table(spark, folder, "lineitem").select("l_orderkey", number.alias("x"))
+    fitted = wide_clustering.fit_wide(source, KMeansConfig.unweighted(k=3, category="l_orderkey", numeric=["x"]))
+    held = {r["cluster"]: r["count"] for r in fitted.shares.groupBy("cluster").count().collect()}
+    order = sorted(range(len(fitted.centers)), key=lambda i: fitted.centers[i])
+    rows_ = [(n + 1, fitted.sizes[i], held[i], fitted.centers[i][0]) for n, i in enumerate(order)]
+    found = spark.createDataFrame(rows_, "place bigint, n_rows bigint, n_categories bigint, mean double")
+    return found.withColumn("mean", F.round("mean", 6))
+
+
 @query("kmeans_infer_rows", """
 SELECT *, true AS is_nearest FROM (VALUES """ + ", ".join(f"('{m}', {n}::BIGINT, {n + 7}::BIGINT, {n + 5}::BIGINT)" for m, n in clustering.PROBES) + """)
 AS t(measure_name, value, lower_ci, upper_ci)""")

@@ -106,6 +106,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch copy that nothing reads any more; a path that is not there is fine."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove the scratch copies of this application; tables read from them are gone then."""
     root = spark.conf.get("spark.checkpoint.dir", None)
