@@ -74,7 +74,7 @@ def test_a_shuffled_join_gives_the_same_centres(spark, sample, monkeypatch):
 
 def test_cost_is_near_that_of_the_built_in_trainer(spark, data):
     health = health_view(spark, data).cache()
-    cfg = KMeansConfig.unweighted(weight=5, max_iter=50)
+    cfg = KMeansConfig.unweighted(weight=5, max_iter=12)
     built_in = clustering.fit_kmeans(health, cfg)
     ours = fit_wide(health, cfg)
     assert ours.cost <= 1.15 * built_in.model.summary.trainingCost
