@@ -7,7 +7,10 @@ bound, and copies of the query go only to cells whose upper bound reaches it. Ce
 solved locally and the local results merged, so the result is exact.
 
 Pivots come from a bounded sample and decide cells only. A cell of over ``PART_ROWS`` rows is
-dealt to parts, queries to blocks, so a task holds a bounded part and a bounded block.
+dealt to parts, queries to blocks, so a task holds a bounded part and a bounded block. Queries
+of a block start in the same or neighbouring cells, and a cell's rows go only to the blocks
+that hold a copy for it. Where the bounds prune nothing, as in random vectors of many
+dimensions, that is every block, and rows sent grow with data rows times blocks.
 
 Vectors are integers floor(256 * x). Null vectors, vectors that hold null or non-finite
 components and rows with a null id take no part; shorter vectors count as filled up with
@@ -25,6 +28,7 @@ from pyspark.sql.window import Window
 
 from orrery.llm.common import col, each_batch, hash_sample, keep
 from orrery.llm.vectors import finite, matrix
+from orrery.operators.joins import lookup_join
 
 PIVOTS = 256
 PIVOT_SAMPLE = 10_000
@@ -68,6 +72,27 @@ def nearest(rows: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return near, np.sqrt(((rows - pivots[near]) ** 2).sum(axis=1))
 
 
+def lay_blocks(pivots: np.ndarray, asked: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each cell the first block and the number of blocks of the queries that start in it.
+
+    Cells follow each other along the direction of the pivot farthest from the middle and share
+    a block while it has room; a cell with more than ``size`` queries has blocks of its own.
+    """
+    away = pivots - pivots.mean(axis=0) if len(pivots) else pivots
+    along = away @ away[np.argmax((away * away).sum(axis=1))] if len(pivots) else np.zeros(0)
+    base, count = np.zeros(len(pivots), np.int64), np.ones(len(pivots), np.int64)
+    block = held = 0
+    for c in np.argsort(along, kind="stable").tolist():
+        if held and held + asked[c] > size:
+            block, held = block + 1, 0
+        base[c], count[c] = block, max(1, -(-int(asked[c]) // size))
+        if count[c] > 1:
+            block += int(count[c])
+        else:
+            held += int(asked[c])
+    return base, count
+
+
 def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Exact inner products of whole numbers, as longs."""
     if not queries.size or not rows.size:
@@ -97,6 +122,10 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.n
                 yield i, int(ids[others[j]]), int(line[j])
 
 
+def _first_cell(queries: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.argmax(queries @ pivots.T, axis=1).astype(np.int64)
+
+
 def _solve(width: int, k: int):
     def run(data: pa.Table, asked: pa.Table) -> pa.Table:
         out = []
@@ -142,54 +171,69 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id
     sizes = np.array([summary[c][0] for c in numbers.tolist()], np.int64)
     radii = np.array([summary[c][1] for c in numbers.tolist()])
     parts = -(-sizes // PART_ROWS)
-    blocks = max(1, -(-asked_shape["n"] // QUERY_ROWS))
-    bounds = spark.sparkContext.broadcast((points[numbers] if len(numbers) else points, numbers, sizes, radii, parts))
+    middles = points[numbers] if len(numbers) else points
+    starts = spark.sparkContext.broadcast(middles)
+
+    def start(batch: pa.RecordBatch):
+        if batch.num_rows and len(starts.value):
+            yield pa.RecordBatch.from_arrays([pa.array(_first_cell(matrix(batch["vector"], width), starts.value))], names=["place"])
+
+    # One row per pivot.
+    begun = asked.select("vector").mapInArrow(each_batch(start), "place long").groupBy("place").count().collect()
+    load = np.zeros(len(middles), np.int64)
+    for r in begun:
+        load[r["place"]] = r["count"]
+    bounds = spark.sparkContext.broadcast((middles, numbers, sizes, radii, parts, *lay_blocks(middles, load, QUERY_ROWS)))
 
     def reach(batch: pa.RecordBatch):
-        """Cells that a query needs by the summaries: (.., cell, part, upper bound, first)."""
-        pivots, numbers, sizes, radii, parts = bounds.value
+        """Cells that a query needs by the summaries: (.., cell, part, upper bound, first, block)."""
+        pivots, numbers, sizes, radii, parts, base, spread = bounds.value
         if not batch.num_rows or not len(numbers):
             return
         q = matrix(batch["vector"], width)
         middle, swing = q @ pivots.T, np.sqrt((q * q).sum(axis=1))[:, None] * radii[None, :]
         loose = SLACK * (np.abs(middle) + swing + 1)
         low, high = middle - swing - loose, middle + swing + loose
-        own = batch["own"].to_numpy()
+        own, begin = batch["own"].to_numpy(), _first_cell(q, pivots)
+        block = base[begin] + batch["query"].to_numpy() % spread[begin]
         for i in range(len(q)):
             order = np.argsort(-low[i])
             # k others besides the rows of the query's own id stand at or above this bound.
             enough = int(np.searchsorted(np.cumsum(sizes[order]), k + own[i]))
             bound = low[i, order[enough]] if enough < len(order) else -np.inf
-            first = int(np.argmax(middle[i]))
+            first = int(begin[i])
             need = np.flatnonzero((high[i] >= bound) | (np.arange(len(numbers)) == first))
             copies = np.repeat(need, parts[need])
             part = np.arange(len(copies)) - np.repeat(np.cumsum(parts[need]) - parts[need], parts[need])
             take = pa.array(np.full(len(copies), i))
             yield pa.RecordBatch.from_arrays(
-                [*[batch[c].take(take) for c in ("query_id", "vector", "query")], pa.array(numbers[copies]), pa.array(part.astype(np.int64)), pa.array(high[i, copies]), pa.array(copies == first)],
-                names=["query_id", "vector", "query", "cell", "part", "high", "first"],
+                [*[batch[c].take(take) for c in ("query_id", "vector", "query")], pa.array(numbers[copies]), pa.array(part.astype(np.int64)), pa.array(high[i, copies]), pa.array(copies == first), pa.array(np.full(len(copies), block[i]))],
+                names=["query_id", "vector", "query", "cell", "part", "high", "first", "block"],
             )
 
     # Rows with a query's own id fill cells and answer it nowhere.
     repeated = cells.groupBy("id").agg(F.count("*").alias("own")).filter("own > 1")
     named = asked.join(repeated, "id", "left").select(F.col("id").alias("query_id"), "vector", "query", F.coalesce("own", F.lit(1)).alias("own"))
-    needed = named.mapInArrow(each_batch(reach), "query_id long, vector array<double>, query long, cell long, part long, high double, first boolean")
-    needed = keep(needed.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks))), "query-copies")
+    needed = named.mapInArrow(each_batch(reach), "query_id long, vector array<double>, query long, cell long, part long, high double, first boolean, block long")
+    needed = keep(needed, "query-copies")
 
     of_cell = F.create_map(*[F.lit(int(v)) for pair in zip(numbers.tolist(), parts.tolist()) for v in pair]) if len(numbers) else F.create_map(F.lit(0), F.lit(1))
     dealt = cells.withColumn("part", F.pmod(F.xxhash64("row"), of_cell[F.col("cell").cast("int")]).cast("long"))
-    dealt = dealt.select("id", "vector", "cell", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    dealt = dealt.select("id", "vector", "cell", "part")
     key = ("cell", "part", "block")
 
     def solved(copies: DataFrame) -> DataFrame:
-        return dealt.groupBy(*key).cogroup(copies.groupBy(*key)).applyInArrow(_solve(width, k), "query long, id long, score long")
+        # A query asks all parts of a cell, so the blocks of a cell, at most all of them, are those of its parts.
+        blocks = keep(copies.groupBy("cell").agg(F.collect_set("block").alias("blocks")), "cell-blocks")
+        sent = lookup_join(dealt, blocks, "cell").select("id", "vector", "cell", "part", F.explode("blocks").alias("block"))
+        return sent.groupBy(*key).cogroup(copies.groupBy(*key)).applyInArrow(_solve(width, k), "query long, id long, score long")
 
     first = keep(solved(needed.filter("first")), "first-cells")
     # The k-th score so far, where k rows were found.
     ranked = first.withColumn("r", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id")))
     floor = ranked.filter(F.col("r") == k).select("query", F.col("score").alias("floor"))
     further = needed.filter(~F.col("first")).join(floor, "query", "left").filter(F.col("floor").isNull() | (F.col("high") >= F.col("floor").cast("double"))).drop("floor")
-    merged = first.union(solved(further))
+    merged = first.union(solved(keep(further, "further-copies")))
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     top = merged.withColumn("rank", rank).filter(F.col("rank") <= k)
     return top.join(named.select("query", "query_id"), "query").select("query_id", "rank", F.col("id").alias("vec_id"), "score")
