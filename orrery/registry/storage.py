@@ -192,6 +192,23 @@ def scan_images(spark: SparkSession, folder: str) -> DataFrame:
     return pixels.select("name", F.col("h").alias("height"), F.col("w").alias("width"), "channels", "red", "green", "blue")
 
 
+@query("list_tree", """
+SELECT concat('c_nationkey=', CAST(c_nationkey AS VARCHAR), '/c_custkey=', CAST(c_custkey % 40 AS VARCHAR)) AS folder,
+       CAST(1 AS BIGINT) AS n_files, true AS holds_all
+FROM customer WHERE c_nationkey IS NOT NULL AND c_custkey IS NOT NULL GROUP BY c_nationkey, c_custkey % 40""")
+def list_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers written to a tree of folders, one file each, which tasks then list level by level."""
+    source = table(spark, folder, "customer").select("c_nationkey", (F.col("c_custkey") % 40).alias("c_custkey"), "c_name")
+    keys, path = ["c_nationkey", "c_custkey"], scratch_path(spark, "tree")
+    kept = source.dropna(subset=keys)
+    kept.repartition(*keys).write.partitionBy(*keys).parquet(path)
+    place = F.regexp_extract("path", "/([^/]+/[^/]+)/[^/]+$", 1).alias("folder")
+    listed = image_files.list_tree(spark, path).select(place, "length")
+    return listed.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("n_files"), F.min(F.col("length") > 0).alias("holds_all")
+    )
+
+
 def _channel_sums(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     side = derived_inputs.PICTURE_SIZE
     pixels = images.image_features(df, side, side, keep=keep)

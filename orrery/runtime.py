@@ -106,6 +106,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, the default file system's where it names none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch copy that nothing reads any more; a path that is not there is fine."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

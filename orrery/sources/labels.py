@@ -11,7 +11,7 @@ from orrery.functions.text import image_pattern, is_image_name, strip
 from orrery.operators.clean import require_rows
 from orrery.operators.joins import keep_existing, lookup_join
 from orrery.runtime import fits_broadcast, freeze
-from orrery.sources.image_files import list_files, read_images, read_pictures
+from orrery.sources.image_files import list_files, list_tree, read_images, read_pictures
 
 LABEL_FILE = "clean_labels.jsonl"
 #: Files that are read by one list of paths; their label rows, some 100 bytes each, are broadcast.
@@ -73,13 +73,20 @@ def labelled_points(labels: DataFrame, files: DataFrame) -> DataFrame:
     return rows.select("image", F.col("point.x_px").alias("x_px"), F.col("point.y_px").alias("y_px"))
 
 
-def read_image_dataset(spark: SparkSession, folder: str) -> DataFrame:
+def read_image_dataset(spark: SparkSession, folder: str, tree: bool = False) -> DataFrame:
     """(image, x_px, y_px, picture) for a flat image folder with its label file.
 
+    With ``tree``, pictures may lie in folders below it, which tasks list; of equal names the
+    first path in code-point order counts.
+
     No picture is ever shuffled. Few labels are broadcast to where the pictures are decoded;
     for many, names are joined to paths first and only the labelled files are read.
     """
     labels = read_labels(spark, f"{folder.rstrip('/')}/{LABEL_FILE}")
+    if tree:
+        found = freeze(list_tree(spark, folder).groupBy(F.col("name").alias("image")).agg(F.min("path").alias("path")), "tree")
+        points = labelled_points(labels, found.select("image"))
+        return late_pictures(require_rows(points, "no valid labelled images were parsed"), found)
     listing = list_files(spark, folder).select(F.col("name").alias("image"), "path")
     points = require_rows(labelled_points(labels, listing.select("image")), "no valid labelled images were parsed")
     if not fits_broadcast(points):
