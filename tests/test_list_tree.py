@@ -84,5 +84,6 @@ def test_pictures_below_a_folder(spark, tmp_path):
     got = {r["image"]: bytes(r["picture"]["data"])[0] for r in labels.read_image_dataset(spark, str(tmp_path), tree=True).collect()}
     # p/q/same.png comes before p/same.png.
     assert got == {"0.png": 0, "1.png": 1, "2.png": 2, "same.png": 51}
-    with pytest.raises(ValueError):
+    (tmp_path / "p" / labels.LABEL_FILE).write_text('{"image": "absent.png"}')
+    with pytest.raises(ValueError, match="no valid labelled"):
         labels.read_image_dataset(spark, str(tmp_path / "p"), tree=True)
