@@ -1,16 +1,22 @@
-"""Near copies by exact Jaccard similarity of word shingles: prefix filtering.
+"""Near copies by exact Jaccard similarity of word shingles: SimHash, then prefix filtering.
 
 A document is the set of its shingles of ``SHINGLE`` words (ASCII letters lower-cased; a
-shorter text is one shingle). Sets are laid out in one order over all shingles. Two sets whose
-similarity reaches the threshold t share a shingle among the first n - ceil(t * n) + 1 of each,
-whatever that order is, so these prefixes find every pair. Shingles that are frequent in a
-bounded sample of documents come last in the order: the sample decides how many candidates
-there are, and never the result.
-
-Equal sets are one node. Nodes that share a shingle of their prefixes are a list, and its first
-node leads it. In each of ``TURNS`` turns a node is compared with one leader, the one it shares
-most lists with, and components are contracted; so a group of m near copies costs m comparisons
-and not its pairs. What is left are pairs of a list whose nodes lie in different components;
+shorter text is one shingle). Equal sets are one node. SimHash comes first: sets whose
+fingerprints differ in at most ``RADIUS`` bits, found by the vantage-point trees of
+``simhash``, are compared, and components of those that are similar are contracted.
+
+Fingerprints of similar sets may lie farther apart, so the rest is found exactly. Sets are laid
+out in one order over all shingles. Two sets whose similarity reaches the threshold t share a
+shingle among the first n - ceil(t * n) + 1 of each, whatever that order is, so these prefixes
+find every pair. Frequent shingles come last in the order: which are told to be frequent decides
+how many candidates there are, and never the result. Prefixes are mostly made of low hashes, so
+shingles of low hashes are counted in all texts and others in a bounded sample.
+
+Nodes that share a shingle of their prefixes are a list, and its first
+node leads it. In the first of ``TURNS`` turns a node is compared with one leader, the one it shares
+most lists with; in the others with its neighbours in lists that are shuffled by a hash, which
+links loose groups whose leader is like few of them. Components are contracted after each turn;
+so a group of m near copies costs some m comparisons and not its pairs. What is left are pairs of a list whose nodes lie in different components;
 those of fitting sizes and places are all compared. Each comparison is on whole sets.
 
 For a comparison, the texts of a leader's partners travel to cells of at most ``CELL_TEXTS``,
@@ -31,6 +37,7 @@ from pyspark.sql.window import Window
 
 from orrery.llm.common import OUT_ROWS, col, each_batch, free_name, keep, quoted
 from orrery.llm.components import components
+from orrery.llm.simhash import majority, near_pairs
 from orrery.llm.tokens import chunks
 from orrery.runtime import fits_broadcast, scratch_path
 
@@ -38,11 +45,17 @@ SHINGLE = 5
 #: Similarity from which documents are near copies, as a fraction of whole numbers.
 SIMILAR = (4, 5)
 SEED = 42
-#: Documents that tell which shingles are frequent, and of how many of them a frequent one is part.
+#: Bits in which the fingerprints of candidates may differ; blocks of a quarter then differ in one at most.
+RADIUS = 7
+#: Shingles of hashes below this are counted in all texts.
+LOW = 1 << 62
+#: Documents that tell which others are frequent, in how many texts a frequent one is, and how many are noted at most.
 ORDER_SAMPLE = 20_000
 FREQUENT = 4
-#: Turns in which each node is compared with one leader.
-TURNS = 2
+MOST_FREQUENT = 1 << 20
+#: Turns in which nodes are compared with a leader or a neighbour, and with how many neighbours a node is in one.
+TURNS = 4
+NEIGHBOURS = 4
 #: Texts that a cell compares with one.
 CELL_TEXTS = 500
 
@@ -88,22 +101,37 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
 
 
 def frequent_shingles(texts: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of at least ``FREQUENT`` sampled documents, ascending, and their counts.
+    """Frequent shingles, ascending, and the number of texts that each is part of.
 
-    About ``sample`` documents are drawn, those whose hash lies below a threshold, wherever they are.
+    Hashes below ``LOW`` are counted in all texts, others in about ``sample`` texts whose hash
+    lies below a threshold, and scaled up. Of many, the ``MOST_FREQUENT`` most frequent are told.
     """
     span = 1 << 32
-    share = sample / max(1, texts.count())
-    drawn = texts.filter(F.pmod(F.xxhash64("k1", F.lit(SEED)), F.lit(span)) < F.lit(int(min(1.0, share) * span)))
+    share = min(1.0, sample / max(1, texts.count()))
+    drawn = F.pmod(F.xxhash64("k1", F.lit(SEED)), F.lit(span)) < F.lit(int(share * span))
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in chunks(batch, "text"):
             sets = [shingles(t.as_py()) for t in part["text"]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["token"])
-
-    counts = drawn.select("text").mapInArrow(each_batch(each), "token long").groupBy("token").count().filter(F.col("count") >= FREQUENT)
-    table = counts.toArrow()
-    tokens, n = table["token"].to_numpy().view(np.uint64), table["count"].to_numpy()
+            taken = [s if d.as_py() else s[: np.searchsorted(s, np.uint64(LOW))] for s, d in zip(sets, part["drawn"])]
+            tokens, n = np.unique(np.concatenate(taken), return_counts=True)
+            for at in range(0, len(tokens), OUT_ROWS):
+                some = slice(at, at + OUT_ROWS)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[some].view(np.int64)), pa.array(n[some])], names=["token", "n"])
+
+    met = texts.select("text", drawn.alias("drawn")).mapInArrow(each_batch(each), "token long, n long")
+    counts = met.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
+    scale = F.when(F.col("token").between(0, LOW - 1), F.lit(1.0)).otherwise(F.lit(1 / share if share else 1.0))
+    counts = keep(counts.select("token", F.round(F.col("n") * scale).cast("long").alias("n")), "frequent-shingles")
+    sizes = counts.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).limit(MOST_FREQUENT)
+    least, room = FREQUENT, MOST_FREQUENT
+    for row in sizes.toLocalIterator():
+        room -= row["tokens"]
+        if room < 0:
+            least = row["n"] + 1
+            break
+    table = counts.filter(F.col("n") >= least).toArrow()
+    tokens, n = table["token"].to_numpy().view(np.uint64), table["n"].to_numpy()
     order = np.argsort(tokens)
     return tokens[order], n[order]
 
@@ -121,7 +149,7 @@ def prefix(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.n
 
 
 def _prefixes(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(k1, k2, node, n, prefix) of every row: n distinct shingles, and the set's hash."""
+    """(k1, k2, node, n, fp, prefix) of every row: n distinct shingles, the set's hash and its SimHash."""
     shared = texts.sparkSession.sparkContext.broadcast((frequent, counts))
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -130,12 +158,26 @@ def _prefixes(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Dat
         for part in chunks(batch, "text"):
             sets = [shingles(t.as_py()) for t in part["text"]]
             nodes = np.array([xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+            prints = np.array([majority(s) for s in sets], np.uint64).view(np.int64)
             firsts = [prefix(s, *shared.value).view(np.int64) for s in sets]
             ends = np.cumsum([0, *map(len, firsts)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(firsts)))
-            yield pa.RecordBatch.from_arrays([part["k1"], part["k2"], pa.array(nodes), pa.array([len(s) for s in sets], pa.int64()), lists], names=["k1", "k2", "node", "n", "prefix"])
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([part["k1"], part["k2"], pa.array(nodes), sizes, pa.array(prints), lists], names=["k1", "k2", "node", "n", "fp", "prefix"])
+
+    return texts.mapInArrow(each_batch(each), "k1 long, k2 long, node long, n long, fp long, prefix array<long>")
+
 
-    return texts.mapInArrow(each_batch(each), "k1 long, k2 long, node long, n long, prefix array<long>")
+def _near_prints(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): nodes whose fingerprints are equal or linked through the trees; the first node of a fingerprint stands for it."""
+    nodes = rows.select("fp", "node").distinct()
+    firsts = scratch.keep(nodes.groupBy("fp").agg(F.min("node").alias("first")), "first-nodes")
+    some = F.broadcast(firsts) if fits_broadcast(firsts) else firsts
+    same = nodes.join(some, "fp").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    # The second of a pair is the one that its leaf's forest hangs on: it leads.
+    near = near_pairs(firsts.select("fp"), RADIUS).distinct()
+    near = near.join(some.withColumnsRenamed({"fp": "b", "first": "lead"}), "b").join(some.withColumnsRenamed({"fp": "a", "first": "node"}), "a")
+    return same.union(near.select("lead", "node")).filter("a <> b").distinct()
 
 
 def _texts_of(nodes: DataFrame, rows: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -200,16 +242,34 @@ def _leaders(mixed: DataFrame, asked: DataFrame) -> DataFrame:
     return best.select(F.col("main").alias("a"), F.col("node").alias("b"))
 
 
+def _neighbours(mixed: DataFrame, asked: DataFrame, turn: int) -> DataFrame:
+    """(a, b): nodes of different components that stand next to each other in a list ordered by a hash of this turn."""
+    order = Window.partitionBy("token").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+    beside = mixed.select("node", "comp", F.lag("node").over(order).alias("other"), F.lag("comp").over(order).alias("other_comp"))
+    pairs = beside.filter("comp <> other_comp").groupBy(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).agg(F.count("*").alias("n"))
+    pairs = pairs.join(asked, ["a", "b"], "left_anti")
+    best = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))
+    return pairs.withColumn("place", best).filter(F.col("place") <= NEIGHBOURS).select("a", "b")
+
+
 def _candidates(one: DataFrame, many: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a row of each side that share a token, may reach the threshold and lie in different components."""
+    """Pairs (a, b) of a row of each side that share tokens, may reach the threshold and lie in different components."""
     x, y = one.alias("x"), many.alias("y")
-    joined = x.join(y, F.col("x.token") == F.col("y.token")).filter("x.comp <> y.comp")
     top, whole = SIMILAR
+    fits = F.least("x.n", "y.n") * whole >= F.greatest("x.n", "y.n") * top
+    # A token that two nodes share is met once, also where both are on the first side.
+    once = (F.col("y.comp") == F.col("y.main_comp")) | (F.col("x.node") < F.col("y.node"))
+    joined = x.join(y, F.col("x.token") == F.col("y.token")).filter((F.col("x.comp") != F.col("y.comp")) & fits & once)
     # Of the first token that both share, no more than the tokens behind it can be shared.
     most = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    fits = most * (top + whole) >= (F.col("x.n") + F.col("y.n")) * top
-    fits &= F.least("x.n", "y.n") * whole >= F.greatest("x.n", "y.n") * top
-    return joined.filter(fits).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    # Up to where the first of two prefixes ends they share what the prefixes share, and then no more than it leaves.
+    longest = F.greatest("x.n", "y.n")
+    rest = F.ceil(longest * top / whole) - 1
+    need = F.ceil((F.col("x.n") + F.col("y.n")) * top / (top + whole))
+    told = joined.select(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), most.alias("most"), rest.alias("rest"), need.alias("need"))
+    pairs = told.groupBy("a", "b", "rest", "need").agg(F.count("*").alias("shared"), F.max("most").alias("most"))
+    return pairs.filter((F.col("most") >= F.col("need")) & (F.col("shared") + F.col("rest") >= F.col("need"))).select("a", "b")
 
 
 def near_copy_groups(docs: DataFrame, text: str = "text", sample: int = ORDER_SAMPLE) -> DataFrame:
@@ -224,11 +284,14 @@ def near_copy_groups(docs: DataFrame, text: str = "text", sample: int = ORDER_SA
     size = F.count("*").over(Window.partitionBy("token"))
     lists = whole.keep(postings.withColumn("size", size).filter("size > 1").drop("size"), "prefix-lists")
 
-    links = asked = spark.createDataFrame([], "a long, b long")
+    pairs = turns.keep(_near_prints(rows, turns), "near-prints")
+    asked = whole.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "asked-pairs")
+    links = _alike(pairs, rows, texts, turns)
+    turns.clear()
     for turn in range(TURNS + 1):
         mixed = _with_components(lists, links, turns)
         if turn < TURNS:
-            pairs = turns.keep(_leaders(mixed, asked), "leaders")
+            pairs = turns.keep(_neighbours(mixed, asked, turn) if turn else _leaders(mixed, asked), "asked-now")
             asked = asked.union(whole.keep(pairs, "asked-pairs"))
         else:
             pairs = turns.keep(_candidates(mixed.filter("comp <> main_comp"), mixed), "candidate-pairs")

@@ -57,6 +57,12 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
     return out.ravel()
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half the hashes have set; 0 without hashes."""
+    ones = bit_counts(hashes) * 2 > len(hashes)
+    return int.from_bytes(np.packbits(ones, bitorder="little").tobytes(), "little")
+
+
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     from xxhash import xxh64_intdigest
 
@@ -70,8 +76,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     starts = ends - lengths
     k = min(shingle, len(words)) - 1
     hashes = [xxh64_intdigest(line[a:b], seed) for a, b in zip(starts[: len(starts) - k].tolist(), ends[k:].tolist())]
-    ones = bit_counts(np.array(hashes, np.uint64)) * 2 > len(hashes)
-    return int.from_bytes(np.packbits(ones, bitorder="little").tobytes(), "little")
+    return majority(np.array(hashes, np.uint64))
 
 
 def _fingerprints(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, linked at a five-word Jaccard similarity of 0.8: the first by id.
 
-    SimHash fingerprints of such pairs are too far apart for op9's radius, so the stage compares the shingles themselves.
+    SimHash finds candidates, at a wider radius than op9's, which are compared by their shingles; fingerprints of some such
+    pairs lie farther apart than any radius that trees can serve, and are found by the shingles themselves.
     """
     from orrery.llm.near_copies import near_copies_removed
 

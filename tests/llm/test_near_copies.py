@@ -77,3 +77,39 @@ def test_cells_and_joins_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "fits_broadcast", lambda df: False)
     got = sorted(((r.doc_id, r.text) for r in near_copies.near_copies_removed(frame(spark, rows)).collect()), key=str)
     assert got == first_rows(rows)
+
+
+def test_simhash_finds_candidates_first(spark):
+    from orrery.llm import near_copies
+
+    base = words_of(41, 400)
+    rows = [(i, " ".join(base[:390] + [f"end{i}"])) for i in range(6)] + [(100 + i, " ".join(words_of(800 + i, 60))) for i in range(6)]
+    texts = near_copies._keyed(frame(spark, rows), "text")
+    made = near_copies._prefixes(texts, *near_copies.frequent_shingles(texts, 0)).cache()
+    pairs = near_copies._near_prints(made, near_copies.Scratch(spark))
+    near = {r.node for r in made.filter("n > 300").collect()}
+    linked = near_copies.components(pairs).collect()
+    assert len(near) == 6 and {r.node for r in linked} | {r.root for r in linked} == near
+
+
+def test_frequent_shingles_of_low_hashes_need_no_sample(spark):
+    from orrery.llm import near_copies
+
+    passage = " ".join(words_of(51, 80))
+    texts = near_copies._keyed(frame(spark, [(i, f"{' '.join(words_of(60 + i, 9))} {passage}") for i in range(9)]), "text")
+    tokens, counts = near_copies.frequent_shingles(texts, 0)
+    low = [t for t in near_copies.shingles(passage) if t < near_copies.LOW]
+    assert low and set(low) <= set(tokens.tolist()) and (counts == 9).all()
+
+
+def test_neighbour_turns_link_what_no_leader_does(spark, monkeypatch):
+    from orrery.llm import near_copies
+
+    asked = []
+    found = near_copies._alike
+    monkeypatch.setattr(near_copies, "_alike", lambda pairs, *rest: asked.append(pairs.count()) or found(pairs, *rest))
+    # A chain: each is like the next ones, and not like the first.
+    words = words_of(71, 900)
+    rows = [(i, " ".join(words[12 * i : 12 * i + 300])) for i in range(50)]
+    got = sorted((r.doc_id, r.text) for r in near_copies.near_copies_removed(frame(spark, rows)).collect())
+    assert got == first_rows(rows) and asked[-1] <= len(rows)
