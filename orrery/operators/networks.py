@@ -29,8 +29,11 @@ from orrery.operators.rows import SEED, batch, permute
 from orrery.operators.supervised import HIDDEN_LAYERS, batch_predict
 from orrery.runtime import scratch_path
 
-#: Bytes of features in one block.
+#: Bytes of features in one block, and rows that it has at most.
 BLOCK_BYTES = 8 << 20
+BLOCK_ROWS = 1 << 17
+#: Rows that a task works on at once: their activations and gradients of all layers are held together.
+SLICE_ROWS = 1 << 13
 #: Folders that one layout has at most; beyond that, several batches share one.
 FOLDERS = 4096
 #: Bytes of summed vectors that the driver takes from tasks at once; more are added in two levels.
@@ -177,7 +180,7 @@ def pack(df: DataFrame, key: str, features: str, targets: Sequence[str], batch_s
     if not n:
         raise ValueError("no rows to train on")
     batches = -(-n // batch_size)
-    block_rows = max(1, min(batch_size, BLOCK_BYTES // (4 * max(1, width))))
+    block_rows = max(1, min(batch_size, BLOCK_ROWS, BLOCK_BYTES // (4 * max(1, width))))
     placed = batch(permute(rows, "_key", seed, "place"), batch_size, "place")
     block = F.floor((F.col("place") % batch_size) / block_rows)
     keyed = placed.withColumn("block", block).withColumn("folder", F.floor(F.col("batch_id") / F.lit(-(-batches // FOLDERS))))
@@ -203,8 +206,11 @@ def summed(blocks: DataFrame, width: int, targets: int, work: Callable, size: in
         total = np.zeros(size)
         for b in batches:
             for x, y in zip(b["x"], b["y"]):
-                rows = np.frombuffer(x.as_buffer(), np.float32).reshape(-1, width).astype(np.float64)
-                total += work(rows, np.frombuffer(y.as_buffer(), np.float64).reshape(-1, targets))
+                rows = np.frombuffer(x.as_buffer(), np.float32).reshape(-1, width)
+                told = np.frombuffer(y.as_buffer(), np.float64).reshape(-1, targets)
+                for at in range(0, len(rows), SLICE_ROWS):
+                    part = slice(at, at + SLICE_ROWS)
+                    total += work(rows[part].astype(np.float64), told[part])
         part = pa.array([TaskContext.get().partitionId()], pa.int64())
         yield pa.RecordBatch.from_arrays([part, pa.array([total], pa.list_(pa.float64()))], names=["part", "sums"])
 
