@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from orrery.operators.clean import NUMERIC_COLUMNS, complete_cases, require_rows
 from orrery.operators.encode import label_encode, vocabulary
 from orrery.operators.metrics import classification_metrics, regression_metrics
-from orrery.operators.rows import SEED, holdout_split
+from orrery.operators.rows import SEED, holdout_split, spread
 from orrery.runtime import freeze
 
 # Sizes of the hidden layers.
@@ -25,6 +25,8 @@ HIDDEN_LAYERS = [16, 32, 64]
 
 # Rows stacked into one matrix by the network trainer.
 BLOCK_ROWS = 1024
+#: Rows of one partition of the trainer, which reads them some hundred times.
+TRAINING_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -67,15 +69,17 @@ def train_classifier(
         VectorAssembler(inputCols=features, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
     ])
-    training = training.persist(StorageLevel.MEMORY_AND_DISK)
+    # The narrow copy is a few small files; every core takes part in each turn over it.
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-training.count() // TRAINING_ROWS))
+    spread_out = spread(training, parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        prepared = stages.fit(training)
+        prepared = stages.fit(spread_out)
         network = MultilayerPerceptronClassifier(
             layers=[len(features), *HIDDEN_LAYERS, max(2, classes)], labelCol="label_idx",
             maxIter=max_iter, seed=seed, blockSize=BLOCK_ROWS,
-        ).fit(prepared.transform(training))
+        ).fit(prepared.transform(spread_out))
     finally:
-        training.unpersist()
+        spread_out.unpersist()
     model = PipelineModel([*prepared.stages, network])
     return TrainedClassifier(model, vocab, training, validation, list(network.summary().objectiveHistory))
 
