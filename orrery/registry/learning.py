@@ -19,6 +19,8 @@ from orrery.sinks.files import write_image_predictions
 from orrery.sources.paths import table
 
 _NUMBERS = clean.NUMERIC_COLUMNS
+#: Pictures of full size that one task resizes.
+PICTURES_PER_TASK = 2000
 
 
 # --- encoders -------------------------------------------------------------------------
@@ -724,7 +726,10 @@ SELECT vec_id, CAST(256 * 320 * 3 AS INTEGER) AS n_pixels,
 FROM px JOIN rw ON rw.place = i // 8 JOIN cw ON cw.place = i % 8 GROUP BY vec_id""")
 def image_features_full_size(spark: SparkSession, folder: str) -> DataFrame:
     """Pictures at the size that training uses by default: number and mean of the features of each."""
-    features = images.image_features(derived_inputs.pictures(spark, folder), 256, 320, keep=("vec_id",))
+    pictures = derived_inputs.pictures(spark, folder)
+    # A megabyte of features comes of each row, so rows are spread by their number and not by the bytes read.
+    parts = max(spark.sparkContext.defaultParallelism, -(-pictures.count() // PICTURES_PER_TASK))
+    features = images.image_features(rows.spread(pictures, parts), 256, 320, keep=("vec_id",))
     total = F.aggregate("pixels", F.lit(0.0), lambda acc, v: acc + v.cast("double"))
     return features.select("vec_id", F.size("pixels").alias("n_pixels"), F.round(total / F.size("pixels"), 4).alias("mean_level"))
 
