@@ -8,16 +8,19 @@ fingerprints differ in at most ``RADIUS`` bits, found by the vantage-point trees
 Fingerprints of similar sets may lie farther apart, so the rest is found exactly. Sets are laid
 out in one order over all shingles. Two sets whose similarity reaches the threshold t share a
 shingle among the first n - ceil(t * n) + 1 of each, whatever that order is, so these prefixes
-find every pair. Frequent shingles come last in the order: which are told to be frequent decides
-how many candidates there are, and never the result. Prefixes are mostly made of low hashes, so
-shingles of low hashes are counted in all texts and others in a bounded sample.
-
-Nodes that share a shingle of their prefixes are a list, and its first
-node leads it. In the first of ``TURNS`` turns a node is compared with one leader, the one it shares
-most lists with; in the others with its neighbours in lists that are shuffled by a hash, which
-links loose groups whose leader is like few of them. Components are contracted after each turn;
-so a group of m near copies costs some m comparisons and not its pairs. What is left are pairs of a list whose nodes lie in different components;
-those of fitting sizes and places are all compared. Each comparison is on whole sets.
+find every pair. Frequent shingles come last in the order. It is set up twice: first with what
+is told to be frequent (shingles of low hashes are counted in all texts, others in a bounded
+sample), then, for the sets that still share a shingle of their prefixes with another, by the
+exact number of these sets that have a shingle. Shingles that no other set has then come first,
+so a set with too many of its own is in no list, and the places of others tell how much two can share.
+
+Nodes that share a shingle of their prefixes are a list, and the one with the smallest share of
+shingles of its own leads it. In each of ``TURNS`` turns a node is compared with the leaders it
+shares most lists with, from the second on also with its neighbours in lists that are shuffled
+by a hash, and only where places allow the threshold. Components are contracted after each turn;
+so a group of m near copies costs some m comparisons and not its pairs. What is left are pairs of
+a list whose nodes lie in different components; those of fitting sizes and places are all
+compared. Each comparison is on whole sets.
 
 For a comparison, the texts of a leader's partners travel to cells of at most ``CELL_TEXTS``,
 once each, and the leader's text once to every cell.
@@ -53,8 +56,8 @@ LOW = 1 << 62
 ORDER_SAMPLE = 20_000
 FREQUENT = 4
 MOST_FREQUENT = 1 << 20
-#: Turns in which nodes are compared with a leader or a neighbour, and with how many neighbours a node is in one.
-TURNS = 4
+#: Turns in which nodes are compared with leaders and neighbours, and with how many of either a node is in one.
+TURNS = 2
 NEIGHBOURS = 4
 #: Texts that a cell compares with one.
 CELL_TEXTS = 500
@@ -168,6 +171,38 @@ def _prefixes(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Dat
     return texts.mapInArrow(each_batch(each), "k1 long, k2 long, node long, n long, fp long, prefix array<long>")
 
 
+def _postings(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """(node, n, token) of every shingle of the texts, which have n each."""
+    for part in chunks(batch, "text"):
+        sets = [shingles(t.as_py()) for t in part["text"]]
+        sizes = np.array([len(s) for s in sets], np.int64)
+        node, n, token = np.repeat(part["node"].to_numpy(), sizes), np.repeat(sizes, sizes), np.concatenate(sets).view(np.int64)
+        for at in range(0, len(token), OUT_ROWS):
+            some = slice(at, at + OUT_ROWS)
+            yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(n[some], pa.int32()), pa.array(token[some])], names=["node", "n", "token"])
+
+
+def _shared(postings: DataFrame) -> DataFrame:
+    """The postings whose token several nodes have, with their number: counts are combined before they travel."""
+    counts = postings.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
+    return postings.join(counts, "token")
+
+
+def _exact_lists(nodes: DataFrame, rows: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(token, node, n, pos, alone): lists of prefixes in the order of the exact number of ``nodes`` that have a token.
+
+    Tokens that no other node has come first and are in no list; there are ``alone`` of them.
+    """
+    told = _texts_of(nodes, rows, texts, scratch)
+    postings = scratch.keep(told.mapInArrow(each_batch(_postings), "node long, n int, token long"), "postings")
+    own = Window.partitionBy("node")
+    alone, place = F.col("n") - F.count("*").over(own), F.row_number().over(own.orderBy("size", "token"))
+    placed = _shared(postings).select("token", "node", "n", (alone + place - 1).cast("int").alias("pos"), alone.cast("int").alias("alone"))
+    top, whole = SIMILAR
+    firsts = scratch.keep(placed.filter((F.col("n") - F.col("pos")) * whole >= F.col("n") * top), "exact-prefixes")
+    return _shared(firsts).drop("size")
+
+
 def _near_prints(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): nodes whose fingerprints are equal or linked through the trees; the first node of a fingerprint stands for it."""
     nodes = rows.select("fp", "node").distinct()
@@ -224,52 +259,61 @@ def _alike(pairs: DataFrame, rows: DataFrame, texts: DataFrame, scratch: Scratch
 def _with_components(lists: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """``lists`` with the component of each node, without lists that lie in one component.
 
-    ``main`` is the first node of a list and ``main_comp`` its component.
+    ``main`` is the node of a list with the smallest share of shingles of its own; it comes with its component, size and place.
     """
     roots = components(links)
     some = F.broadcast(roots) if fits_broadcast(roots) else roots
     named = lists.join(some, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     named = scratch.keep(named, "list-components")
-    mixed = named.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min(F.struct("node", "comp")).alias("first")).filter("x <> y")
-    return scratch.keep(named.join(mixed.select("token", F.col("first.node").alias("main"), F.col("first.comp").alias("main_comp")), "token"), "mixed-lists")
+    first = F.min(F.struct(F.col("alone") / F.col("n"), "node", "comp", "n", "pos")).alias("first")
+    mixed = named.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), first).filter("x <> y")
+    told = [F.col("first.node").alias("main"), *[F.col(f"first.{c}").alias(f"main_{c}") for c in ("comp", "n", "pos")]]
+    return scratch.keep(named.join(mixed.select("token", *told), "token"), "mixed-lists")
+
+
+def _may_link(n, pos, m, at):
+    """Whether sets of n and m shingles that share the one at these places, and none before, may reach the threshold.
+
+    They need 4 of 9 of n + m in common, and share no more than what lies from there on in either.
+    """
+    top, whole = SIMILAR
+    fits = F.least(n, m) * whole >= F.greatest(n, m) * top
+    return fits & (F.least(n - pos, m - at) * (top + whole) >= (n + m) * top)
+
+
+def _best(pairs: DataFrame, asked: DataFrame) -> DataFrame:
+    """Of (a, b, by, n) that were not asked, for each node ``by`` the ``NEIGHBOURS`` that share most lists with it."""
+    pairs = pairs.join(asked, ["a", "b"], "left_anti")
+    place = F.row_number().over(Window.partitionBy("by").orderBy(F.desc("n"), "a", "b"))
+    return pairs.withColumn("place", place).filter(F.col("place") <= NEIGHBOURS).select("a", "b")
 
 
 def _leaders(mixed: DataFrame, asked: DataFrame) -> DataFrame:
-    """(a, b): each node and the leader, of another component, with which it shares most lists and has not been compared."""
-    shared = mixed.filter("comp <> main_comp").groupBy("main", "node").agg(F.count("*").alias("n"))
-    shared = shared.join(asked.withColumnsRenamed({"a": "main", "b": "node"}), ["main", "node"], "left_anti")
-    best = shared.groupBy("node").agg(F.max_by("main", F.struct("n", -F.col("main"))).alias("main"))
-    return best.select(F.col("main").alias("a"), F.col("node").alias("b"))
+    """(a, b): each node and leaders of other components that it shares most lists with and may be like."""
+    may = _may_link(F.col("n"), F.col("pos"), F.col("main_n"), F.col("main_pos"))
+    pair = (F.least("main", "node").alias("a"), F.greatest("main", "node").alias("b"), F.col("node").alias("by"))
+    return _best(mixed.filter((F.col("comp") != F.col("main_comp")) & may).groupBy(*pair).agg(F.count("*").alias("n")), asked)
 
 
 def _neighbours(mixed: DataFrame, asked: DataFrame, turn: int) -> DataFrame:
     """(a, b): nodes of different components that stand next to each other in a list ordered by a hash of this turn."""
     order = Window.partitionBy("token").orderBy(F.xxhash64("node", F.lit(turn)), "node")
-    beside = mixed.select("node", "comp", F.lag("node").over(order).alias("other"), F.lag("comp").over(order).alias("other_comp"))
-    pairs = beside.filter("comp <> other_comp").groupBy(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).agg(F.count("*").alias("n"))
-    pairs = pairs.join(asked, ["a", "b"], "left_anti")
-    best = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))
-    return pairs.withColumn("place", best).filter(F.col("place") <= NEIGHBOURS).select("a", "b")
+    beside = mixed.select("node", "comp", "n", "pos", *[F.lag(c).over(order).alias(f"other_{c}") for c in ("node", "comp", "n", "pos")])
+    may = _may_link(F.col("n"), F.col("pos"), F.col("other_n"), F.col("other_pos"))
+    pair = (F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
+    pairs = beside.filter((F.col("comp") != F.col("other_comp")) & may).groupBy(*pair).agg(F.count("*").alias("n"))
+    return _best(pairs.withColumn("by", F.col("b")), asked)
 
 
 def _candidates(one: DataFrame, many: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a row of each side that share tokens, may reach the threshold and lie in different components."""
+    """Pairs (a, b) of a row of each side that may reach the threshold by a token that they share, in different components."""
     x, y = one.alias("x"), many.alias("y")
-    top, whole = SIMILAR
-    fits = F.least("x.n", "y.n") * whole >= F.greatest("x.n", "y.n") * top
+    # Later tokens that a pair shares need not be met: the first is early enough in both.
+    may = _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))
     # A token that two nodes share is met once, also where both are on the first side.
     once = (F.col("y.comp") == F.col("y.main_comp")) | (F.col("x.node") < F.col("y.node"))
-    joined = x.join(y, F.col("x.token") == F.col("y.token")).filter((F.col("x.comp") != F.col("y.comp")) & fits & once)
-    # Of the first token that both share, no more than the tokens behind it can be shared.
-    most = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    # Up to where the first of two prefixes ends they share what the prefixes share, and then no more than it leaves.
-    longest = F.greatest("x.n", "y.n")
-    rest = F.ceil(longest * top / whole) - 1
-    need = F.ceil((F.col("x.n") + F.col("y.n")) * top / (top + whole))
-    told = joined.select(
-        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), most.alias("most"), rest.alias("rest"), need.alias("need"))
-    pairs = told.groupBy("a", "b", "rest", "need").agg(F.count("*").alias("shared"), F.max("most").alias("most"))
-    return pairs.filter((F.col("most") >= F.col("need")) & (F.col("shared") + F.col("rest") >= F.col("need"))).select("a", "b")
+    joined = x.join(y, F.col("x.token") == F.col("y.token")).filter((F.col("x.comp") != F.col("y.comp")) & may & once)
+    return joined.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def near_copy_groups(docs: DataFrame, text: str = "text", sample: int = ORDER_SAMPLE) -> DataFrame:
@@ -278,11 +322,13 @@ def near_copy_groups(docs: DataFrame, text: str = "text", sample: int = ORDER_SA
     texts = _keyed(docs, text)
     whole, turns = Scratch(spark), Scratch(spark)
     rows = whole.keep(_prefixes(texts, *frequent_shingles(texts, sample)), "shingle-prefixes")
-    nodes = rows.select("node", "n", "prefix").dropDuplicates(["node"])
-    postings = nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    nodes = rows.select("node", "prefix").dropDuplicates(["node"])
+    postings = nodes.select("node", F.explode("prefix").alias("token"))
     # One shuffle finds the shingles that several nodes share.
     size = F.count("*").over(Window.partitionBy("token"))
-    lists = whole.keep(postings.withColumn("size", size).filter("size > 1").drop("size"), "prefix-lists")
+    some = turns.keep(postings.withColumn("size", size).filter("size > 1").select("node").distinct(), "listed-nodes")
+    lists = whole.keep(_exact_lists(some, rows, texts, turns), "prefix-lists")
+    turns.clear()
 
     pairs = turns.keep(_near_prints(rows, turns), "near-prints")
     asked = whole.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "asked-pairs")
@@ -291,7 +337,8 @@ def near_copy_groups(docs: DataFrame, text: str = "text", sample: int = ORDER_SA
     for turn in range(TURNS + 1):
         mixed = _with_components(lists, links, turns)
         if turn < TURNS:
-            pairs = turns.keep(_neighbours(mixed, asked, turn) if turn else _leaders(mixed, asked), "asked-now")
+            pairs = _leaders(mixed, asked)
+            pairs = turns.keep(pairs.union(_neighbours(mixed, asked, turn)).distinct() if turn else pairs, "asked-now")
             asked = asked.union(whole.keep(pairs, "asked-pairs"))
         else:
             pairs = turns.keep(_candidates(mixed.filter("comp <> main_comp"), mixed), "candidate-pairs")
